@@ -1,0 +1,27 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+from shelfmark.session import build_session  # noqa: E402
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session(
+        "shelfmark-tests",
+        {
+            "spark.master": "local[8]",
+            "spark.sql.shuffle.partitions": 8,
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": tmp_path_factory.mktemp("shared"),
+        },
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
