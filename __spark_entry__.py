@@ -47,7 +47,7 @@ from shelfmark.operators.rules import (
     rule_report,
     rules_named,
     settle,
-    violation_samples,
+    violation_previews,
 )
 from shelfmark.plans.medallion import Layout, read_marts, run
 from shelfmark.schemas import BRONZE, SILVER
@@ -210,18 +210,18 @@ def silver_rule_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def violation_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five violating rows of each previewed rule, the drops before it applied."""
-    drops = [rule for rule in SILVER_RULES if rule.kind == "drop"]
-    previewed = rules_named(
+    names = [
         "ship_not_before_order",
         "positive_quantity",
         "positive_price",
         "discount_range",
         "age_range",
         "payment_code",
-    )
-    rules = [rule for rule in SILVER_RULES if rule in drops or rule in previewed]
-    rows = violation_samples(_deduped(spark, sf_dir), rules, total_order())
-    return rows.filter(F.col("rule").isin([rule.name for rule in previewed]))
+    ]
+    rules = [rule for rule in SILVER_RULES if rule.kind == "drop" or rule.name in names]
+    deduped = stage(_deduped(spark, sf_dir), fresh_path(spark, "deduped"))
+    rows = violation_previews(deduped, rules, order=total_order())
+    return rows.filter(F.col("rule").isin(names))
 
 
 def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,37 +15,35 @@ def retail_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     large table is shuffled for orders and for parts only.
     """
 
-    def table(name: str, *columns: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
+    def table(name: str) -> DataFrame:
+        return spark.read.schema(_COLUMNS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
-    nation = table("nation", "n_nationkey", "n_name", "n_regionkey")
-    region = table("region", "r_regionkey", "r_name")
+    nation, region, customer = table("nation"), table("region"), table("customer")
+    order, part, lines = table("orders"), table("part"), table("lineitem")
     places = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    customer = table("customer", "c_custkey", "c_nationkey")
     customers = customer.join(places, customer.c_nationkey == places.n_nationkey)
-    order = table(
-        "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"
-    )
     orders = order.join(customers, order.o_custkey == customers.c_custkey)
-    part = table("part", "p_partkey", "p_type", "p_retailprice")
-    lines = table(
-        "lineitem",
-        "l_orderkey",
-        "l_partkey",
-        "l_suppkey",
-        "l_linenumber",
-        "l_quantity",
-        "l_discount",
-        "l_tax",
-        "l_shipdate",
-    )
     joined = lines.join(part, lines.l_partkey == part.p_partkey).join(
         orders, lines.l_orderkey == orders.o_orderkey
     )
-    mapped = joined.selectExpr(*[f"{expr} AS {name}" for name, expr in _MAPPING.items()])
-    return mapped.select(*[mapped[f.name].cast(f.dataType) for f in RAW])
+    types = {f.name: f.dataType.simpleString() for f in RAW}
+    return joined.selectExpr(
+        *[f"CAST({expr} AS {types[name]}) AS {name}" for name, expr in _MAPPING.items()]
+    )
 
 
+# The columns read from each test table (FIXTURES.md section 2).
+_COLUMNS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_nationkey INT",
+    "part": "p_partkey BIGINT, p_type STRING, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING,"
+    " o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT,"
+    " l_quantity DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_shipdate TIMESTAMP_NTZ",
+}
+
 # The mapping agreed for the test tables.
 _MAPPING = {
     "transaction_id": "CASE WHEN l_partkey % 97 = 0 THEN NULL ELSE l_orderkey END",

@@ -308,9 +308,8 @@ def oracle_queries() -> dict[str, str]:
         ),
         "violation_preview": _union(
             [
-                f"SELECT * FROM (SELECT '{n}' AS rule, {_EDGE}, CAST(row_number() OVER"
-                f" (ORDER BY {_TOTAL_ORDER}) AS INT) AS rank FROM deduped"
-                f" WHERE {_ACTS[n]} AND {_RULES[n][1]} IS NOT NULL) WHERE rank <= 5"
+                f"SELECT '{n}' AS rule, * FROM (SELECT {_EDGE} FROM deduped WHERE {_ACTS[n]}"
+                f" AND {_RULES[n][1]} IS NOT NULL ORDER BY {_TOTAL_ORDER} LIMIT 5)"
                 for n in _PREVIEWED
             ]
         ),

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.schemas import PERCENT, PRICE
@@ -124,11 +125,11 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule] = SILVER_RULES) -> DataFram
     return change_values(drop_rows(df, rules), rules)
 
 
-def _acting(rules: Sequence[Rule]) -> list[tuple[Rule, Column]]:
-    """Each rule with the rows it acts on: those that earlier drop rules left."""
+def _acting(rules: Sequence[Rule]) -> list[Column]:
+    """For each rule, the rows it acts on: those that earlier drop rules left."""
     left, acting = F.lit(True), []
     for rule in rules:
-        acting.append((rule, left & rule.violated()))
+        acting.append(left & rule.violated())
         if rule.kind == DROP:
             left = left & ~rule.violated()
     return acting
@@ -137,14 +138,14 @@ def _acting(rules: Sequence[Rule]) -> list[tuple[Rule, Column]]:
 def judge(df: DataFrame, rules: Sequence[Rule] = SILVER_RULES) -> DataFrame:
     """Keep every row and add what the rules find: ``fired`` and ``rejected_by``.
 
-    ``fired`` lists the rules that act on the row up to its rejection; ``rejected_by`` is the drop
-    rule that ends it, NULL for a row that stays.
+    ``fired`` is a long whose n-th bit says that the n-th rule acts on the row, up to its
+    rejection; ``rejected_by`` is the drop rule that ends it, NULL for a row that stays.
     """
-    acting = _acting(rules)
     drops = [F.when(rule.violated(), rule.name) for rule in rules if rule.kind == DROP]
+    bits = [F.shiftleft(on.cast("bigint"), n) for n, on in enumerate(_acting(rules))]
     return df.withColumns(
         {
-            "fired": F.array_compact(F.array(*[F.when(on, rule.name) for rule, on in acting])),
+            "fired": reduce(Column.bitwiseOR, bits, F.lit(0).cast("bigint")),
             "rejected_by": F.coalesce(*drops, F.lit(None).cast("string")),
         }
     )
@@ -171,7 +172,10 @@ def accepted(settled: DataFrame) -> DataFrame:
 def tally(judged: DataFrame, rules: Sequence[Rule] = SILVER_RULES) -> DataFrame:
     """(rule, kind, column, n_rows): rows each rule acted on, from one aggregate over the table."""
     counts = judged.agg(
-        *[F.count_if(F.array_contains("fired", rule.name)).alias(rule.name) for rule in rules]
+        *[
+            F.count_if(F.getbit("fired", F.lit(n)) == 1).alias(rule.name)
+            for n, rule in enumerate(rules)
+        ]
     )
     rows = [
         F.struct(
@@ -193,29 +197,33 @@ def rule_report(df: DataFrame, rules: Sequence[Rule] = SILVER_RULES) -> DataFram
     return tally(judge(df, rules), rules)
 
 
-def violation_preview(df: DataFrame, rule: Rule, n: int = 5) -> DataFrame:
-    """Some ``n`` rows whose value breaks the rule; a NULL value is not shown. Stops at ``n``."""
-    return df.filter(rule.violated() & F.col(rule.column).isNotNull()).limit(n)
+def violation_preview(
+    df: DataFrame, rule: Rule, n: int = 5, order: Sequence[Column] | None = None
+) -> DataFrame:
+    """``n`` rows whose value breaks the rule; a NULL value is not shown.
 
+    Any ``n`` rows, and the scan stops once it has them; or with ``order`` the first ``n``, for
+    which each task keeps only its own first ``n``.
+    """
+    violating = df.filter(rule.violated() & F.col(rule.column).isNotNull())
+    return (violating.orderBy(*order) if order else violating).limit(n)
 
-def violation_samples(
-    df: DataFrame, rules: Sequence[Rule], order: Sequence[Column], n: int = 5
+
+def violation_previews(
+    df: DataFrame,
+    rules: Sequence[Rule] = SILVER_RULES,
+    n: int = 5,
+    order: Sequence[Column] | None = None,
 ) -> DataFrame:
-    """The first ``n`` violating rows of every rule by ``order``, from one pass, as ``rule`` + row.
+    """``rule`` and the rows of its ``violation_preview``, for every rule.
 
-    Drop rules among ``rules`` hide the rows they removed from the rules after them. Before the
-    shuffle each task keeps ``n`` rows per rule, however many violate it.
+    A rule looks at the rows that the drop rules before it left. Each preview is a pass of its own,
+    so a ``df`` that is costly to compute should be staged first.
     """
-    shown = F.array_compact(
-        F.array(
-            *[
-                F.when(on & F.col(rule.column).isNotNull(), rule.name)
-                for rule, on in _acting(rules)
-            ]
-        )
-    )
-    ranked = df.select(F.explode(shown).alias("rule"), "*").withColumn(
-        "rank", F.row_number().over(Window.partitionBy("rule").orderBy(*order))
-    )
-    return ranked.filter(F.col("rank") <= n)
-
+    previews, left = [], df
+    for rule in rules:
+        preview = violation_preview(left, rule, n, order)
+        previews.append(preview.select(F.lit(rule.name).alias("rule"), "*"))
+        if rule.kind == DROP:
+            left = left.filter(rule.expr)
+    return reduce(DataFrame.unionByName, previews)

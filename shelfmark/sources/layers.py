@@ -15,21 +15,24 @@ def inferred_layer(spark: SparkSession, path: str) -> DataFrame:
 def read_layer(spark: SparkSession, path: str, expected: StructType) -> DataFrame:
     """Scan a layer under its declared schema, columns in declared order.
 
-    Partition columns, which Spark moves to the end and types by their folder names, get their
-    declared place and type back, also where every value is NULL. A declared column that the files
-    lack raises, instead of reading as NULL. A layer without files (nothing survived cleaning) is
-    an empty table.
+    A declared column that the files lack raises, instead of reading as NULL. Where types differ,
+    the files are read under the declared ones: a partition column whose values are all NULL gets
+    its type back, and a data column of another type fails in the scan. A layer without files
+    (nothing survived cleaning) is an empty table.
     """
     try:
-        present = set(inferred_layer(spark, path).columns)
+        found = inferred_layer(spark, path)
     except AnalysisException as error:
         if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
-        present = set(expected.names)
-    missing = [name for name in expected.names if name not in present]
+        return spark.read.schema(expected).parquet(path)
+    missing = [name for name in expected.names if name not in found.columns]
     if missing:
         raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
-    return spark.read.schema(expected).parquet(path).select(*expected.names)
+    layer = found.select(*expected.names)
+    if layer.schema != expected:
+        layer = spark.read.schema(expected).parquet(path).select(*expected.names)
+    return layer
 
 
 def write_bronze(
