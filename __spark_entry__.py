@@ -41,6 +41,8 @@ from shelfmark.operators.profile import (
     value_distribution,
 )
 from shelfmark.operators.rules import (
+    DROP,
+    PREVIEWED,
     SILVER_RULES,
     apply_rules,
     judge,
@@ -210,18 +212,10 @@ def silver_rule_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def violation_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five violating rows of each previewed rule, the drops before it applied."""
-    names = [
-        "ship_not_before_order",
-        "positive_quantity",
-        "positive_price",
-        "discount_range",
-        "age_range",
-        "payment_code",
-    ]
-    rules = [rule for rule in SILVER_RULES if rule.kind == "drop" or rule.name in names]
+    rules = [rule for rule in SILVER_RULES if rule.kind == DROP or rule.name in PREVIEWED]
     deduped = stage(_deduped(spark, sf_dir), fresh_path(spark, "deduped"))
     rows = violation_previews(deduped, rules, order=total_order())
-    return rows.filter(F.col("rule").isin(names))
+    return rows.filter(F.col("rule").isin(*PREVIEWED))
 
 
 def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,6 +99,17 @@ SILVER_RULES: tuple[Rule, ...] = (
 )
 
 
+# the rules whose violations are worth a look: a value is there, and it is wrong
+PREVIEWED = (
+    "ship_not_before_order",
+    "positive_quantity",
+    "positive_price",
+    "discount_range",
+    "age_range",
+    "payment_code",
+)
+
+
 def rules_named(*names: str, rules: Sequence[Rule] = SILVER_RULES) -> tuple[Rule, ...]:
     by_name = {rule.name: rule for rule in rules}
     return tuple(by_name[name] for name in names)

@@ -1,8 +1,9 @@
-"""Sessions for the jobs. Library functions never build one: they take ``spark`` as an argument."""
+"""Sessions and their sizing. Library functions never build a session: they take ``spark``."""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 MIB = 1024 * 1024
 
@@ -21,12 +22,25 @@ def build_session(app_name: str, settings: dict[str, object] | None = None) -> S
     return builder.getOrCreate()
 
 
+def table_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files below ``path``, from their listing; no content is read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
 def shuffle_partitions(input_bytes: int, target_bytes: int = 512 * MIB) -> int:
     """Number of shuffle partitions for an input of ``input_bytes``.
 
-    The deduplication moves about as many bytes as it reads, so partitions are sized for that
+    The deduplication moves up to as many bytes as it reads, so partitions are sized for that
     shuffle: 512 MiB each sorts in executor memory with little spill. The bounds keep small jobs
-    parallel and hold the number of shuffle blocks at 100 TB (200,000 reducers at most). AQE merges
-    what turns out small, so the number may be generous.
+    parallel and hold the number of shuffle blocks at 100 TB (200,000 reducers). AQE merges what
+    turns out small, so the number may be generous.
     """
     return max(200, min(200_000, -(-input_bytes // target_bytes)))
+
+
+def size_shuffles(spark: SparkSession, path: str) -> None:
+    """Set the session's shuffle partitions for a job over ``path``, unless someone chose them."""
+    default = "200"
+    if spark.conf.get("spark.sql.shuffle.partitions") == default:
+        spark.conf.set("spark.sql.shuffle.partitions", shuffle_partitions(table_bytes(spark, path)))

@@ -1,0 +1,104 @@
+"""The physical plans that carry the scale: what is pruned, limited and combined before a shuffle."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from shelfmark.operators.clean import clean
+from shelfmark.operators.dedupe import dedupe, duplicate_keys
+from shelfmark.operators.marts import mart_totals, order_amounts, top_products
+from shelfmark.operators.profile import null_profile, value_distribution
+from shelfmark.operators.rules import judge, rule_report, settle
+from shelfmark.schemas import BRONZE, SILVER
+from shelfmark.sources import read_layer, write_bronze, write_silver
+from tests.conftest import SF_DIR
+from tests.rows import raw_frame
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def bronze(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("plans") / "bronze")
+    write_bronze(raw_frame(spark, *[{}] * 20), path)
+    return read_layer(spark, path, BRONZE)
+
+
+@pytest.fixture(scope="module")
+def silver(spark, bronze, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("plans") / "silver")
+    write_silver(clean(bronze), path)
+    return read_layer(spark, path, SILVER)
+
+
+def test_dedupe_limits_each_key_before_the_shuffle(bronze):
+    lines = plan(dedupe(bronze)).splitlines()
+    limits = [n for n, line in enumerate(lines) if "WindowGroupLimit" in line]
+    (exchange,) = [n for n, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert len(limits) == 2 and limits[0] < exchange < limits[1]
+
+
+def test_null_keys_are_filtered_in_the_scan(bronze):
+    assert "IsNotNull(transaction_id)" in plan(clean(bronze))
+
+
+def test_cleaning_and_judging_shuffle_once(bronze):
+    for df in (clean(bronze), settle(judge(dedupe(bronze)))):
+        assert plan(df).count("Exchange ") == 1
+
+
+def test_delivered_prunes_folders_and_columns(silver):
+    text = plan(order_amounts(silver))
+    assert re.search(r"PartitionFilters: \[.*order_status.*\]", text)
+    read = re.search(r"FileScan parquet \[([^\]]*)\]", text).group(1)
+    assert "total_amount" not in read and "city" in read
+    assert "customer_id" not in read and "payment_type" not in read
+    assert "Exchange" not in text
+
+
+def test_literal_capitalised_comparison_matches_nothing(silver):
+    """A lower-cased status never equals a capitalised one; order_amounts must not compare so."""
+    assert silver.filter(F.lower("order_status") == "Delivered").count() == 0
+    assert order_amounts(silver).count() == silver.count() > 0
+
+
+def test_all_totals_from_one_scan_and_one_shuffle(silver):
+    text = plan(mart_totals(order_amounts(silver)))
+    assert text.count("FileScan") == 1 and text.count("Exchange ") == 1
+    assert "partial_sum" in text and "SortAggregate" not in text
+
+
+def test_single_marts_combine_before_the_shuffle(silver):
+    amounts = order_amounts(silver)
+    for mart in (entry.daily_sales, entry.category_performance, entry.city_revenue):
+        text = plan(mart(amounts))
+        assert text.count("HashAggregate") == 2 and text.count("Exchange ") == 1
+
+
+def test_top_k_needs_no_full_sort(silver):
+    amounts = order_amounts(silver)
+    assert "TakeOrderedAndProject" in plan(top_products(amounts, k=10))
+    assert "rangepartitioning" in plan(top_products(amounts))
+
+
+def test_profiles_take_one_pass(bronze):
+    for df in (
+        null_profile(bronze),
+        rule_report(bronze),
+        value_distribution(bronze, ["gender", "city"]),
+    ):
+        assert plan(df).count("FileScan") == 1
+
+
+def test_duplicate_keys_reads_the_key_only(bronze):
+    assert "ReadSchema: struct<transaction_id:int>" in plan(duplicate_keys(bronze))
+
+
+@pytest.mark.parametrize("name", ["product_category_performance", "rule_report", "top_products"])
+def test_queries_stay_in_the_jvm_without_cross_joins(spark, name):
+    text = plan(entry.queries()[name](spark, SF_DIR))
+    assert not re.search(r"Python|Pandas|CartesianProduct|BroadcastNestedLoopJoin", text)
