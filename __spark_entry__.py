@@ -21,7 +21,7 @@ from shelfmark.operators.checks import (
     schema_report,
     silver_invariants,
 )
-from shelfmark.operators.clean import clean
+from shelfmark.operators.clean import clean, stamp
 from shelfmark.operators.dedupe import dedupe, duplicate_keys, total_order
 from shelfmark.operators.marts import (
     category_performance,
@@ -44,6 +44,7 @@ from shelfmark.operators.rules import (
     DROP,
     PREVIEWED,
     SILVER_RULES,
+    accepted,
     apply_rules,
     judge,
     rule_report,
@@ -230,8 +231,9 @@ def row_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze and silver as written, and the staged verdicts between them."""
     bronze = bronze_roundtrip(spark, sf_dir)
     judged = stage(settle(judge(dedupe(bronze))), fresh_path(spark, "judged"))
-    silver = read_layer(spark, _written_silver(spark, sf_dir), SILVER)
-    return count_reconciliation(bronze, judged, silver)
+    path = fresh_path(spark, "silver")
+    write_silver(stamp(accepted(judged)), path)
+    return count_reconciliation(bronze, judged, read_layer(spark, path, SILVER))
 
 
 def delivered_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:

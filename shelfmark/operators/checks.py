@@ -43,17 +43,23 @@ def schema_report(df: DataFrame, expected: StructType) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
-def schema_check(df: DataFrame, expected: StructType) -> DataFrame:
-    """(column, expected, actual) where the table differs from its declaration; reads no data."""
-    actual = {f.name: f.dataType.simpleString() for f in df.schema}
+def schema_differences(
+    found: StructType, expected: StructType
+) -> list[tuple[str, str | None, str | None]]:
+    """(column, expected, actual) where two schemas differ, by name."""
+    actual = {f.name: f.dataType.simpleString() for f in found}
     wanted = {f.name: f.dataType.simpleString() for f in expected}
-    differences = [
+    return [
         (name, wanted.get(name), actual.get(name))
         for name in dict.fromkeys([*wanted, *actual])
         if wanted.get(name) != actual.get(name)
     ]
+
+
+def schema_check(df: DataFrame, expected: StructType) -> DataFrame:
+    """``schema_differences`` of a table as a DataFrame; reads no data."""
     return df.sparkSession.createDataFrame(
-        differences, "column string, expected string, actual string"
+        schema_differences(df.schema, expected), "column string, expected string, actual string"
     )
 
 
@@ -65,7 +71,7 @@ def silver_invariants(
     All counts must be 0. The rules take one pass without a shuffle of rows; the key check moves
     keys only and is left out with ``key=None``.
     """
-    counts = silver.agg(*[F.count_if(rule.violated()).alias(rule.name) for rule in rules])
+    counts = silver.agg(*[F.expr(f"count_if({r.violated}) AS {r.name}") for r in rules])
     result = counts.unpivot([], [rule.name for rule in rules], "invariant", "violations")
     if key is None:
         return result

@@ -31,27 +31,28 @@ class Rule:
     expr: str
     cast: str | None = None
 
-    def violated(self) -> Column:
-        """TRUE where the rule acts on a row, else FALSE, never NULL."""
-        value, expr = F.col(self.column), F.expr(self.expr)
+    @property
+    def violated(self) -> str:
+        """SQL that is TRUE where the rule acts on a row, else FALSE, never NULL."""
         if self.kind == DROP:
-            return ~F.coalesce(expr, F.lit(False))
+            return f"NOT coalesce({self.expr}, FALSE)"
         if self.kind == NORMALISE:
-            return ~value.eqNullSafe(expr)
-        bad = F.coalesce(expr, F.lit(False))
+            return f"NOT ({self.column} <=> ({self.expr}))"
+        bad = f"coalesce({self.expr}, FALSE)"
         if self.cast:
-            bad = bad | (value.isNotNull() & value.try_cast(self.cast).isNull())
+            unfit = f"try_cast({self.column} AS {self.cast}) IS NULL"
+            bad = f"({bad} OR ({self.column} IS NOT NULL AND {unfit}))"
         return bad
 
-    def cleaned(self) -> Column:
-        """The column after the rule."""
-        value = F.col(self.column)
+    @property
+    def cleaned(self) -> str:
+        """SQL of the column after the rule."""
         if self.kind == NORMALISE:
-            return F.expr(self.expr)
+            return self.expr
         if self.kind == NULLIFY:
-            kept = value.try_cast(self.cast) if self.cast else value
-            return F.when(~F.coalesce(F.expr(self.expr), F.lit(False)), kept)
-        return value
+            kept = f"try_cast({self.column} AS {self.cast})" if self.cast else self.column
+            return f"CASE WHEN NOT coalesce({self.expr}, FALSE) THEN {kept} END"
+        return self.column
 
 
 # The accepted categories, statuses, payment types and bounds.
@@ -129,20 +130,20 @@ def change_values(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     columns = [rule.column for rule in changes]
     if len(set(columns)) < len(columns):
         raise ValueError("one value rule per column: rules judge raw values")
-    return df.withColumns({rule.column: rule.cleaned() for rule in changes})
+    return df.withColumns({rule.column: F.expr(rule.cleaned) for rule in changes})
 
 
 def apply_rules(df: DataFrame, rules: Sequence[Rule] = SILVER_RULES) -> DataFrame:
     return change_values(drop_rows(df, rules), rules)
 
 
-def _acting(rules: Sequence[Rule]) -> list[Column]:
-    """For each rule, the rows it acts on: those that earlier drop rules left."""
-    left, acting = F.lit(True), []
+def _acting(rules: Sequence[Rule]) -> list[str]:
+    """For each rule, SQL of the rows it acts on: those that earlier drop rules left."""
+    left, acting = [], []
     for rule in rules:
-        acting.append(left & rule.violated())
+        acting.append(" AND ".join([*left, rule.violated]))
         if rule.kind == DROP:
-            left = left & ~rule.violated()
+            left.append(f"coalesce({rule.expr}, FALSE)")
     return acting
 
 
@@ -152,13 +153,11 @@ def judge(df: DataFrame, rules: Sequence[Rule] = SILVER_RULES) -> DataFrame:
     ``fired`` is a long whose n-th bit says that the n-th rule acts on the row, up to its
     rejection; ``rejected_by`` is the drop rule that ends it, NULL for a row that stays.
     """
-    drops = [F.when(rule.violated(), rule.name) for rule in rules if rule.kind == DROP]
-    bits = [F.shiftleft(on.cast("bigint"), n) for n, on in enumerate(_acting(rules))]
+    bits = [f"shiftleft(bigint({on}), {n})" for n, on in enumerate(_acting(rules))]
+    drops = [f"WHEN {r.violated} THEN '{r.name}'" for r in rules if r.kind == DROP]
+    rejected_by = f"CASE {' '.join(drops)} END" if drops else "CAST(NULL AS STRING)"
     return df.withColumns(
-        {
-            "fired": reduce(Column.bitwiseOR, bits, F.lit(0).cast("bigint")),
-            "rejected_by": F.coalesce(*drops, F.lit(None).cast("string")),
-        }
+        {"fired": F.expr(" | ".join(bits) or "0L"), "rejected_by": F.expr(rejected_by)}
     )
 
 
@@ -166,13 +165,9 @@ def settle(judged: DataFrame, rules: Sequence[Rule] = SILVER_RULES) -> DataFrame
     """Clean the judged rows and blank the rejected ones, which then cost next to nothing to store."""
     cleaned = change_values(judged, rules)
     verdict = ["fired", "rejected_by"]
-    return cleaned.select(
-        *[
-            F.when(F.col("rejected_by").isNull(), F.col(name)).alias(name)
-            for name in cleaned.columns
-            if name not in verdict
-        ],
-        *verdict,
+    kept = [name for name in cleaned.columns if name not in verdict]
+    return cleaned.selectExpr(
+        *[f"CASE WHEN rejected_by IS NULL THEN {name} END AS {name}" for name in kept], *verdict
     )
 
 
@@ -183,21 +178,10 @@ def accepted(settled: DataFrame) -> DataFrame:
 def tally(judged: DataFrame, rules: Sequence[Rule] = SILVER_RULES) -> DataFrame:
     """(rule, kind, column, n_rows): rows each rule acted on, from one aggregate over the table."""
     counts = judged.agg(
-        *[
-            F.count_if(F.getbit("fired", F.lit(n)) == 1).alias(rule.name)
-            for n, rule in enumerate(rules)
-        ]
+        *[F.expr(f"count_if(getbit(fired, {n}) = 1) AS {r.name}") for n, r in enumerate(rules)]
     )
-    rows = [
-        F.struct(
-            F.lit(rule.name).alias("rule"),
-            F.lit(rule.kind).alias("kind"),
-            F.lit(rule.column).alias("column"),
-            F.col(rule.name).alias("n_rows"),
-        )
-        for rule in rules
-    ]
-    return counts.select(F.inline(F.array(*rows)))
+    rows = ", ".join(f"'{r.name}', '{r.kind}', '{r.column}', {r.name}" for r in rules)
+    return counts.selectExpr(f"stack({len(rules)}, {rows}) AS (rule, kind, column, n_rows)")
 
 
 def rule_report(df: DataFrame, rules: Sequence[Rule] = SILVER_RULES) -> DataFrame:
@@ -216,7 +200,7 @@ def violation_preview(
     Any ``n`` rows, and the scan stops once it has them; or with ``order`` the first ``n``, for
     which each task keeps only its own first ``n``.
     """
-    violating = df.filter(rule.violated() & F.col(rule.column).isNotNull())
+    violating = df.filter(f"{rule.violated} AND {rule.column} IS NOT NULL")
     return (violating.orderBy(*order) if order else violating).limit(n)
 
 

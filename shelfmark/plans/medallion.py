@@ -8,12 +8,13 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from shelfmark.operators.audit import audit_metadata
 from shelfmark.operators.checks import (
     count_reconciliation,
     mart_profile,
-    schema_check,
+    schema_differences,
     silver_invariants,
 )
 from shelfmark.operators.clean import stamp
@@ -68,6 +69,12 @@ def require_empty(problems: DataFrame, what: str) -> None:
         raise CheckFailed(f"{what}: {[row.asDict() for row in rows]}")
 
 
+def require_schema(spark: SparkSession, path: str, expected: StructType) -> None:
+    differences = schema_differences(inferred_layer(spark, path).schema, expected)
+    if differences:
+        raise CheckFailed(f"schema of {path}: {differences}")
+
+
 def ingest(
     spark: SparkSession,
     raw: str | list[str],
@@ -104,9 +111,7 @@ def refine(
     if check:
         silver = read_layer(spark, layout.silver, SILVER)
         if not silver.isEmpty():
-            require_empty(
-                schema_check(inferred_layer(spark, layout.silver), SILVER), "silver schema"
-            )
+            require_schema(spark, layout.silver, SILVER)
         require_empty(
             silver_invariants(silver, rules).filter("violations > 0"), "silver invariants"
         )
@@ -139,6 +144,8 @@ def publish(spark: SparkSession, layout: Layout, check: bool = True) -> DataFram
     written = read_marts(spark, layout)
     write_mart(audit_metadata(amounts, written), layout.mart("audit_metadata"), single_file=True)
     if check:
+        for name, expected in MARTS.items():
+            require_schema(spark, layout.mart(name), expected)
         require_empty(mart_profile(amounts, written).filter("NOT ok"), "marts")
     return read_layer(spark, layout.mart("audit_metadata"), AUDIT)
 

@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -7,7 +8,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from shelfmark.session import build_session  # noqa: E402
 
-SF_DIR = "/root/testdata/sf0.01"
+SF_DIR = os.environ.get("SHELFMARK_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="session")
