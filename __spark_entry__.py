@@ -28,7 +28,6 @@ from shelfmark.operators.marts import (
     city_revenue,
     daily_sales,
     mart_totals,
-    marts_from_totals,
     monthly_sales,
     order_amounts,
     top_products,
@@ -52,7 +51,7 @@ from shelfmark.operators.rules import (
     settle,
     violation_previews,
 )
-from shelfmark.plans.medallion import Layout, read_marts, run
+from shelfmark.plans.medallion import Layout, read_marts, run, write_marts
 from shelfmark.schemas import BRONZE, SILVER
 from shelfmark.sources import (
     inferred_layer,
@@ -60,7 +59,6 @@ from shelfmark.sources import (
     read_raw,
     with_ingest_metadata,
     write_bronze,
-    write_mart,
     write_silver,
 )
 from shelfmark.storage import fresh_path, stage
@@ -111,12 +109,7 @@ def _written_silver(spark: SparkSession, sf_dir: str) -> str:
 def _gold(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Delivered lines of a written silver layer, and the marts written from them."""
     amounts = order_amounts(read_layer(spark, _written_silver(spark, sf_dir), SILVER))
-    layout = Layout(fresh_path(spark, "gold"))
-    totals = mart_totals(amounts).persist()
-    for name, mart in marts_from_totals(totals).items():
-        write_mart(mart, layout.mart(name), single_file=name == "daily_sales_metrics")
-    totals.unpersist()
-    return amounts, read_marts(spark, layout)
+    return amounts, write_marts(amounts, Layout(fresh_path(spark, "gold")))
 
 
 def _one_rule(name: str) -> Query:

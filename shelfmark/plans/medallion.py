@@ -69,10 +69,10 @@ def require_empty(problems: DataFrame, what: str) -> None:
         raise CheckFailed(f"{what}: {[row.asDict() for row in rows]}")
 
 
-def require_schema(spark: SparkSession, path: str, expected: StructType) -> None:
-    differences = schema_differences(inferred_layer(spark, path).schema, expected)
+def require_schema(layer: DataFrame, expected: StructType, what: str) -> None:
+    differences = schema_differences(layer.schema, expected)
     if differences:
-        raise CheckFailed(f"schema of {path}: {differences}")
+        raise CheckFailed(f"schema of {what}: {differences}")
 
 
 def ingest(
@@ -111,7 +111,7 @@ def refine(
     if check:
         silver = read_layer(spark, layout.silver, SILVER)
         if not silver.isEmpty():
-            require_schema(spark, layout.silver, SILVER)
+            require_schema(inferred_layer(spark, layout.silver), SILVER, "silver")
         require_empty(
             silver_invariants(silver, rules).filter("violations > 0"), "silver invariants"
         )
@@ -125,27 +125,34 @@ def refine(
 
 
 def read_marts(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    return {name: read_layer(spark, layout.mart(name), MARTS[name]) for name in MARTS}
+    """The written marts, their schemas checked."""
+    marts = {name: inferred_layer(spark, layout.mart(name)) for name in MARTS}
+    for name, mart in marts.items():
+        require_schema(mart, MARTS[name], name)
+    return marts
 
 
-def publish(spark: SparkSession, layout: Layout, check: bool = True) -> DataFrame:
-    """Silver to the five marts and the audit row, which is returned.
+def write_marts(amounts: DataFrame, layout: Layout) -> dict[str, DataFrame]:
+    """Write the five marts and return them as read back.
 
     Only the totals are kept between the marts, not the lines: they are as small as the marts, and
-    the silver layer is scanned once for all five.
+    the silver layer is scanned once for all five. Lost blocks are recomputed from that scan.
     """
-    amounts = order_amounts(read_layer(spark, layout.silver, SILVER))
     totals = mart_totals(amounts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for name, mart in marts_from_totals(totals).items():
             write_mart(mart, layout.mart(name), single_file=name in SINGLE_FILE)
     finally:
         totals.unpersist()
-    written = read_marts(spark, layout)
+    return read_marts(amounts.sparkSession, layout)
+
+
+def publish(spark: SparkSession, layout: Layout, check: bool = True) -> DataFrame:
+    """Silver to the five marts and the audit row, which is returned."""
+    amounts = order_amounts(read_layer(spark, layout.silver, SILVER))
+    written = write_marts(amounts, layout)
     write_mart(audit_metadata(amounts, written), layout.mart("audit_metadata"), single_file=True)
     if check:
-        for name, expected in MARTS.items():
-            require_schema(spark, layout.mart(name), expected)
         require_empty(mart_profile(amounts, written).filter("NOT ok"), "marts")
     return read_layer(spark, layout.mart("audit_metadata"), AUDIT)
 

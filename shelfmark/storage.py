@@ -8,7 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folders: dict[str, str] = {}
+# removed when the process ends
+_local_folders: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -25,8 +26,10 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     app = spark.conf.get("spark.app.id", master)
     if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="shelfmark-")
-    return _local_folders[app]
+        _local_folders[app] = tempfile.TemporaryDirectory(
+            prefix="shelfmark-", ignore_cleanup_errors=True
+        )
+    return _local_folders[app].name
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -1,0 +1,32 @@
+from types import SimpleNamespace
+
+import pytest
+
+from shelfmark.storage import fresh_path, shared_dir, stage
+
+
+def _session(**conf):
+    settings = {key.replace("_", "."): value for key, value in conf.items()}
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)))
+
+
+def test_folder_comes_from_the_session(spark):
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert configured and shared_dir(spark) == configured
+
+
+@pytest.mark.parametrize("master", ["yarn", "spark://host:7077", "local-cluster[2,1,1024]", ""])
+def test_cluster_without_a_shared_folder_is_refused(master):
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_session(spark_master=master))
+
+
+def test_local_master_gets_one_temporary_folder():
+    session = _session(spark_master="local[8]")
+    assert shared_dir(session) == shared_dir(session)
+    assert shared_dir(_session(spark_master="yarn", spark_checkpoint_dir="hdfs:///x/")) == "hdfs:///x"
+
+
+def test_staged_table_starts_from_files(spark):
+    staged = stage(spark.range(10).selectExpr("id", "id % 3 AS k"), fresh_path(spark, "t"))
+    assert staged.count() == 10 and len(staged.inputFiles()) > 0
