@@ -14,9 +14,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfmark.plans.medallion import Layout, ingest, publish, refine, run
+from shelfmark.plans.medallion import Layout, ingest, publish, refine
 from shelfmark.plans.reports import bronze_report, gold_report, silver_report
-from shelfmark.session import build_session, size_shuffles
+from shelfmark.session import SHUFFLE_PARTITIONS, build_session, size_shuffles
 
 REPORTS = {"bronze": bronze_report, "silver": silver_report, "gold": gold_report}
 
@@ -44,24 +44,28 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
 
 
 def execute(spark: SparkSession, arguments: argparse.Namespace) -> None:
-    layout = Layout(arguments.root)
-    ingest_options = {
-        "origin": arguments.origin,
-        "dynamic": arguments.dynamic,
-        "rebalance": arguments.rebalance,
-        "check_header": arguments.check_header,
-    }
-    if arguments.job in ("run", "silver"):
-        size_shuffles(spark, arguments.raw if arguments.job == "run" else layout.bronze)
-    if arguments.job == "run":
-        show(run(spark, arguments.raw, arguments.root, **ingest_options))
-    elif arguments.job == "bronze":
-        ingest(spark, arguments.raw, layout, **ingest_options)
-    elif arguments.job == "silver":
+    job, layout = arguments.job, Layout(arguments.root)
+    # a number that someone chose stays
+    sizing = spark.conf.get(SHUFFLE_PARTITIONS) == "200"
+    if job in ("run", "bronze"):
+        ingest(
+            spark,
+            arguments.raw,
+            layout,
+            origin=arguments.origin,
+            dynamic=arguments.dynamic,
+            rebalance=arguments.rebalance,
+            check_header=arguments.check_header,
+        )
+    if job in ("run", "silver"):
+        if sizing:
+            size_shuffles(spark, layout.bronze)
         show(refine(spark, layout))
-    elif arguments.job == "gold":
+    if job in ("run", "gold"):
+        if sizing:
+            size_shuffles(spark, layout.silver)
         show(publish(spark, layout))
-    else:
+    if job == "inspect":
         for title, report in REPORTS[arguments.layer](spark, layout).items():
             print(f"-- {title}")
             show(report)

@@ -36,4 +36,4 @@ def mean_money(total: Column, n: Column) -> Column:
     rows = F.nullif(n, F.lit(0)).cast("decimal(18,0)")
     twice = F.lit(Decimal(2))
     rounded = F.call_function("div", cents * twice + rows, rows * twice)
-    return rounded.cast("double") / F.lit(100.0)
+    return as_money(rounded.cast("decimal(20,0)") * F.lit(Decimal("0.01")))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-MIB = 1024 * 1024
+GIB = 1 << 30
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def build_session(app_name: str, settings: dict[str, object] | None = None) -> SparkSession:
@@ -28,19 +29,17 @@ def table_bytes(spark: SparkSession, path: str) -> int:
     return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
-def shuffle_partitions(input_bytes: int, target_bytes: int = 512 * MIB) -> int:
-    """Number of shuffle partitions for an input of ``input_bytes``.
+def shuffle_partitions(input_bytes: int, target_bytes: int = GIB) -> int:
+    """Number of shuffle partitions for a job that reads ``input_bytes``.
 
     The deduplication moves up to as many bytes as it reads, so partitions are sized for that
-    shuffle: 512 MiB each sorts in executor memory with little spill. The bounds keep small jobs
-    parallel and hold the number of shuffle blocks at 100 TB (200,000 reducers). AQE merges what
-    turns out small, so the number may be generous.
+    shuffle. Up to 50 TiB they hold 1 GiB; beyond that they grow, because a map task writes a block
+    per partition and blocks of a few KiB cost more than sorting 2 GiB with some spill. AQE merges
+    what turns out small.
     """
-    return max(200, min(200_000, -(-input_bytes // target_bytes)))
+    return max(200, min(50_000, -(-input_bytes // target_bytes)))
 
 
 def size_shuffles(spark: SparkSession, path: str) -> None:
-    """Set the session's shuffle partitions for a job over ``path``, unless someone chose them."""
-    default = "200"
-    if spark.conf.get("spark.sql.shuffle.partitions") == default:
-        spark.conf.set("spark.sql.shuffle.partitions", shuffle_partitions(table_bytes(spark, path)))
+    """Set the session's shuffle partitions for a job over ``path``."""
+    spark.conf.set(SHUFFLE_PARTITIONS, shuffle_partitions(table_bytes(spark, path)))

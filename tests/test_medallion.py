@@ -1,4 +1,5 @@
 from datetime import date, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,9 +14,9 @@ from shelfmark.operators.dedupe import dedupe
 from shelfmark.operators.marts import mart_totals, marts_from_totals, order_amounts
 from shelfmark.operators.rules import judge
 from shelfmark.plans import medallion
-from shelfmark.plans.medallion import CheckFailed, Layout, ingest, publish, refine, run
+from shelfmark.plans.medallion import CheckFailed, Layout, ingest, publish, refine, run, write_marts
 from shelfmark.schemas import MARTS, SILVER
-from shelfmark.session import shuffle_partitions, size_shuffles, table_bytes
+from shelfmark.session import SHUFFLE_PARTITIONS, shuffle_partitions, table_bytes
 from shelfmark.sources import read_layer
 from shelfmark.storage import shared_dir
 from tests.conftest import SF_DIR
@@ -99,6 +100,26 @@ def test_run_on_csv(spark, tmp_path):
     assert top.units_sold == silver.agg(F.sum("quantity")).first()[0]
 
 
+def test_top_products_files_are_globally_sorted(spark, tmp_path):
+    lines = [{"product_id": f"PROD{n:03}", "quantity": n % 40 + 1} for n in range(200)]
+    layout = Layout(str(tmp_path))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_marts(order_amounts(raw_frame(spark, *lines)), layout)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = sorted(Path(layout.mart("top_products")).glob("*.parquet"))
+    rows = [row for f in files for row in spark.read.parquet(str(f)).collect()]
+    assert len(files) > 1 and len(rows) == 200
+    assert rows == sorted(rows, key=lambda r: (-r.revenue, r.product_id))
+
+
+def test_totals_do_not_stay_cached(spark, tmp_path):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    write_marts(order_amounts(raw_frame(spark, {})), Layout(str(tmp_path)))
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
 def test_rerun_replaces_all_layers(spark, tmp_path):
     root, layout = str(tmp_path / "out"), Layout(str(tmp_path / "out"))
     run(spark, _csv(raw_frame(spark, {}, {}), tmp_path / "a"), root)
@@ -188,10 +209,15 @@ def test_command_line_refuses_incomplete_jobs():
             parse(argv)
 
 
-def test_shuffles_follow_the_input_size(spark):
+def test_shuffles_follow_the_input_size(spark, tmp_path):
     assert table_bytes(spark, f"{SF_DIR}/nation.parquet") == 2559
     assert shuffle_partitions(0) == 200
-    assert shuffle_partitions(10 * 2**40) == 20_480
-    assert shuffle_partitions(100 * 2**40) == 200_000
-    size_shuffles(spark, SF_DIR)
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    assert shuffle_partitions(10 * 2**40) == 10_240
+    assert shuffle_partitions(100 * 2**40) == 50_000
+    raw = _csv(raw_frame(spark, {"quantity": 0}), tmp_path / "raw")
+    spark.conf.set(SHUFFLE_PARTITIONS, 200)
+    try:
+        execute(spark, parse(["run", "--raw", raw, "--root", str(tmp_path / "out")]))
+        assert spark.conf.get(SHUFFLE_PARTITIONS) == "200"
+    finally:
+        spark.conf.set(SHUFFLE_PARTITIONS, 8)

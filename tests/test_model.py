@@ -1,0 +1,144 @@
+"""The cleaning and the marts against a row-by-row model on random dirty rows."""
+
+import random
+from collections import defaultdict
+from datetime import date, timedelta
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+
+from shelfmark.operators.clean import clean
+from shelfmark.operators.marts import mart_totals, marts_from_totals, order_amounts
+from shelfmark.schemas import RAW
+from tests.rows import CLEAN, raw_frame
+
+CENT = Decimal("0.01")
+START = date(2024, 2, 27)
+
+
+def _random_rows(seed, n=600):
+    draw = random.Random(seed)
+
+    def some(*values):
+        return draw.choice(values)
+
+    return [
+        {
+            "transaction_id": some(None, 7, draw.randrange(n // 2), draw.randrange(n // 2)),
+            "order_date": some(None, *[START + timedelta(draw.randrange(70))] * 9),
+            "ship_date": some(None, *[START + timedelta(draw.randrange(80))] * 9),
+            "customer_id": some(None, "CUST1", "CUST2", "CUST3", "CUST4", "CUST5"),
+            "customer_age": some(None, -3, 14, 15, 40, 100, 101),
+            "gender": some(None, "M", "f", " Male", "FEMALE ", "x", ""),
+            "product_id": some(None, "PROD1", "PROD2", "PROD3"),
+            "product_category": some("Sports", "Fashion", "Grocery", "Furniture", "sports", None),
+            "quantity": some(None, -1, 0, 1, 2, 3, 50, 2**31 - 1),
+            "unit_price": some(None, -2.5, 0.0, 1.005, 0.3333, 19.99, 123456.7),
+            "discount_pct": some(None, -0.01, 0.0, 7.25, 33.3333, 100.0, 100.01),
+            "city": some(None, "Dallas", "Reno"),
+            "state": some(None, "TX", "NV"),
+            "payment_type": some(None, "Card", " upi", "COD", "Crypto"),
+            "order_status": some(None, "Delivered", "Delivered", "delivered", "Returned"),
+            "ingestion_date": some(None, START, START + timedelta(1)),
+        }
+        for _ in range(n)
+    ]
+
+
+def _survivors(rows):
+    def rank(row):
+        newest = row["ingestion_date"]
+        others = [row[c] for c in RAW.names if c not in ("transaction_id", "ingestion_date")]
+        return (
+            newest is None,
+            -newest.toordinal() if newest else 0,
+            [(value is None, value if value is not None else 0) for value in others],
+        )
+
+    groups = defaultdict(list)
+    for row in rows:
+        groups[row["transaction_id"]].append(row)
+    return [min(group, key=rank) for group in groups.values()]
+
+
+def _cleaned(row):
+    if row["transaction_id"] is None or row["customer_id"] is None:
+        return None
+    if row["product_category"] not in ("Electronics", "Fashion", "Grocery", "Sports"):
+        return None
+    if row["quantity"] is None or row["quantity"] <= 0:
+        return None
+    new = dict(row)
+    if row["ship_date"] and row["order_date"] and row["ship_date"] < row["order_date"]:
+        new["ship_date"] = None
+    if row["order_status"] not in ("Delivered", "Cancelled", "Returned"):
+        new["order_status"] = None
+    price, discount, age = row["unit_price"], row["discount_pct"], row["customer_age"]
+    new["unit_price"] = Decimal(str(price)) if price is not None and price > 0 else None
+    new["discount_pct"] = (
+        Decimal(str(discount)) if discount is not None and 0 <= discount <= 100 else None
+    )
+    new["customer_age"] = age if age is not None and 15 <= age <= 100 else None
+    code = (row["gender"] or "").strip(" ").upper()
+    new["gender"] = {"M": "M", "MALE": "M", "F": "F", "FEMALE": "F"}.get(code)
+    payment = (row["payment_type"] or "").strip(" ").upper()
+    new["payment_type"] = payment if payment in ("CARD", "UPI", "COD") else None
+    return new
+
+
+def _amount(row):
+    if row["unit_price"] is None or row["discount_pct"] is None:
+        return None
+    exact = row["quantity"] * row["unit_price"] * (100 - row["discount_pct"]) / 100
+    return exact.quantize(CENT, ROUND_HALF_UP)
+
+
+def _mart(lines, key):
+    groups = defaultdict(list)
+    for row in lines:
+        groups[key(row)].append(row)
+    result = {}
+    for value, rows in groups.items():
+        amounts = [a for a in map(_amount, rows) if a is not None]
+        total = float(sum(amounts)) if amounts else None
+        mean = float((sum(amounts) / len(amounts)).quantize(CENT, ROUND_HALF_UP)) if amounts else None
+        result[value] = (total, len(rows), sum(r["quantity"] for r in rows), mean)
+    return result
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_model(spark, seed):
+    rows = _random_rows(seed)
+    silver = clean(raw_frame(spark, *rows))
+    expected = [row for row in map(_cleaned, _survivors(rows)) if row]
+    ours = [{c: row[c] for c in CLEAN} for row in silver.collect()]
+    by_id = lambda row: row["transaction_id"]
+    assert sorted(ours, key=by_id) == sorted(expected, key=by_id)
+
+    lines = [row for row in expected if row["order_status"] == "Delivered"]
+    marts = marts_from_totals(mart_totals(order_amounts(silver)))
+    daily = _mart(lines, lambda r: r["order_date"])
+    assert {
+        r.order_date: (r.total_revenue, r.total_orders, r.avg_order_value)
+        for r in marts["daily_sales_metrics"].collect()
+    } == {k: (v[0], v[1], v[3]) for k, v in daily.items()}
+    monthly = _mart(lines, lambda r: r["order_date"] and r["order_date"].strftime("%Y-%m"))
+    assert {
+        r.year_month: (r.monthly_revenue, r.monthly_orders)
+        for r in marts["monthly_sales_metrics"].collect()
+    } == {k: v[:2] for k, v in monthly.items()}
+    category = _mart(lines, lambda r: r["product_category"])
+    assert {
+        r.product_category: (r.category_revenue, r.order_count, r.total_units_sold, r.avg_order_value)
+        for r in marts["product_category_performance"].collect()
+    } == category
+    city = _mart(lines, lambda r: (r["city"], r["state"]))
+    assert {
+        (r.city, r.state): (r.city_revenue, r.order_count, r.avg_order_value)
+        for r in marts["city_revenue_metrics"].collect()
+    } == {k: (v[0], v[1], v[3]) for k, v in city.items()}
+    products = _mart(lines, lambda r: r["product_id"])
+    top = [(r.product_id, r.revenue, r.units_sold) for r in marts["top_products"].collect()]
+    assert {t[0]: t[1:] for t in top} == {k: (v[0], v[2]) for k, v in products.items()}
+    revenues = [t[1] for t in top if t[1] is not None]
+    assert revenues == sorted(revenues, reverse=True)
