@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.operators.profile import row_counts
+from shelfmark.operators.checks import mart_profile
 from shelfmark.schemas import AUDIT
 
 # Audit column of each mart.
@@ -24,16 +24,22 @@ SOURCE_TABLE = "retail_sales_clean"
 def audit_metadata(source: DataFrame, marts: Mapping[str, DataFrame]) -> DataFrame:
     """One row: counts of the delivered lines and of each mart, and a status that follows from them.
 
-    ``SUCCESS`` if all have rows, ``EMPTY`` if nothing was delivered, else ``FAILED``. Pass the
-    tables as read back from disk: then the counts are those of what was written.
+    ``FAILED`` if ``mart_profile`` finds a mart wrong, else ``SUCCESS``, or ``EMPTY`` if nothing was
+    delivered. Pass the tables as read back from disk: then it speaks of what was written.
     """
-    columns = {"source": "source_rows", **COUNT_COLUMNS}
-    counts = row_counts({"source": source, **{name: marts[name] for name in COUNT_COLUMNS}})
-    row = counts.agg(
-        *[F.max(F.when(F.col("layer") == k, F.col("n_rows"))).alias(c) for k, c in columns.items()]
+    row = mart_profile(source, marts).agg(
+        F.max("source_rows").alias("source_rows"),
+        F.bool_and("ok").alias("all_ok"),
+        *[
+            F.max(F.when(F.col("mart") == mart, F.col("n_rows"))).alias(column)
+            for mart, column in COUNT_COLUMNS.items()
+        ],
+    )
+    status = (
+        F.when(~F.col("all_ok"), "FAILED")
+        .when(F.col("source_rows") == 0, "EMPTY")
+        .otherwise("SUCCESS")
     )
-    full = F.least(*[F.col(c) for c in COUNT_COLUMNS.values()]) > 0
-    status = F.when(F.col("source_rows") == 0, "EMPTY").when(full, "SUCCESS").otherwise("FAILED")
     return row.withColumns(
         {
             "source_table": F.lit(SOURCE_TABLE),

@@ -155,6 +155,22 @@ def test_missing_mart_rows_fail(spark):
     assert audit_metadata(amounts, empty).first().pipeline_status == "FAILED"
 
 
+def test_incomplete_mart_fails_the_gold_job(spark, tmp_path, monkeypatch):
+    layout = Layout(str(tmp_path / "out"))
+    ingest(spark, _csv(raw_frame(spark, {}, {"city": "Reno"}), tmp_path / "raw"), layout)
+    refine(spark, layout)
+    whole = medallion.marts_from_totals
+
+    def broken(totals):
+        marts = whole(totals)
+        return {**marts, "city_revenue_metrics": marts["city_revenue_metrics"].limit(1)}
+
+    monkeypatch.setattr(medallion, "marts_from_totals", broken)
+    with pytest.raises(CheckFailed, match="city_revenue_metrics"):
+        publish(spark, layout)
+    assert publish(spark, layout, check=False).first().pipeline_status == "FAILED"
+
+
 def test_invariants_see_dirty_rows_and_repeated_keys(spark):
     dirty = raw_frame(spark, {"transaction_id": 1}, {"transaction_id": 1, "gender": "male"})
     found = {r.invariant: r.violations for r in silver_invariants(dirty).collect()}
