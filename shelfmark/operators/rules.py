@@ -7,7 +7,7 @@ one filter; the order of the table only decides which rule a dropped row is book
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -22,7 +22,8 @@ DROP, NULLIFY, NORMALISE = "drop", "nullify", "normalise"
 class Rule:
     """``expr`` is SQL: what to keep (drop), what is bad (nullify) or the new value (normalise).
 
-    ``cast`` is the type of the cleaned value; a value outside that type counts as bad.
+    ``cast`` is the type of the cleaned value; a value outside that type counts as bad. ``after``
+    is what is bad in a cleaned value, where rounding to that type can reach the bound of ``expr``.
     """
 
     name: str
@@ -30,6 +31,7 @@ class Rule:
     column: str
     expr: str
     cast: str | None = None
+    after: str | None = None
 
     @property
     def violated(self) -> str:
@@ -44,6 +46,11 @@ class Rule:
             bad = f"({bad} OR ({self.column} IS NOT NULL AND {unfit}))"
         return bad
 
+    @property
+    def broken(self) -> str:
+        """SQL that is TRUE where a cleaned row does not hold what the rule promises."""
+        return replace(self, expr=self.after or self.expr).violated
+
     @property
     def cleaned(self) -> str:
         """SQL of the column after the rule."""
@@ -74,13 +81,20 @@ SILVER_RULES: tuple[Rule, ...] = (
         "order_status NOT IN ('Delivered', 'Cancelled', 'Returned')",
     ),
     Rule("positive_quantity", DROP, "quantity", "quantity > 0"),
-    Rule("positive_price", NULLIFY, "unit_price", "unit_price <= 0", PRICE.simpleString()),
+    Rule(
+        "positive_price",
+        NULLIFY,
+        "unit_price",
+        "unit_price <= 0",
+        cast=PRICE.simpleString(),
+        after="unit_price < 0",
+    ),
     Rule(
         "discount_range",
         NULLIFY,
         "discount_pct",
         "discount_pct < 0 OR discount_pct > 100",
-        PERCENT.simpleString(),
+        cast=PERCENT.simpleString(),
     ),
     Rule("age_range", NULLIFY, "customer_age", "customer_age < 15 OR customer_age > 100"),
     Rule(

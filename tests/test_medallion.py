@@ -178,6 +178,17 @@ def test_invariants_see_dirty_rows_and_repeated_keys(spark):
     assert sum(found.values()) == 2
 
 
+def test_values_rounded_to_a_bound_are_clean(spark):
+    rows = raw_frame(spark, {"unit_price": 0.00001}, {"discount_pct": 99.99999}, {"unit_price": 1e11})
+    silver = clean(rows)
+    assert silver_invariants(silver).filter("violations > 0").count() == 0
+    amounts = {r.transaction_id: r.total_amount for r in order_amounts(silver).collect()}
+    assert amounts == {1: 0, 2: 0, 3: 18 * 10**10}
+    negative = raw_frame(spark, {"unit_price": -0.5})
+    found = silver_invariants(negative).filter("violations > 0").collect()
+    assert [r.invariant for r in found] == ["positive_price"]
+
+
 def test_reconciliation_sees_a_lost_row(spark):
     bronze = raw_frame(spark, {}, {"transaction_id": 1}, {"quantity": 0}, {"customer_id": None})
     judged, silver = judge(dedupe(bronze)), clean(bronze)

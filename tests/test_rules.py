@@ -34,6 +34,7 @@ BEFORE = date(2024, 5, 9)
         ("unit_price", -1.0, None),
         ("unit_price", None, None),
         ("unit_price", 1.005, Decimal("1.0050")),
+        ("unit_price", 0.00001, Decimal("0.0000")),
         ("unit_price", float("nan"), None),
         ("unit_price", float("inf"), None),
         ("unit_price", 1e15, None),
