@@ -1,0 +1,127 @@
+import random
+
+import duckdb
+import pytest
+import xxhash
+
+from shelfmark.llm import simhash as S
+from shelfmark.llm.graph import connected_components
+from tests.conftest import SF_DIR
+
+WORDS = "id long, text string, doc_id long"
+
+
+def plain_simhash(text, k=3):
+    """Bit by bit, straight from the definition."""
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = [w for w in __import__("re").split("[\x20\x09-\x0d]+", low) if w]
+    if not words:
+        return 0
+    grams = [" ".join(words[i : i + k]) for i in range(max(1, len(words) - k + 1))]
+    hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(prints, ids, max_bits=2):
+    """Every pair compared, then labels pushed until nothing moves."""
+    label = list(range(len(prints)))
+    near = [
+        (i, j)
+        for i in range(len(prints))
+        for j in range(i)
+        if bin(prints[i] ^ prints[j]).count("1") <= max_bits
+    ]
+    moved = True
+    while moved:
+        moved = False
+        for i, j in near:
+            low = min(label[i], label[j])
+            moved |= label[i] != low or label[j] != low
+            label[i] = label[j] = low
+    groups = {}
+    for i, root in enumerate(label):
+        groups.setdefault(root, []).append(ids[i])
+    least = {r: min((x for x in g if x is not None), default=None) for r, g in groups.items()}
+    return [least[r] for r in label]
+
+
+@pytest.mark.parametrize(
+    "text", [None, "", " \n", "One", "A b", "A b c", "É x y z", "x\x0by\x0cz w\x1cv", "to be or not " * 50]
+)
+def test_fingerprint_follows_the_definition(text):
+    data = None if text is None else text.encode()
+    assert S.simhash(data) == plain_simhash(text)
+
+
+def test_documents_against_all_pairs(spark):
+    rows = duckdb.sql(f"SELECT doc_id, text FROM '{SF_DIR}/documents.parquet' ORDER BY doc_id").fetchall()
+    prints = [plain_simhash(text) for _, text in rows]
+    expected = plain_components(prints, [i for i, _ in rows])
+    found = S.op1_simhash_near_dedup(spark, SF_DIR).collect()
+    assert {(r.doc_id, r.fingerprint, r.component_id) for r in found} == {
+        (i, f"{p:016x}", c) for (i, _), p, c in zip(rows, prints, expected, strict=True)
+    }
+    assert len(found) == len(rows)
+
+
+@pytest.mark.parametrize("paired", [64, 2])
+@pytest.mark.parametrize("max_bits", [1, 2, 3])
+def test_links_connect_like_all_pairs(spark, monkeypatch, paired, max_bits):
+    monkeypatch.setattr(S, "PAIRED_CELL", paired)
+    draw = random.Random(7)
+    seeds = [draw.getrandbits(64) for _ in range(6)]
+    prints = {0, (1 << 64) - 1}
+    for seed in seeds:
+        for _ in range(40):
+            prints.add(seed)
+            for bit in draw.sample(range(64), draw.randint(1, 3)):
+                seed ^= 1 << bit
+            prints.add(seed)
+    prints = sorted(prints)
+    signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
+    table = spark.createDataFrame(signed, "fp long")
+    found = connected_components(S.links(table, max_bits)).collect()
+    index = {p & ((1 << 64) - 1): n for n, p in enumerate(sorted(s for (s,) in signed))}
+    ids = [index[p] for p in prints]
+    expected = dict(zip(ids, plain_components(prints, ids, max_bits), strict=True))
+    got = dict(zip(ids, ids, strict=True))
+    got |= {index[r.node & ((1 << 64) - 1)]: index[r.root & ((1 << 64) - 1)] for r in found}
+    assert got == expected
+
+
+def test_manhattan_is_a_lower_bound(spark):
+    draw = random.Random(3)
+    rows = [(draw.getrandbits(63), draw.getrandbits(63)) for _ in range(200)]
+    table = spark.createDataFrame(rows, "a long, b long")
+    from pyspark.sql import functions as F
+
+    got = table.select(
+        "a", "b", S.manhattan(S.segment_counts(F.col("a")), S.segment_counts(F.col("b"))).alias("d")
+    ).collect()
+    for r in got:
+        plain = sum(
+            abs(bin(r.a >> 2 * s & 3).count("1") - bin(r.b >> 2 * s & 3).count("1")) for s in range(32)
+        )
+        assert r.d == plain <= bin(r.a ^ r.b).count("1")
+
+
+def test_nulls_ties_and_foreign_columns(spark):
+    rows = [(None, "a b c d", 1), (3, "a b c d", 2), (3, "a b c d", 2), (5, None, 1), (6, "", 1), (None, "zz", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fp int")
+    found = S.near_duplicates(docs).collect()
+    assert sorted((r.doc_id or -1, r.component_id or -1) for r in found) == [
+        (-1, -1), (-1, 3), (3, 3), (3, 3), (5, 5), (6, 5),
+    ]
+    assert {r.fingerprint for r in found if r.doc_id in (5, 6)} == {"0" * 16}
+    kept = S.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or -1, r.text or "") for r in kept.collect()) == [(-1, "zz"), (3, "a b c d"), (5, "")]
+    assert S.near_duplicates(docs.limit(0)).count() == 0
+    assert S.keep_one(docs.limit(0)).count() == 0
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7), (200, 201), (201, 200)]
+    found = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
+    expected = {i: 0 for i in range(61)} | {100 + i: 100 for i in range(50)} | {200: 200, 201: 200}
+    assert {r.node: r.root for r in found} == expected and len(found) == len(expected)
