@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -281,7 +282,38 @@ def _mart(mart: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: mart(_amounts(spark, sf_dir))
 
 
+def _optional(name: str) -> object | None:
+    """A module that may have been left out of this installation; its own errors are not hidden."""
+    try:
+        return import_module(name)
+    except ModuleNotFoundError as error:
+        if error.name and name.startswith(error.name):
+            return None
+        raise
+
+
+_LLM = _optional("shelfmark.llm.queries")
+_PIPELINE = _optional("corpus_pipeline")
+
+
+def _text_queries() -> dict[str, Query]:
+    """Those of the text subpackage and its pipeline, where installed."""
+    found = dict(_LLM.QUERIES) if _LLM else {}
+    return found | ({"pipeline": _PIPELINE.run} if _PIPELINE else {})
+
+
+def _text_oracles() -> dict[str, str]:
+    found = dict(_LLM.ORACLES) if _LLM else {}
+    if _PIPELINE and _PIPELINE.ORACLE_SQL:
+        found["pipeline"] = _PIPELINE.ORACLE_SQL
+    return found
+
+
 def queries() -> dict[str, Query]:
+    return _retail_queries() | _text_queries()
+
+
+def _retail_queries() -> dict[str, Query]:
     return {
         "bronze_csv_roundtrip": bronze_csv_roundtrip,
         "bronze_roundtrip": bronze_roundtrip,
@@ -329,7 +361,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries()
+    return oracle_queries() | _text_oracles()
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -6,9 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from checks.oracle import oracle_queries
 from tests.conftest import SF_DIR
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = entry._retail_queries(), oracle_queries()
 TYPES = {
     "int": "INTEGER",
     "bigint": "BIGINT",
@@ -49,6 +50,7 @@ def test_matches_reference_sql(spark, duck, name):
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {"partition_profile"}
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_partition_profile_covers_all_rows(spark, duck):
