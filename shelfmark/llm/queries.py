@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import chat, quality, simhash
+from shelfmark.llm import chat, lines, quality, simhash
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
     "op2_quality_rules": quality.op2_quality_rules,
+    "op3_line_dedup": lines.op3_line_dedup,
     "op4_chat_formatting": chat.op4_chat_formatting,
 }
 
 ORACLES: dict[str, str] = {
     "op2_quality_rules": quality.OP2_SQL,
+    "op3_line_dedup": lines.OP3_SQL,
     "op4_chat_formatting": chat.OP4_SQL,
 }
