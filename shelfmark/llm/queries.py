@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import chat, lines, quality, simhash
+from shelfmark.llm import chat, lines, quality, simhash, warc
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
     "op2_quality_rules": quality.op2_quality_rules,
     "op3_line_dedup": lines.op3_line_dedup,
     "op4_chat_formatting": chat.op4_chat_formatting,
+    "op6_warc": warc.op6_warc,
 }
 
 ORACLES: dict[str, str] = {
     "op2_quality_rules": quality.OP2_SQL,
     "op3_line_dedup": lines.OP3_SQL,
     "op4_chat_formatting": chat.OP4_SQL,
+    "op6_warc": warc.OP6_SQL,
 }
