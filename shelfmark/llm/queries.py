@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import chat, lines, quality, simhash, warc
+from shelfmark.llm import chat, lines, packing, quality, simhash, warc
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_line_dedup": lines.op3_line_dedup,
     "op4_chat_formatting": chat.op4_chat_formatting,
     "op6_warc": warc.op6_warc,
+    "op9_best_fit_packing": packing.op9_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {
