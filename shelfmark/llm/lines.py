@@ -75,7 +75,8 @@ def _marked(docs: DataFrame, size: int) -> DataFrame:
     rows = docs.select(F.struct("*").alias("row"))
     rows = rows.withColumns({"row_id": F.col("row.doc_id").cast("long"), "row_hash": F.xxhash64("row.text")})
     same = F.col("row_id").eqNullSafe(F.col("id")) & (F.col("row_hash") == F.col("hash"))
-    return rows.join(runs, same, "left").select("row", "runs")
+    # the same plan at every size: the list of runs grows with the documents
+    return rows.join(runs.hint("merge"), same, "left").select("row", "runs")
 
 
 def dedupe_lines(docs: DataFrame, size: int = WINDOW_LINES) -> DataFrame:
