@@ -239,7 +239,7 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     leaks = stage(leaks, fresh_path(docs.sparkSession, "leaks"))
     rows = docs.select(F.struct("*").alias("row"))
     same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("leak_id")) & (F.xxhash64("row.text") == F.col("text_hash"))
-    return rows.join(leaks, same, "left_anti").select("row.*")
+    return rows.join(leaks.hint("merge"), same, "left_anti").select("row.*")
 
 
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

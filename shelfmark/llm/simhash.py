@@ -224,7 +224,7 @@ def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int
     rows = rows.withColumns({"id": F.col("row.doc_id").cast("long"), "hash": F.xxhash64("row.text")})
     same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
     first = Window.partitionBy("id", "hash").orderBy("id")
-    held = rows.join(best, same).withColumn("nth", F.row_number().over(first))
+    held = rows.join(best.hint("merge"), same).withColumn("nth", F.row_number().over(first))
     return held.filter("nth = 1").select("row.*")
 
 

@@ -139,7 +139,7 @@ def write_warc(
     )
     revisits = stage(revisits, fresh_path(spark, "revisits"))
     same = F.col("page_id").eqNullSafe(F.col("p")) & F.col("url").eqNullSafe(F.col("u")) & (F.col("sha1") == F.col("s"))
-    joined = rows.join(revisits, same, "left").select("page_id", "url", "html", "revisit", "first_id", "first_url")
+    joined = rows.join(revisits.hint("merge"), same, "left").select("page_id", "url", "html", "revisit", "first_id", "first_url")
 
     def built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
