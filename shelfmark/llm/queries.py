@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import chat, decontaminate, lines, packing, quality, simhash, warc
+from shelfmark.llm import chat, decontaminate, html, lines, packing, quality, simhash, warc
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_line_dedup": lines.op3_line_dedup,
     "op4_chat_formatting": chat.op4_chat_formatting,
     "op6_warc": warc.op6_warc,
+    "op7_html_extraction": html.op7_html_extraction,
     "op8_decontamination": decontaminate.op8_decontamination,
     "op9_best_fit_packing": packing.op9_best_fit_packing,
 }
