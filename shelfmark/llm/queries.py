@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import chat, decontaminate, html, lines, packing, quality, simhash, warc
+from shelfmark.llm import chat, decontaminate, html, licences, lines, packing, quality, simhash, warc
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
@@ -13,6 +13,7 @@ QUERIES = {
     "op7_html_extraction": html.op7_html_extraction,
     "op8_decontamination": decontaminate.op8_decontamination,
     "op9_best_fit_packing": packing.op9_best_fit_packing,
+    "op10_license_scan": licences.op10_license_scan,
 }
 
 ORACLES: dict[str, str] = {

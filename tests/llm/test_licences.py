@@ -1,0 +1,72 @@
+import re
+
+import pytest
+
+from shelfmark.llm import licences as L
+from tests.conftest import SF_DIR
+from tests.llm.oracle import duck
+
+SCHEMA = "doc_id long, text string, families string"
+
+
+@pytest.fixture(scope="module")
+def trained(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    return L.train(spark, L.sampled_paragraphs(docs))
+
+
+def test_held_out_accuracy(trained):
+    model, accuracy = trained
+    assert accuracy >= 0.97 and 0 < model.threshold < 1
+
+
+@pytest.mark.parametrize(
+    ("text", "family"),
+    [(t, family) for family, texts in L.TEMPLATES.items() for t in texts]
+    + [
+        ("released under the mit license", "MIT"),
+        ("(c) 2021 Jane Doe. Licensed under the Apache License, Version 2.0!", "Apache"),
+        ("this work is licensed under the GNU General Public License", "GPL"),
+        ("Released under the Quux Zap License.", L.UNKNOWN),
+        ("The driver had no license with him on that day.", L.NONE),
+        ("It was a bright cold day in April, and the clocks were striking thirteen.", L.NONE),
+    ],
+)
+def test_notices(trained, text, family):
+    model, _ = trained
+    assert model.classify(L.words(text))[0] == family
+
+
+# what the test documents hold, told by the notices' own words
+PLAIN = {
+    "Apache": "Licensed under the Apache License, Version 2.0.",
+    "CC-BY-NC": "Licensed under CC BY-NC 4.0.",
+    "GPL": "This work is licensed under the GNU General Public License, version 3.",
+    "MIT": "Released under the MIT License.",
+    "proprietary": "All rights reserved.",
+}
+
+
+def test_documents_against_plain_search(spark):
+    rows = duck().execute("SELECT doc_id, text FROM documents").fetchall()
+    expected = {i: ",".join(sorted(f for f, notice in PLAIN.items() if notice in t)) for i, t in rows}
+    found = L.op10_license_scan(spark, SF_DIR).collect()
+    assert {r.doc_id: r.families for r in found} == expected and len(found) == len(rows)
+    assert sum(r.n_unknown for r in found) <= 0.002 * len(rows)
+    lines = {i: sum(bool(re.search(r"[^\W_]", line)) for line in t.split("\n")) for i, t in rows}
+    assert {r.doc_id: r.n_paragraphs for r in found} == lines
+
+
+def test_edges(spark, trained):
+    model, _ = trained
+    notice = "Released under the MIT License."
+    long = "word " * 5000 + notice + " word" * 5000
+    rows = [(None, None, "x"), (1, "", "x"), (2, notice, "x"), (2, notice, "x"), (3, long, "x"), (4, f"{notice}\n\n{PLAIN['GPL']}", "x")]
+    found = L.scan(spark.createDataFrame(rows, SCHEMA), model).collect()
+    assert sorted((r.doc_id or -1, r.families, r.n_licence) for r in found) == [
+        (-1, "", 0), (1, "", 0), (2, "MIT", 1), (2, "MIT", 1), (3, "MIT", 1), (4, "GPL,MIT", 2),
+    ]
+    empty = spark.createDataFrame([], SCHEMA)
+    assert L.scan(empty, model).count() == 0 and L.sampled_paragraphs(empty) == []
+    fallback, accuracy = L.train(spark, [])
+    assert accuracy > 0.9 and fallback.classify(L.words(notice))[0] == "MIT"
