@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from shelfmark.llm import chat, decontaminate, html, licences, lines, packing, quality, simhash, warc
+from shelfmark.llm import chat, decontaminate, html, licences, lines, packing, quality, simhash, substrings, warc
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.op1_simhash_near_dedup,
     "op2_quality_rules": quality.op2_quality_rules,
     "op3_line_dedup": lines.op3_line_dedup,
     "op4_chat_formatting": chat.op4_chat_formatting,
+    "op5_suffix_array_dedup": substrings.op5_suffix_array_dedup,
     "op6_warc": warc.op6_warc,
     "op7_html_extraction": html.op7_html_extraction,
     "op8_decontamination": decontaminate.op8_decontamination,
