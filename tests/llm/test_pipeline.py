@@ -1,0 +1,80 @@
+import zlib
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from shelfmark.llm import decontaminate as D
+from shelfmark.llm import packing, quality
+from shelfmark.storage import fresh_path, stage
+from tests.conftest import SF_DIR
+from tests.llm.oracle import duck
+from tests.llm.test_lines import plain as plain_lines
+from tests.llm.test_packing import check_packed
+from tests.llm.test_simhash import plain_components, plain_simhash
+
+
+@pytest.fixture(scope="module")
+def steps(spark):
+    """Every stage's rows, each from the ones before."""
+    docs, out = spark.read.parquet(f"{SF_DIR}/documents.parquet"), []
+    for name, step in corpus_pipeline.STAGES:
+        docs = stage(step(spark, docs, SF_DIR), fresh_path(spark, name))
+        out.append(docs)
+    return out
+
+
+def _texts(frame):
+    return {r.doc_id: r.text for r in frame.collect()}
+
+
+def test_stages_are_the_operators(spark, steps):
+    given = duck().execute("SELECT doc_id, text FROM documents ORDER BY doc_id").fetchall()
+    verdicts = {i: quality.judge(t) for i, t in given}
+    clean = {i: v.cleaned for i, v in verdicts.items() if v.kept}
+    assert _texts(steps[0]) == clean
+    # the first occurrence is the one with the smallest id
+    ids = sorted(clean)
+    lines = dict(zip(ids, plain_lines([clean[i] for i in ids]), strict=True))
+    assert _texts(steps[1]) == lines
+    components = plain_components([plain_simhash(lines[i]) for i in ids], ids)
+    unique = {i: lines[i] for i, c in zip(ids, components, strict=True) if i == c}
+    assert _texts(steps[2]) == unique
+    leaks = {r.doc_id for r in D.contaminated(steps[2], spark.read.parquet(f"{SF_DIR}/benchmark.parquet")).collect()}
+    left = {i: t for i, t in unique.items() if i not in leaks}
+    assert leaks and _texts(steps[3]) == left
+    tokenizer = Tokenizer.from_file(packing.tokenizer_path())
+    expected = []
+    for i, text in left.items():
+        tokens = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+        for k, at in enumerate(range(0, len(tokens), 2048)):
+            part = np.array(tokens[at : at + 2048], "<u4")
+            expected.append((i, k, at, len(part), zlib.crc32(part.tobytes())))
+    rows = steps[4].collect()
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == sorted(expected)
+    check_packed(rows, 2048)
+
+
+def test_stages_keep_the_columns(spark, steps):
+    given = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    for frame in steps[:-1]:
+        assert frame.schema == given.schema
+        assert all(r.n_chars == len(r.text) for r in frame.select("text", "n_chars").collect())
+
+
+def test_labelled_documents_survive(steps):
+    """Clean documents pass the filter, and leave later only as copies or leaks."""
+    labels = dict(duck().execute("SELECT doc_id, quality FROM labels").fetchall())
+    kept = {r.doc_id for r in steps[0].select("doc_id").collect()}
+    bad = [i for i, q in labels.items() if q == 0]
+    assert sum(i not in kept for i in bad) >= 0.95 * len(bad)
+
+
+def test_run_and_empty_input(spark, steps, tmp_path):
+    for name in ("documents", "benchmark"):
+        spark.read.parquet(f"{SF_DIR}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    found = corpus_pipeline.run(spark, SF_DIR)
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert sorted(map(tuple, found.select(columns).collect())) == sorted(map(tuple, steps[4].select(columns).collect()))
