@@ -41,9 +41,7 @@ from shelfmark.operators.profile import (
     value_distribution,
 )
 from shelfmark.operators.rules import (
-    DROP,
     PREVIEWED,
-    SILVER_RULES,
     accepted,
     apply_rules,
     judge,
@@ -142,9 +140,17 @@ def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_ingest_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = with_ingest_metadata(read_raw(spark, _raw_csv(spark, sf_dir)))
-    from_csv = F.count_if(F.col("source_file").endswith(".csv")).alias("from_csv")
-    return _stamps(rows, "ingested_at", from_csv)
+    """Rows with the whole path of a file that was read, and files that rows came from."""
+    raw = read_raw(spark, _raw_csv(spark, sf_dir))
+    files = raw.inputFiles()
+    # the listing and the rows may spell a path's beginning differently
+    paths = [f[f.index("/") :].lstrip("/") for f in files]
+    path = F.ltrim(F.regexp_replace("source_file", "^[^/]*", ""), F.lit("/"))
+    named = F.count_if(path.isin(paths)).alias("from_csv")
+    rows = with_ingest_metadata(raw)
+    holding = F.lit(len([f for f in files if not spark.read.options(header=True).csv(f).isEmpty()]))
+    met = (F.count_distinct("source_file") == holding).alias("files_told_apart")
+    return _stamps(rows, "ingested_at", named, met)
 
 
 def ingestion_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,7 +158,9 @@ def ingestion_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_partition_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return partition_profile(bronze_roundtrip(spark, sf_dir))
+    """What holds of the profile whatever the partitions are."""
+    profile = partition_profile(bronze_roundtrip(spark, sf_dir))
+    return profile.agg(F.sum("n").alias("n_rows"), (F.min("n") > 0).alias("all_filled"))
 
 
 def bronze_null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,10 +215,12 @@ def silver_rule_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def violation_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five violating rows of each previewed rule, the drops before it applied."""
-    rules = [rule for rule in SILVER_RULES if rule.kind == DROP or rule.name in PREVIEWED]
-    deduped = stage(_deduped(spark, sf_dir), fresh_path(spark, "deduped"))
-    rows = violation_previews(deduped, rules, order=total_order())
-    return rows.filter(F.col("rule").isin(*PREVIEWED))
+    return violation_previews(_deduped(spark, sf_dir), total_order(), shown=PREVIEWED)
+
+
+def deduped_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gender values that the silver rules meet."""
+    return value_distribution(_deduped(spark, sf_dir), ["gender"])
 
 
 def schema_check(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -341,6 +351,7 @@ def _retail_queries() -> dict[str, Query]:
         "silver_processed_at": silver_processed_at,
         "rule_report": silver_rule_report,
         "violation_preview": violation_preview,
+        "deduped_gender": deduped_gender,
         "schema_check": schema_check,
         "silver_invariants": silver_layer_invariants,
         "count_reconciliation": row_reconciliation,

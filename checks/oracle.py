@@ -133,6 +133,16 @@ _RULES = {
     "positive_quantity": ("drop", "quantity", None),
     "positive_price": ("nullify", "unit_price", "unit_price <= 0"),
     "discount_range": ("nullify", "discount_pct", "discount_pct < 0 OR discount_pct > 100"),
+    "price_exact": (
+        "note",
+        "unit_price",
+        "CAST(CAST(unit_price AS DECIMAL(22,8)) AS DOUBLE) <> unit_price",
+    ),
+    "discount_exact": (
+        "note",
+        "discount_pct",
+        "CAST(CAST(discount_pct AS DECIMAL(11,8)) AS DOUBLE) <> discount_pct",
+    ),
     "age_range": ("nullify", "customer_age", "customer_age < 15 OR customer_age > 100"),
     "gender_code": (
         "normalise",
@@ -188,8 +198,8 @@ _SILVER_TYPES = {
     "product_id": "string",
     "product_category": "string",
     "quantity": "int",
-    "unit_price": "decimal(16,4)",
-    "discount_pct": "decimal(7,4)",
+    "unit_price": "double",
+    "discount_pct": "double",
     "city": "string",
     "state": "string",
     "payment_type": "string",
@@ -266,7 +276,9 @@ def oracle_queries() -> dict[str, str]:
         "bronze_csv_roundtrip": f"SELECT {_EDGE} FROM retail_raw",
         "bronze_roundtrip": f"SELECT {_EDGE} FROM retail_raw",
         "bronze_ingest_metadata": "SELECT count(*) AS n_rows, count(*) AS from_csv,"
-        " count(*) AS stamped, CAST(1 AS BIGINT) AS run_times FROM retail_raw",
+        " TRUE AS files_told_apart, count(*) AS stamped, CAST(1 AS BIGINT) AS run_times FROM retail_raw",
+        "partition_profile": "SELECT count(*) AS n_rows, TRUE AS all_filled FROM retail_raw",
+        "deduped_gender": _distribution("deduped", ("gender",)),
         "ingestion_dates": "SELECT DISTINCT ingestion_date FROM retail_raw",
         "null_profile": _union(
             [

@@ -16,13 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.plans.medallion import Layout, ingest, publish, refine
 from shelfmark.plans.reports import bronze_report, gold_report, silver_report
-from shelfmark.session import SHUFFLE_PARTITIONS, build_session, size_shuffles
+from shelfmark.session import build_session
 
 REPORTS = {"bronze": bronze_report, "silver": silver_report, "gold": gold_report}
 
 
 def show(df: DataFrame) -> None:
-    df.show(1000, truncate=False)
+    """All rows, brought to the driver one partition at a time."""
+    print(" | ".join(df.columns))
+    for row in df.toLocalIterator():
+        print(" | ".join(map(str, row)))
 
 
 def parse(argv: Sequence[str] | None) -> argparse.Namespace:
@@ -35,6 +38,7 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--dynamic", action="store_true", help="replace only the dates present")
     parser.add_argument("--rebalance", action="store_true", help="group raw files by date first")
     parser.add_argument("--check-header", action="store_true", help="fail on reordered columns")
+    parser.add_argument("--check-counts", action="store_true", help="fail if rows got lost")
     arguments = parser.parse_args(argv)
     if arguments.job in ("run", "bronze") and not arguments.raw:
         parser.error(f"{arguments.job} needs --raw")
@@ -45,8 +49,6 @@ def parse(argv: Sequence[str] | None) -> argparse.Namespace:
 
 def execute(spark: SparkSession, arguments: argparse.Namespace) -> None:
     job, layout = arguments.job, Layout(arguments.root)
-    # a number that someone chose stays
-    sizing = spark.conf.get(SHUFFLE_PARTITIONS) == "200"
     if job in ("run", "bronze"):
         ingest(
             spark,
@@ -56,14 +58,11 @@ def execute(spark: SparkSession, arguments: argparse.Namespace) -> None:
             dynamic=arguments.dynamic,
             rebalance=arguments.rebalance,
             check_header=arguments.check_header,
+            check_counts=arguments.check_counts,
         )
     if job in ("run", "silver"):
-        if sizing:
-            size_shuffles(spark, layout.bronze)
         show(refine(spark, layout))
     if job in ("run", "gold"):
-        if sizing:
-            size_shuffles(spark, layout.silver)
         show(publish(spark, layout))
     if job == "inspect":
         for title, report in REPORTS[arguments.layer](spark, layout).items():

@@ -13,12 +13,29 @@ from shelfmark.schemas import PERCENT, PRICE
 def line_amount(quantity: Column, unit_price: Column, discount_pct: Column) -> Column:
     """Price of a line after discount, rounded half up to cents; NULL if any input is NULL.
 
-    Every step is exact before the one rounding: quantity has 10 digits, the price 12 + 4 and the
-    paid share 1 + 6, so the product fits 35 digits with 10 places and no valid input overflows.
+    Every step is exact before the one rounding. In units of 1e-8 the price has 22 digits, the paid
+    share of 100 % has 11 and the quantity 10, which is more than a decimal holds: so the price is
+    multiplied in two halves of 11 digits, whose sum is rounded with its carry.
+    A price of 1e14 or more has no amount; ``price_exact`` counts it.
     """
-    gross = quantity.cast("decimal(10,0)") * unit_price.cast(PRICE)
-    share = (F.lit(Decimal(100)) - discount_pct.cast(PERCENT)) * F.lit(Decimal("0.01"))
-    return F.round(gross * share.cast("decimal(7,6)"), 2).cast("decimal(24,2)")
+    units = F.lit(Decimal(100_000_000))
+    price = unit_price.try_cast(PRICE)
+    price = (price * units).cast("decimal(22,0)")
+    share = ((F.lit(Decimal(100)) - discount_pct.try_cast(PERCENT)) * units).cast("decimal(11,0)")
+    paid = (quantity.cast("decimal(10,0)") * share).cast("decimal(21,0)")
+    half = F.lit(Decimal(10**11))
+    low = price % half
+    high = _quotient(price, half).cast("decimal(11,0)")
+    # quantity * price * share counts 1e-18; half a cent on that scale is 5e15
+    carry = _quotient((paid * low.cast("decimal(11,0)")).cast("decimal(34,0)") + F.lit(Decimal(5 * 10**15)), half)
+    whole = (paid * high).cast("decimal(36,0)") + carry
+    cents = _quotient(whole.cast("decimal(36,0)"), F.lit(Decimal(10**5)))
+    return (cents.cast("decimal(30,0)") * F.lit(Decimal("0.01"))).cast("decimal(30,2)")
+
+
+def _quotient(x: Column, y: Column) -> Column:
+    """Whole part of ``x / y`` for whole decimals, neither negative. ``div`` would end at 64 bits."""
+    return ((x - x % y) / y).cast("decimal(38,0)")
 
 
 def as_money(total: Column) -> Column:
@@ -32,8 +49,8 @@ def mean_money(total: Column, n: Column) -> Column:
     Works on whole cents. A decimal quotient would be cut to few places before it is rounded, which
     turns some means just below half a cent the wrong way once a group has over 10,000 rows.
     """
-    cents = (total * F.lit(Decimal(100))).cast("decimal(36,0)")
-    rows = F.nullif(n, F.lit(0)).cast("decimal(18,0)")
     twice = F.lit(Decimal(2))
-    rounded = F.call_function("div", cents * twice + rows, rows * twice)
-    return as_money(rounded.cast("decimal(20,0)") * F.lit(Decimal("0.01")))
+    cents = (total * F.lit(Decimal(100))).cast("decimal(37,0)")
+    rows = F.nullif(n, F.lit(0)).cast("decimal(19,0)")
+    rounded = _quotient((cents * twice + rows).cast("decimal(38,0)"), (rows * twice).cast("decimal(20,0)"))
+    return as_money(rounded.cast("decimal(36,0)") * F.lit(Decimal("0.01")))

@@ -18,6 +18,7 @@ COUNT_COLUMNS = {
     "monthly_sales_metrics": "monthly_sales_rows",
     "top_products": "top_products_rows",
 }
+# The name of the source in the audit row.
 SOURCE_TABLE = "retail_sales_clean"
 
 

@@ -71,7 +71,7 @@ def silver_invariants(
     All counts must be 0. The rules take one pass without a shuffle of rows; the key check moves
     keys only and is left out with ``key=None``.
     """
-    counts = silver.agg(*[F.expr(f"count_if({r.broken}) AS {r.name}") for r in rules])
+    counts = silver.agg(*[F.expr(f"count_if({r.broken})").alias(r.name) for r in rules])
     result = counts.unpivot([], [rule.name for rule in rules], "invariant", "violations")
     if key is None:
         return result

@@ -90,10 +90,14 @@ def _monthly(daily_totals: DataFrame) -> DataFrame:
     )
 
 
+def best_first(products: DataFrame) -> DataFrame:
+    return products.orderBy(F.col("revenue").desc_nulls_last(), F.col("product_id").asc_nulls_last())
+
+
 def _products(totals: DataFrame, k: int | None) -> DataFrame:
-    ranked = totals.select(
-        "product_id", _money().alias("revenue"), F.col("units").alias("units_sold")
-    ).orderBy(F.col("revenue").desc_nulls_last(), F.col("product_id").asc_nulls_last())
+    ranked = best_first(
+        totals.select("product_id", _money().alias("revenue"), F.col("units").alias("units_sold"))
+    )
     return ranked if k is None else ranked.limit(k)
 
 

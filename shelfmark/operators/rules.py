@@ -7,31 +7,36 @@ one filter; the order of the table only decides which rule a dropped row is book
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
-from functools import reduce
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.schemas import PERCENT, PRICE
 
-DROP, NULLIFY, NORMALISE = "drop", "nullify", "normalise"
+DROP, NULLIFY, NORMALISE, NOTE = "drop", "nullify", "normalise", "note"
+
+
+def quoted(name: str) -> str:
+    """A column name as SQL."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _inexact(column: str, kind: str) -> str:
+    """SQL that is TRUE where a value changes, or is lost, in the decimal type that amounts use."""
+    return f"{column} IS NOT NULL AND NOT (CAST(try_cast({column} AS {kind}) AS DOUBLE) <=> {column})"
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``expr`` is SQL: what to keep (drop), what is bad (nullify) or the new value (normalise).
-
-    ``cast`` is the type of the cleaned value; a value outside that type counts as bad. ``after``
-    is what is bad in a cleaned value, where rounding to that type can reach the bound of ``expr``.
+    """``expr`` is SQL: what to keep (drop), what is bad (nullify), the new value (normalise), or what
+    is only counted (note).
     """
 
     name: str
     kind: str
     column: str
     expr: str
-    cast: str | None = None
-    after: str | None = None
 
     @property
     def violated(self) -> str:
@@ -39,17 +44,13 @@ class Rule:
         if self.kind == DROP:
             return f"NOT coalesce({self.expr}, FALSE)"
         if self.kind == NORMALISE:
-            return f"NOT ({self.column} <=> ({self.expr}))"
-        bad = f"coalesce({self.expr}, FALSE)"
-        if self.cast:
-            unfit = f"try_cast({self.column} AS {self.cast}) IS NULL"
-            bad = f"({bad} OR ({self.column} IS NOT NULL AND {unfit}))"
-        return bad
+            return f"NOT ({quoted(self.column)} <=> ({self.expr}))"
+        return f"coalesce({self.expr}, FALSE)"
 
     @property
     def broken(self) -> str:
         """SQL that is TRUE where a cleaned row does not hold what the rule promises."""
-        return replace(self, expr=self.after or self.expr).violated
+        return "FALSE" if self.kind == NOTE else self.violated
 
     @property
     def cleaned(self) -> str:
@@ -57,9 +58,8 @@ class Rule:
         if self.kind == NORMALISE:
             return self.expr
         if self.kind == NULLIFY:
-            kept = f"try_cast({self.column} AS {self.cast})" if self.cast else self.column
-            return f"CASE WHEN NOT coalesce({self.expr}, FALSE) THEN {kept} END"
-        return self.column
+            return f"CASE WHEN NOT {self.violated} THEN {quoted(self.column)} END"
+        return quoted(self.column)
 
 
 # The accepted categories, statuses, payment types and bounds.
@@ -86,16 +86,15 @@ SILVER_RULES: tuple[Rule, ...] = (
         NULLIFY,
         "unit_price",
         "unit_price <= 0",
-        cast=PRICE.simpleString(),
-        after="unit_price < 0",
     ),
+    Rule("price_exact", NOTE, "unit_price", _inexact("unit_price", PRICE.simpleString())),
     Rule(
         "discount_range",
         NULLIFY,
         "discount_pct",
         "discount_pct < 0 OR discount_pct > 100",
-        cast=PERCENT.simpleString(),
     ),
+    Rule("discount_exact", NOTE, "discount_pct", _inexact("discount_pct", PERCENT.simpleString())),
     Rule("age_range", NULLIFY, "customer_age", "customer_age < 15 OR customer_age > 100"),
     Rule(
         "gender_code",
@@ -140,7 +139,7 @@ def drop_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def change_values(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Apply the nullify and normalise rules: one projection."""
-    changes = [rule for rule in rules if rule.kind != DROP]
+    changes = [rule for rule in rules if rule.kind in (NULLIFY, NORMALISE)]
     columns = [rule.column for rule in changes]
     if len(set(columns)) < len(columns):
         raise ValueError("one value rule per column: rules judge raw values")
@@ -164,14 +163,15 @@ def _acting(rules: Sequence[Rule]) -> list[str]:
 def judge(df: DataFrame, rules: Sequence[Rule] = SILVER_RULES) -> DataFrame:
     """Keep every row and add what the rules find: ``fired`` and ``rejected_by``.
 
-    ``fired`` is a long whose n-th bit says that the n-th rule acts on the row, up to its
-    rejection; ``rejected_by`` is the drop rule that ends it, NULL for a row that stays.
+    ``fired`` holds the numbers of the rules that act on the row, up to its rejection;
+    ``rejected_by`` is the drop rule that ends it, NULL for a row that stays.
     """
-    bits = [f"shiftleft(bigint({on}), {n})" for n, on in enumerate(_acting(rules))]
-    drops = [f"WHEN {r.violated} THEN '{r.name}'" for r in rules if r.kind == DROP]
+    numbers = [f"CASE WHEN {on} THEN {n} END" for n, on in enumerate(_acting(rules))]
+    fired = f"array_compact(array({', '.join(numbers)}))" if numbers else "CAST(array() AS ARRAY<INT>)"
+    drops = [f"WHEN {r.violated} THEN {_text(r.name)}" for r in rules if r.kind == DROP]
     rejected_by = f"CASE {' '.join(drops)} END" if drops else "CAST(NULL AS STRING)"
     return df.withColumns(
-        {"fired": F.expr(" | ".join(bits) or "0L"), "rejected_by": F.expr(rejected_by)}
+        {"fired": F.expr(fired), "rejected_by": F.expr(rejected_by)}
     )
 
 
@@ -181,7 +181,7 @@ def settle(judged: DataFrame, rules: Sequence[Rule] = SILVER_RULES) -> DataFrame
     verdict = ["fired", "rejected_by"]
     kept = [name for name in cleaned.columns if name not in verdict]
     return cleaned.selectExpr(
-        *[f"CASE WHEN rejected_by IS NULL THEN {name} END AS {name}" for name in kept], *verdict
+        *[f"CASE WHEN rejected_by IS NULL THEN {c} END AS {c}" for c in map(quoted, kept)], *verdict
     )
 
 
@@ -192,12 +192,19 @@ def accepted(settled: DataFrame) -> DataFrame:
 def tally(judged: DataFrame, rules: Sequence[Rule] = SILVER_RULES) -> DataFrame:
     """(rule, kind, column, n_rows): rows each rule acted on, from one aggregate over the table."""
     counts = judged.agg(
-        *[F.expr(f"count_if(getbit(fired, {n}) = 1) AS {r.name}") for n, r in enumerate(rules)]
+        *[F.count_if(F.array_contains("fired", n)).alias(f"n{n}") for n in range(len(rules))]
+    )
+    rows = ", ".join(
+        f"{_text(r.name)}, {_text(r.kind)}, {_text(r.column)}, n{n}" for n, r in enumerate(rules)
     )
-    rows = ", ".join(f"'{r.name}', '{r.kind}', '{r.column}', {r.name}" for r in rules)
     return counts.selectExpr(f"stack({len(rules)}, {rows}) AS (rule, kind, column, n_rows)")
 
 
+def _text(value: str) -> str:
+    """A string as SQL."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def rule_report(df: DataFrame, rules: Sequence[Rule] = SILVER_RULES) -> DataFrame:
     """What each rule removes (drop) or changes (nullify, normalise) in ``df``.
 
@@ -214,25 +221,29 @@ def violation_preview(
     Any ``n`` rows, and the scan stops once it has them; or with ``order`` the first ``n``, for
     which each task keeps only its own first ``n``.
     """
-    violating = df.filter(f"{rule.violated} AND {rule.column} IS NOT NULL")
+    violating = df.filter(f"{rule.violated} AND {quoted(rule.column)} IS NOT NULL")
     return (violating.orderBy(*order) if order else violating).limit(n)
 
 
 def violation_previews(
     df: DataFrame,
+    order: Sequence[Column],
     rules: Sequence[Rule] = SILVER_RULES,
     n: int = 5,
-    order: Sequence[Column] | None = None,
+    shown: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``rule`` and the rows of its ``violation_preview``, for every rule.
+    """``rule`` and the rows of its ``violation_preview``, for every rule or those ``shown``.
 
-    A rule looks at the rows that the drop rules before it left. Each preview is a pass of its own,
-    so a ``df`` that is costly to compute should be staged first.
+    A rule looks at the rows that the drop rules before it left. One pass: a row goes to each rule
+    that it breaks, and ``n`` rows per rule are kept in the task before any are moved.
     """
-    previews, left = [], df
-    for rule in rules:
-        preview = violation_preview(left, rule, n, order)
-        previews.append(preview.select(F.lit(rule.name).alias("rule"), "*"))
-        if rule.kind == DROP:
-            left = left.filter(rule.expr)
-    return reduce(DataFrame.unionByName, previews)
+    named = [
+        f"CASE WHEN {on} AND {quoted(rule.column)} IS NOT NULL THEN {_text(rule.name)} END"
+        for rule, on in zip(rules, _acting(rules), strict=True)
+        if shown is None or rule.name in shown
+    ]
+    row = df.select(F.struct("*").alias("row"), F.expr(f"array_compact(array({', '.join(named)}))").alias("rules"))
+    broken = row.filter(F.size("rules") > 0).select(F.explode("rules").alias("rule"), "row.*")
+    first = Window.partitionBy("rule").orderBy(*order)
+    ranked = broken.withColumn("_nth", F.row_number().over(first))
+    return ranked.filter(F.col("_nth") <= n).drop("_nth")

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shelfmark.operators.audit import audit_metadata
@@ -19,9 +19,10 @@ from shelfmark.operators.checks import (
 )
 from shelfmark.operators.clean import stamp
 from shelfmark.operators.dedupe import dedupe
-from shelfmark.operators.marts import mart_totals, marts_from_totals, order_amounts
+from shelfmark.operators.marts import best_first, mart_totals, marts_from_totals, order_amounts
 from shelfmark.operators.rules import SILVER_RULES, Rule, accepted, judge, settle, tally
 from shelfmark.schemas import AUDIT, BRONZE, BRONZE_WITH_ORIGIN, MARTS, SILVER
+from shelfmark.session import sized_shuffles
 from shelfmark.sources import (
     inferred_layer,
     read_layer,
@@ -31,10 +32,12 @@ from shelfmark.sources import (
     write_mart,
     write_silver,
 )
-from shelfmark.storage import shared_dir, stage
+from shelfmark.storage import scratch, stage
 
 # daily rows are bounded by the calendar, so one file is enough
 SINGLE_FILE = {"daily_sales_metrics"}
+# failed rows that a message spells out; it counts the others
+SHOWN_FAILURES = 20
 
 
 class CheckFailed(RuntimeError):
@@ -45,6 +48,8 @@ class CheckFailed(RuntimeError):
 class Layout:
     """Where the layers of one pipeline live."""
 
+    # Folder names of the layers.
+
     root: str
 
     @property
@@ -58,15 +63,13 @@ class Layout:
     def mart(self, name: str) -> str:
         return f"{self.root}/gold/{name}.parquet"
 
-    def staging(self, spark: SparkSession) -> str:
-        """One folder per pipeline: a run replaces what the run before it staged."""
-        return f"{shared_dir(spark)}/staged-{hashlib.sha256(self.root.encode()).hexdigest()[:16]}"
-
 
 def require_empty(problems: DataFrame, what: str) -> None:
-    rows = problems.limit(20).collect()
+    rows = problems.limit(SHOWN_FAILURES).collect()
     if rows:
-        raise CheckFailed(f"{what}: {[row.asDict() for row in rows]}")
+        more = problems.count() - len(rows)
+        also = f" and {more} more" if more else ""
+        raise CheckFailed(f"{what}: {[row.asDict() for row in rows]}{also}")
 
 
 def require_schema(layer: DataFrame, expected: StructType, what: str) -> None:
@@ -83,45 +86,60 @@ def ingest(
     dynamic: bool = False,
     rebalance: bool = False,
     check_header: bool = False,
+    check_counts: bool = False,
 ) -> DataFrame:
-    """CSV to bronze in one pass. ``origin`` adds the source file and ingestion time of each row."""
+    """CSV to bronze in one pass. ``origin`` adds the source file and ingestion time of each row.
+
+    ``check_counts`` reads the CSV once more and fails if bronze has another number of rows; with
+    ``dynamic`` it counts the dates that were replaced.
+    """
     rows = read_raw(spark, raw, check_header=check_header)
-    if origin:
-        rows = with_ingest_metadata(rows)
-    write_bronze(rows, layout.bronze, dynamic=dynamic, rebalance=rebalance)
-    return read_layer(spark, layout.bronze, BRONZE_WITH_ORIGIN if origin else BRONZE)
+    written = with_ingest_metadata(rows) if origin else rows
+    write_bronze(written, layout.bronze, dynamic=dynamic, rebalance=rebalance)
+    bronze = read_layer(spark, layout.bronze, BRONZE_WITH_ORIGIN if origin else BRONZE)
+    if check_counts:
+        by_date = rows.groupBy("ingestion_date").agg(F.count(F.lit(1)).alias("raw_rows"))
+        held = bronze.groupBy("ingestion_date").agg(F.count(F.lit(1)).alias("bronze_rows"))
+        kind = "left" if dynamic else "full"
+        both = by_date.join(held, by_date.ingestion_date.eqNullSafe(held.ingestion_date), kind)
+        differing = ~F.col("raw_rows").eqNullSafe(F.col("bronze_rows"))
+        require_empty(both.filter(differing).select("raw_rows", "bronze_rows"), "raw and bronze rows")
+    return bronze
 
 
 def refine(
     spark: SparkSession,
     layout: Layout,
     rules: Sequence[Rule] = SILVER_RULES,
-    rebalance: bool = True,
+    rebalance: bool = False,
     check: bool = True,
 ) -> DataFrame:
     """Bronze to silver; returns the rule report.
 
     The one expensive step, the deduplication shuffle, runs once: its judged result is staged in the
-    shared folder, and report, reconciliation and silver table all start from there. Rejected rows
-    are staged as their verdict only.
+    shared folder, and report, checks and silver table all start from there. Rejected rows are
+    staged as their verdict only. The checks come before the old silver is replaced; what is staged
+    is removed at the end.
     """
     bronze = read_layer(spark, layout.bronze, BRONZE)
-    settled = stage(settle(judge(dedupe(bronze), rules), rules), layout.staging(spark))
-    write_silver(stamp(accepted(settled)), layout.silver, rebalance=rebalance)
-    if check:
-        silver = read_layer(spark, layout.silver, SILVER)
-        if not silver.isEmpty():
-            require_schema(inferred_layer(spark, layout.silver), SILVER, "silver")
-        require_empty(
-            silver_invariants(silver, rules).filter("violations > 0"), "silver invariants"
-        )
-        require_empty(
-            count_reconciliation(bronze, settled, silver, rules).filter(
-                "entry = 'difference' AND n_rows <> 0"
-            ),
-            "row counts",
-        )
-    return tally(settled, rules)
+    with sized_shuffles(spark, bronze), scratch(spark, "settled") as path:
+        settled = stage(settle(judge(dedupe(bronze), rules), rules), path)
+        silver = stamp(accepted(settled))
+        if check:
+            require_schema(silver, SILVER, "silver")
+            require_empty(
+                silver_invariants(silver, rules).filter("violations > 0"), "silver invariants"
+            )
+            require_empty(
+                count_reconciliation(bronze, settled, silver, rules).filter(
+                    "entry = 'difference' AND n_rows <> 0"
+                ),
+                "row counts",
+            )
+        write_silver(silver, layout.silver, rebalance=rebalance)
+        report = tally(settled, rules)
+        # a row per rule
+        return spark.createDataFrame(report.collect(), report.schema)
 
 
 def read_marts(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
@@ -148,14 +166,24 @@ def write_marts(amounts: DataFrame, layout: Layout) -> dict[str, DataFrame]:
 
 
 def publish(spark: SparkSession, layout: Layout, check: bool = True) -> DataFrame:
-    """Silver to the five marts and the audit row, which is returned."""
+    """Silver to the five marts and the audit row, which is returned.
+
+    Marts and audit are drafted in the shared folder and replace the old ones once they pass.
+    """
     amounts = order_amounts(read_layer(spark, layout.silver, SILVER))
-    written = write_marts(amounts, layout)
-    write_mart(audit_metadata(amounts, written), layout.mart("audit_metadata"), single_file=True)
-    audit = read_layer(spark, layout.mart("audit_metadata"), AUDIT)
-    if check and not audit.filter("pipeline_status = 'FAILED'").isEmpty():
-        require_empty(mart_profile(amounts, written).filter("NOT ok"), "marts")
-    return audit
+    with sized_shuffles(spark, amounts), scratch(spark, "gold") as path:
+        draft = Layout(path)
+        marts = write_marts(amounts, draft)
+        write_mart(audit_metadata(amounts, marts), draft.mart("audit_metadata"), single_file=True)
+        audit = read_layer(spark, draft.mart("audit_metadata"), AUDIT)
+        if check and not audit.filter("pipeline_status = 'FAILED'").isEmpty():
+            require_empty(mart_profile(amounts, marts).filter("NOT ok"), "marts")
+        for name, mart in marts.items():
+            # files come back in any order
+            rows = best_first(mart) if name == "top_products" else mart
+            write_mart(rows, layout.mart(name), single_file=name in SINGLE_FILE)
+        write_mart(audit, layout.mart("audit_metadata"), single_file=True)
+    return read_layer(spark, layout.mart("audit_metadata"), AUDIT)
 
 
 def run(spark: SparkSession, raw: str | list[str], root: str, **ingest_options: bool) -> DataFrame:

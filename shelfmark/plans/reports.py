@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfmark.operators.checks import mart_profile, schema_report, silver_invariants
-from shelfmark.operators.dedupe import duplicate_keys
+from shelfmark.operators.dedupe import dedupe, duplicate_keys, total_order
 from shelfmark.operators.marts import order_amounts
 from shelfmark.operators.profile import (
     null_profile,
@@ -15,7 +15,7 @@ from shelfmark.operators.profile import (
     row_counts,
     value_distribution,
 )
-from shelfmark.operators.rules import PREVIEWED, rules_named, violation_preview
+from shelfmark.operators.rules import PREVIEWED, violation_previews
 from shelfmark.plans.medallion import Layout, read_marts
 from shelfmark.schemas import AUDIT, BRONZE, BRONZE_WITH_ORIGIN, SILVER
 from shelfmark.sources import inferred_layer, read_layer
@@ -32,18 +32,20 @@ def bronze_report(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
         "ingestion dates": partition_values(bronze, "ingestion_date"),
         "nulls": null_profile(bronze),
         "sample": preview(bronze, 10),
-        "values": value_distribution(bronze, ["order_status", "product_category"]),
+        "values": value_distribution(bronze, ["order_status", "product_category", "gender"]),
         "duplicate transactions": preview(duplicate_keys(bronze), 5),
-        **{
-            f"violations: {rule.name}": violation_preview(bronze, rule)
-            for rule in rules_named(*PREVIEWED)
-        },
     }
 
 
 def silver_report(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
+    """The silver table, and what its job met: the deduplicated rows before the rules."""
     silver = read_layer(spark, layout.silver, SILVER)
+    bronze = read_layer(spark, layout.bronze, BRONZE)
+    met = dedupe(bronze)
     return {
+        "duplicate transactions": preview(duplicate_keys(bronze), 5),
+        "violations met": violation_previews(met, total_order(), shown=PREVIEWED),
+        "gender met": value_distribution(met, ["gender"]),
         "rows": row_counts({"silver": silver}),
         "schema": schema_report(inferred_layer(spark, layout.silver), SILVER),
         "values": value_distribution(silver, ["product_category", "payment_type", "gender"]),

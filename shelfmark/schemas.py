@@ -7,9 +7,10 @@ from pyspark.sql import types as T
 INT, LONG, TEXT = T.IntegerType(), T.LongType(), T.StringType()
 DOUBLE, DATE, TIMESTAMP = T.DoubleType(), T.DateType(), T.TimestampType()
 
-# Silver money is decimal, so that sums do not depend on the order of rows.
-PRICE = T.DecimalType(16, 4)
-PERCENT = T.DecimalType(7, 4)
+# What a line amount is computed from: silver itself keeps prices and discounts as they came.
+# A value that does not fit exactly is counted by a rule of its own.
+PRICE = T.DecimalType(22, 8)
+PERCENT = T.DecimalType(11, 8)
 
 
 def table(**columns: T.DataType) -> T.StructType:
@@ -40,7 +41,7 @@ BRONZE_WITH_ORIGIN = table(
     **{f.name: f.dataType for f in RAW}, source_file=TEXT, ingested_at=TIMESTAMP
 )
 SILVER = table(
-    **{f.name: f.dataType for f in RAW} | {"unit_price": PRICE, "discount_pct": PERCENT},
+    **{f.name: f.dataType for f in RAW},
     silver_processed_at=TIMESTAMP,
 )
 MARTS = {
@@ -60,6 +61,7 @@ MARTS = {
     "monthly_sales_metrics": table(year_month=TEXT, monthly_revenue=DOUBLE, monthly_orders=LONG),
     "top_products": table(product_id=TEXT, revenue=DOUBLE, units_sold=LONG),
 }
+# The audit row.
 AUDIT = table(
     source_table=TEXT,
     source_rows=LONG,

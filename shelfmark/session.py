@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 
 GIB = 1 << 30
+# measured: 12.5 MB of bronze became 56.5 MB of shuffle writes
+SHUFFLED_PER_BYTE = 5
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
@@ -23,23 +27,29 @@ def build_session(app_name: str, settings: dict[str, object] | None = None) -> S
     return builder.getOrCreate()
 
 
-def table_bytes(spark: SparkSession, path: str) -> int:
-    """Size of the files below ``path``, from their listing; no content is read."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+def planned_bytes(df: DataFrame) -> int:
+    """Bytes that ``df`` reads, as the planner knows them from the file listing; no job runs."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def shuffle_partitions(input_bytes: int, target_bytes: int = GIB) -> int:
-    """Number of shuffle partitions for a job that reads ``input_bytes``.
+def shuffle_partitions(input_bytes: int, parallelism: int = 1, target_bytes: int = GIB) -> int:
+    """Number of shuffle partitions for a job that reads ``input_bytes`` of Parquet.
 
-    The deduplication moves up to as many bytes as it reads, so partitions are sized for that
-    shuffle. Up to 50 TiB they hold 1 GiB; beyond that they grow, because a map task writes a block
-    per partition and blocks of a few KiB cost more than sorting 2 GiB with some spill. AQE merges
-    what turns out small.
+    What the deduplication moves is several times what it reads: columns become rows and lose their
+    encoding. Partitions are sized for that; AQE merges what turns out small.
     """
-    return max(200, min(50_000, -(-input_bytes // target_bytes)))
-
-
-def size_shuffles(spark: SparkSession, path: str) -> None:
-    """Set the session's shuffle partitions for a job over ``path``."""
-    spark.conf.set(SHUFFLE_PARTITIONS, shuffle_partitions(table_bytes(spark, path)))
+    return max(parallelism, -(-SHUFFLED_PER_BYTE * input_bytes // target_bytes))
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, df: DataFrame) -> Iterator[None]:
+    """Shuffle partitions for a job over ``df``, unless someone has set a number."""
+    if SHUFFLE_PARTITIONS in spark.conf.getAll:
+        yield
+        return
+    parallelism = spark.sparkContext.defaultParallelism
+    spark.conf.set(SHUFFLE_PARTITIONS, shuffle_partitions(planned_bytes(df), parallelism))
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_PARTITIONS)

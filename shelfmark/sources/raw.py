@@ -26,7 +26,7 @@ def read_raw(
 
 
 def with_ingest_metadata(df: DataFrame) -> DataFrame:
-    """Add the file each row came from and the time of the run. ``df`` must be a file scan."""
+    """Add the whole path of the file each row came from and the time of the run. ``df`` must be a file scan."""
     return df.withColumns(
-        {"source_file": F.col("_metadata.file_name"), "ingested_at": F.current_timestamp()}
+        {"source_file": F.col("_metadata.file_path"), "ingested_at": F.current_timestamp()}
     )

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-# removed when the process ends
+# both are removed when the process ends
+_handed_out: list[str] = []
 _local_folders: dict[str, tempfile.TemporaryDirectory] = {}
 
 
@@ -34,7 +38,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nothing has used yet."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
@@ -45,3 +51,33 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever it is stored; one that is not there is fine."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """A fresh path for one run, removed at its end, also when it fails."""
+    path = fresh_path(spark, name)
+    try:
+        yield path
+    finally:
+        remove(spark, path)
+
+
+def release(spark: SparkSession) -> None:
+    """Remove all folders that ``fresh_path`` gave out in this process; results over them are void."""
+    while _handed_out:
+        remove(spark, _handed_out.pop())
+
+
+@atexit.register
+def _release_at_exit() -> None:
+    spark = SparkSession.getActiveSession() if _handed_out else None
+    if spark is not None and spark.sparkContext._jsc is not None:
+        release(spark)

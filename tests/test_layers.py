@@ -61,7 +61,16 @@ def test_csv_binds_by_position_unless_the_header_is_checked(spark, tmp_path):
 
 def test_ingest_metadata_names_the_file(spark, tmp_path):
     row = with_ingest_metadata(read_raw(spark, _csv(tmp_path, GOOD))).first()
-    assert row.source_file == "raw.csv" and row.ingested_at is not None
+    assert row.source_file.endswith("/raw.csv") and row.ingested_at is not None
+
+
+def test_equal_file_names_are_told_apart(spark, tmp_path):
+    paths = []
+    for name in ("a", "b"):
+        (tmp_path / name).mkdir()
+        paths.append(_csv(tmp_path / name, GOOD))
+    rows = with_ingest_metadata(read_raw(spark, paths))
+    assert rows.select("source_file").distinct().count() == 2
 
 
 def test_bronze_dates_replaced_whole_or_one_by_one(spark, tmp_path):

@@ -1,3 +1,4 @@
+from contextlib import contextmanager
 from datetime import date, timedelta
 from pathlib import Path
 
@@ -16,9 +17,9 @@ from shelfmark.operators.rules import judge
 from shelfmark.plans import medallion
 from shelfmark.plans.medallion import CheckFailed, Layout, ingest, publish, refine, run, write_marts
 from shelfmark.schemas import MARTS, SILVER
-from shelfmark.session import SHUFFLE_PARTITIONS, shuffle_partitions, table_bytes
-from shelfmark.sources import read_layer
-from shelfmark.storage import shared_dir
+from shelfmark.session import SHUFFLE_PARTITIONS, planned_bytes, shuffle_partitions, sized_shuffles
+from shelfmark.sources import read_layer, write_silver
+from shelfmark.storage import fresh_path, release, shared_dir, stage
 from tests.conftest import SF_DIR
 from tests.rows import raw_frame
 
@@ -125,7 +126,43 @@ def test_rerun_replaces_all_layers(spark, tmp_path):
     run(spark, _csv(raw_frame(spark, {}, {}), tmp_path / "a"), root)
     run(spark, _csv(raw_frame(spark, {}), tmp_path / "b"), root, origin=True, check_header=True)
     assert read_layer(spark, layout.silver, SILVER).count() == 1
-    assert layout.staging(spark).startswith(shared_dir(spark))
+
+
+def _shared(spark):
+    return set(Path(shared_dir(spark)).iterdir())
+
+
+def test_nothing_stays_in_the_shared_folder(spark, tmp_path, monkeypatch):
+    before = _shared(spark)
+    raw = _csv(raw_frame(spark, {}, {"quantity": 0}), tmp_path / "raw")
+    for root in (str(tmp_path / "out"), str(tmp_path / "out") + "/"):
+        run(spark, raw, root, check_counts=True)
+    assert refine(spark, Layout(str(tmp_path / "out"))).count() > 0
+    assert _shared(spark) == before
+    monkeypatch.setattr(medallion, "write_silver", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        refine(spark, Layout(str(tmp_path / "out")))
+    assert _shared(spark) == before
+    path = fresh_path(spark, "kept")
+    raw_frame(spark, {}).write.parquet(path)
+    release(spark)
+    assert not Path(path).exists()
+
+
+def test_lost_raw_rows_fail_the_bronze_job(spark, tmp_path, monkeypatch):
+    raw = _csv(raw_frame(spark, {}, {}, {}), tmp_path / "raw")
+    layout, write = Layout(str(tmp_path / "out")), medallion.write_bronze
+    for dynamic in (False, True):
+        ingest(spark, raw, layout, check_counts=True, dynamic=dynamic)
+        monkeypatch.setattr(medallion, "write_bronze", lambda df, *a, **k: write(df.limit(2), *a, **k))
+        with pytest.raises(CheckFailed, match="raw and bronze"):
+            ingest(spark, raw, layout, check_counts=True, dynamic=dynamic)
+        monkeypatch.setattr(medallion, "write_bronze", write)
+
+
+def test_long_lists_of_failures_are_counted(spark):
+    with pytest.raises(CheckFailed, match="and 15 more"):
+        medallion.require_empty(spark.range(35), "numbers")
 
 
 def test_nothing_delivered_is_not_a_success(spark, tmp_path):
@@ -155,10 +192,16 @@ def test_missing_mart_rows_fail(spark):
     assert audit_metadata(amounts, empty).first().pipeline_status == "FAILED"
 
 
+def _files(root):
+    return {path: path.read_bytes() for path in sorted(root.rglob("*.parquet")) if path.is_file()}
+
+
 def test_incomplete_mart_fails_the_gold_job(spark, tmp_path, monkeypatch):
     layout = Layout(str(tmp_path / "out"))
     ingest(spark, _csv(raw_frame(spark, {}, {"city": "Reno"}), tmp_path / "raw"), layout)
     refine(spark, layout)
+    publish(spark, layout)
+    good = _files(tmp_path / "out")
     whole = medallion.marts_from_totals
 
     def broken(totals):
@@ -168,6 +211,7 @@ def test_incomplete_mart_fails_the_gold_job(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(medallion, "marts_from_totals", broken)
     with pytest.raises(CheckFailed, match="city_revenue_metrics"):
         publish(spark, layout)
+    assert _files(tmp_path / "out") == good
     assert publish(spark, layout, check=False).first().pipeline_status == "FAILED"
 
 
@@ -178,7 +222,7 @@ def test_invariants_see_dirty_rows_and_repeated_keys(spark):
     assert sum(found.values()) == 2
 
 
-def test_values_rounded_to_a_bound_are_clean(spark):
+def test_small_values_are_clean(spark):
     rows = raw_frame(spark, {"unit_price": 0.00001}, {"discount_pct": 99.99999}, {"unit_price": 1e11})
     silver = clean(rows)
     assert silver_invariants(silver).filter("violations > 0").count() == 0
@@ -210,9 +254,13 @@ def test_reconciliation_sees_a_lost_row(spark):
 def test_failed_check_stops_the_run(spark, tmp_path, monkeypatch):
     layout = Layout(str(tmp_path / "out"))
     ingest(spark, _csv(raw_frame(spark, {}, {}), tmp_path / "raw"), layout)
+    refine(spark, layout)
+    good = _files(tmp_path / "out")
     monkeypatch.setattr(medallion, "accepted", lambda settled: settled.limit(1).drop("fired"))
     with pytest.raises(CheckFailed, match="difference"):
         refine(spark, layout)
+    assert _files(tmp_path / "out") == good
+    assert read_layer(spark, layout.silver, SILVER).count() == 2
 
 
 def test_jobs_by_command_line(spark, tmp_path, capsys):
@@ -237,14 +285,63 @@ def test_command_line_refuses_incomplete_jobs():
 
 
 def test_shuffles_follow_the_input_size(spark, tmp_path):
-    assert table_bytes(spark, f"{SF_DIR}/nation.parquet") == 2559
-    assert shuffle_partitions(0) == 200
-    assert shuffle_partitions(10 * 2**40) == 10_240
-    assert shuffle_partitions(100 * 2**40) == 50_000
-    raw = _csv(raw_frame(spark, {"quantity": 0}), tmp_path / "raw")
-    spark.conf.set(SHUFFLE_PARTITIONS, 200)
+    nation = spark.read.parquet(f"{SF_DIR}/nation.parquet")
+    assert planned_bytes(nation) == Path(f"{SF_DIR}/nation.parquet").stat().st_size
+    assert shuffle_partitions(0) == 1 and shuffle_partitions(0, 8) == 8
+    assert shuffle_partitions(10 * 2**40) == 51_200
+    assert shuffle_partitions(100 * 2**40) == 512_000
+
+
+def test_a_chosen_number_of_partitions_stays(spark, monkeypatch):
+    table = spark.range(10)
+    with sized_shuffles(spark, table):
+        assert spark.conf.get(SHUFFLE_PARTITIONS) == "8"
+    spark.conf.unset(SHUFFLE_PARTITIONS)
     try:
-        execute(spark, parse(["run", "--raw", raw, "--root", str(tmp_path / "out")]))
-        assert spark.conf.get(SHUFFLE_PARTITIONS) == "200"
+        if SHUFFLE_PARTITIONS not in spark.conf.getAll:
+            monkeypatch.setattr(medallion, "write_silver", lambda *a, **k: None)
+            with sized_shuffles(spark, table):
+                assert spark.conf.get(SHUFFLE_PARTITIONS) == str(spark.sparkContext.defaultParallelism)
+            assert SHUFFLE_PARTITIONS not in spark.conf.getAll
+        spark.conf.set(SHUFFLE_PARTITIONS, 200)
+        with sized_shuffles(spark, table):
+            assert spark.conf.get(SHUFFLE_PARTITIONS) == "200"
     finally:
         spark.conf.set(SHUFFLE_PARTITIONS, 8)
+
+
+def test_jobs_size_their_shuffles(spark, tmp_path, monkeypatch):
+    seen = []
+
+    @contextmanager
+    def spy(_, df):
+        seen.append(planned_bytes(df))
+        yield
+
+    monkeypatch.setattr(medallion, "sized_shuffles", spy)
+    run(spark, _csv(raw_frame(spark, {}), tmp_path / "raw"), str(tmp_path / "out"))
+    assert len(seen) == 2 and min(seen) > 0
+
+
+def test_silver_is_written_without_a_shuffle(spark, tmp_path):
+    staged = stage(clean(raw_frame(spark, {}, {})), str(tmp_path / "staged"))
+    seen = []
+
+    class Frame:
+        def __init__(self, df):
+            self.df = df
+
+        def hint(self, *a):
+            seen.append(a)
+            return Frame(self.df.hint(*a))
+
+        @property
+        def write(self):
+            return self.df.write
+
+    write_silver(Frame(staged), str(tmp_path / "plain"))
+    assert not seen and "Exchange" not in staged._jdf.queryExecution().executedPlan().toString()
+    write_silver(Frame(staged), str(tmp_path / "even"), rebalance=True)
+    assert seen == [("rebalance", "order_status")]
+    plain, even = (read_layer(spark, str(tmp_path / x), SILVER) for x in ("plain", "even"))
+    assert _rows(plain) == _rows(even)

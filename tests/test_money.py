@@ -1,5 +1,5 @@
 import random
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 from pyspark.sql import functions as F
 
@@ -11,7 +11,7 @@ CENT = Decimal("0.01")
 
 
 def _amounts(spark, rows):
-    df = spark.createDataFrame(rows, "q int, p decimal(16,4), d decimal(7,4)")
+    df = spark.createDataFrame(rows, "q int, p decimal(22,8), d decimal(11,8)")
     return [
         row[0] for row in df.select(line_amount(F.col("q"), F.col("p"), F.col("d"))).collect()
     ]
@@ -22,8 +22,8 @@ def test_amount_matches_exact_arithmetic(spark):
     rows = [
         (
             draw.choice([1, 2, 3, 7, 10, 999, 2**31 - 1]),
-            Decimal(draw.randrange(1, 10**draw.randint(3, 16))).scaleb(-4),
-            Decimal(draw.choice([0, 500000, 1000000, draw.randrange(0, 1000001)])).scaleb(-4),
+            Decimal(draw.randrange(1, 10**draw.randint(3, 22))).scaleb(-8),
+            Decimal(draw.choice([0, 50 * 10**8, 10**10, draw.randrange(0, 10**10 + 1)])).scaleb(-8),
         )
         for _ in range(2000)
     ]
@@ -45,10 +45,30 @@ def test_amount_edges(spark):
 
 def test_mean_is_exact_for_large_groups(spark):
     # 0.50 cents short of a cent by less than a millionth: a six-digit quotient rounds it up
-    cases = [(Decimal("4999999.99"), 10**9), (Decimal("0.05"), 10), (Decimal("0.04"), 10)]
-    df = spark.createDataFrame(cases, "s decimal(34,2), n bigint")
+    cases = [
+        (Decimal("4999999.99"), 10**9),
+        (Decimal("0.05"), 10),
+        (Decimal("0.04"), 10),
+        (Decimal("1.8e21"), 1),
+        (Decimal("1.8e21"), 7),
+        (Decimal("99999999999999999999999999999999.99"), 3 * 10**9),
+        (Decimal(5), 0),
+    ]
+    df = spark.createDataFrame(cases, "s decimal(38,2), n bigint")
     means = [row[0] for row in df.select(mean_money(F.col("s"), F.col("n"))).collect()]
-    assert means == [0.0, 0.01, 0.0]
+    with localcontext(prec=60):
+        exact = [float((s / n).quantize(CENT, ROUND_HALF_UP)) if n else None for s, n in cases]
+    assert means == exact and means[:4] == [0.0, 0.01, 0.0, 1.8e21]
+
+
+def test_amounts_of_doubles(spark):
+    prices = [1e12, 1e13, 0.00004, 12.34567, 1e14, float("nan"), 100.0]
+    rows = [{"unit_price": p, "discount_pct": 0.0, "quantity": 100} for p in prices]
+    rows[-1]["discount_pct"] = 33.333333
+    found = order_amounts(raw_frame(spark, *rows)).orderBy("transaction_id").collect()
+    assert [r.total_amount for r in found] == [
+        Decimal("1e14"), Decimal("1e15"), 0, Decimal("1234.57"), None, None, Decimal("6666.67"),
+    ]
 
 
 def test_group_without_amounts_has_rows_but_no_revenue(spark):

@@ -49,17 +49,10 @@ def test_matches_reference_sql(spark, duck, name):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"partition_profile"}
+    assert set(QUERIES) == set(ORACLES)
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
-def test_partition_profile_covers_all_rows(spark, duck):
-    profile = QUERIES["partition_profile"](spark, SF_DIR).collect()
-    assert [(sum(row.n for row in profile),)] == duck.execute(
-        "SELECT count(*) FROM lineitem"
-    ).fetchall()
-
-
 def test_entry(spark):
     assert {row.product_category for row in entry.entry(spark).collect()} == {
         "Electronics",
