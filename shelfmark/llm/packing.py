@@ -57,38 +57,58 @@ class Encoder:
             self.ends_word[number] = token.endswith("</w>")
         self.words: dict[str, bytes] = {}
         self.pattern = _word_pattern()
-        self.foreign = re.compile(f"[^\x00-{chr(_LATIN_END - 1)}]|<\\|")
+        self.foreign = re.compile(f"[^\x00-{chr(_LATIN_END - 1)}]")
 
-    def encode(self, text: str) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        if self.foreign.search(text):
-            return self._whole(text).tobytes()
-        words = self.pattern.findall(text.lower())
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each text."""
+        split = [None if self._foreign(text) else self.pattern.findall(text.lower()) for text in texts]
+        if len(self.words) > CACHED_WORDS:
+            self.words = {}
+        new = set().union(*[set(words).difference(self.words) for words in split if words])
+        if new:
+            self._learn(sorted(new))
         known = self.words
+        return [
+            self._whole(text).tobytes() if words is None else b"".join([known[word] for word in words])
+            for text, words in zip(texts, split, strict=True)
+        ]
+
+    def _foreign(self, text: str) -> bool:
+        if "<|" in text:
+            return True
         try:
-            return b"".join([known[word] for word in words])
-        except KeyError:
-            self._learn(words)
-        return b"".join([self.words[word] for word in words])
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.foreign.search(text) is not None
+        return False
 
     def _whole(self, text: str) -> np.ndarray:
         (encoding,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
         return np.array(encoding.ids, "<u4")
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.words) > CACHED_WORDS:
-            self.words = {}
-        new = [word for word in dict.fromkeys(words) if word not in self.words]
+    def _learn(self, new: list[str]) -> None:
         ids = self._whole(" ".join(new))
         bounds = np.flatnonzero(self.ends_word[ids]) + 1
         if len(bounds) != len(new):
             raise ValueError("the tokenizer does not end every word with a token of its own")
-        begin = 0
-        for word, end in zip(new, bounds.tolist(), strict=True):
-            self.words[word] = ids[begin:end].tobytes()
+        data, begin = ids.tobytes(), 0
+        for word, end in zip(new, (4 * bounds).tolist(), strict=True):
+            self.words[word] = data[begin:end]
             begin = end
 
 
+def _together(column: pa.Array, chars: int = 1 << 19) -> Iterator[list[str]]:
+    """The texts of a column, null ones empty, in lists of about so many characters."""
+    texts, size = [], 0
+    for text in column:
+        texts.append(text.as_py() or "")
+        size += len(texts[-1])
+        if size >= chars:
+            yield texts
+            texts, size = [], 0
+    yield texts
+
+
 @lru_cache(maxsize=1)
 def _encoder(path: str) -> Encoder:
     """One for each worker process, whose tasks share the words it knows."""
@@ -119,8 +139,9 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int =
         names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                data = encoder.encode(text.as_py() or "") + end
+            encoded = (x for texts in _together(batch.column(1)) for x in encoder.encode(texts))
+            for doc_id, data in zip(batch.column(0).to_pylist(), encoded, strict=True):
+                data += end
                 for n, at in enumerate(range(0, len(data), 4 * capacity)):
                     part = data[at : at + 4 * capacity]
                     rows.append((doc_id, n, at // 4, len(part) // 4, zlib.crc32(part), part if ids else None))

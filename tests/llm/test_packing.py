@@ -30,8 +30,9 @@ def test_encoder_is_the_tokenizer(tokenizer, monkeypatch):
         "".join(draw.choice(letters if draw.random() < 0.5 else "abc 'sSxXÉİ12,.\n\t!") for _ in range(draw.randint(0, 40)))
         for _ in range(500)
     ]
-    for text in texts:
-        assert encoder.encode(text) == np.array(whole(tokenizer, text)[:-1], "<u4").tobytes(), text
+    for at in range(0, len(texts), 7):
+        for text, ids in zip(texts[at : at + 7], encoder.encode(texts[at : at + 7]), strict=False):
+            assert ids == np.array(whole(tokenizer, text)[:-1], "<u4").tobytes(), text
 
 
 def plain_place(lengths, capacity):
