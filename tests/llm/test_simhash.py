@@ -64,8 +64,7 @@ def test_documents_against_all_pairs(spark):
     assert len(found) == len(rows)
 
 
-@pytest.mark.parametrize("paired", [64, 2])
-@pytest.mark.parametrize("max_bits", [1, 2, 3])
+@pytest.mark.parametrize(("paired", "max_bits"), [(64, 2), (2, 2), (2, 3)])
 def test_links_connect_like_all_pairs(spark, monkeypatch, paired, max_bits):
     monkeypatch.setattr(S, "PAIRED_CELL", paired)
     draw = random.Random(7)
