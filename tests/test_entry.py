@@ -1,0 +1,43 @@
+"""The entry file with and without the text subpackage."""
+
+import shutil
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+
+REPO = Path(__file__).resolve().parent.parent
+LISTED = "import __spark_entry__ as e; print(len(e._retail_queries()), *e.queries()); e.oracle_sql()"
+
+
+def _copy(to):
+    for name in ("shelfmark", "checks"):
+        ignore = shutil.ignore_patterns("llm", "__pycache__")
+        shutil.copytree(REPO / name, to / name, ignore=ignore)
+    shutil.copy(REPO / "__spark_entry__.py", to)
+
+
+def _run(folder):
+    return subprocess.run(
+        [sys.executable, "-c", LISTED], cwd=folder, capture_output=True, text=True, timeout=100
+    )
+
+
+def test_entry_without_the_text_operators(tmp_path):
+    _copy(tmp_path)
+    found = _run(tmp_path)
+    assert found.returncode == 0, found.stderr
+    n, *names = found.stdout.split()
+    assert int(n) == len(names) and not any(name.startswith("op") for name in names)
+
+
+@pytest.mark.parametrize("broken", ["shelfmark/llm/queries.py", "corpus_pipeline.py"])
+def test_errors_of_the_text_operators_are_not_hidden(tmp_path, broken):
+    _copy(tmp_path)
+    file = tmp_path / broken
+    file.parent.mkdir(exist_ok=True)
+    (file.parent / "__init__.py").touch()
+    file.write_text("import no_such_module\n")
+    found = _run(tmp_path)
+    assert found.returncode != 0 and "no_such_module" in found.stderr
