@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from shelfmark.operators.clean import clean
-from shelfmark.operators.dedupe import dedupe, duplicate_keys
+from shelfmark.operators.dedupe import dedupe, duplicate_keys, total_order
 from shelfmark.operators.marts import mart_totals, order_amounts, top_products
 from shelfmark.operators.profile import null_profile, value_distribution
-from shelfmark.operators.rules import judge, rule_report, settle
+from shelfmark.operators.rules import judge, rule_report, settle, violation_previews
 from shelfmark.schemas import BRONZE, SILVER
 from shelfmark.sources import read_layer, write_bronze, write_silver
 from tests.conftest import SF_DIR
@@ -102,3 +102,11 @@ def test_duplicate_keys_reads_the_key_only(bronze):
 def test_queries_stay_in_the_jvm_without_cross_joins(spark, name):
     text = plan(entry.queries()[name](spark, SF_DIR))
     assert not re.search(r"Python|Pandas|CartesianProduct|BroadcastNestedLoopJoin", text)
+
+
+def test_previews_come_from_one_scan_limited_before_the_shuffle(bronze):
+    text = plan(violation_previews(bronze, total_order()))
+    lines = text.splitlines()
+    limits = [n for n, line in enumerate(lines) if "WindowGroupLimit" in line]
+    (exchange,) = [n for n, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert text.count("FileScan") == 1 and len(limits) == 2 and limits[0] < exchange < limits[1]
