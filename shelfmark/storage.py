@@ -7,8 +7,9 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 # both are removed when the process ends
@@ -80,4 +81,6 @@ def release(spark: SparkSession) -> None:
 def _release_at_exit() -> None:
     spark = SparkSession.getActiveSession() if _handed_out else None
     if spark is not None and spark.sparkContext._jsc is not None:
-        release(spark)
+        # the JVM may have ended before this process
+        with suppress(Py4JError, OSError):
+            release(spark)
