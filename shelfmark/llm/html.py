@@ -51,7 +51,7 @@ _TOKEN = re.compile(
     r"|<(?P<tag2>/?[a-zA-Z][^\s>/]*+)[^>]*+(?:>|\Z)",
     re.DOTALL,
 )
-_ATTR = re.compile(r"""(?i)\b(class|id|role|itemprop|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_ATTR = re.compile(r"""(?i)\b(class|id|role|hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _DIGITS = re.compile(r"\d+")
 
@@ -87,7 +87,8 @@ def _names(tag: str, attrs: str) -> tuple[str, str]:
     name = ".".join([tag, *sorted({_DIGITS.sub("#", c) for c in classes.split()})])
     if not classes and found.get("id"):
         name += "#" + _DIGITS.sub("#", found["id"])
-    if tag in NOISE_TAGS or "hidden" in found or words & NOISE_WORDS or found.get("role", "").lower() in NOISE_ROLES:
+    unseen = "hidden" in found or "display:none" in found.get("style", "").lower().replace(" ", "")
+    if tag in NOISE_TAGS or unseen or words & NOISE_WORDS or found.get("role", "").lower() in NOISE_ROLES:
         # a whole article is not noise for one of its names
         if tag not in ARTICLE_TAGS and tag != "body" or "comment" in words:
             return name, "noise"

@@ -58,6 +58,7 @@ NOISE = (
     '<div class="ad-box"><p>Buy this, buy that, buy everything, and then some more of it, today only.</p></div>',
     '<form action="/s"><p>Your name, your address, and what you would like to tell us, please.</p><input name=q></form>',
     '<div id="comments"><div class="comment"><p>' + "I do not agree, not at all, and here is why, at length. " * 30 + "</p></div></div>",
+    '<div style="display: none"><p>Unseen text, which is of some length, and means nothing here.</p></div>',
     '<div class="cookie-notice"><p>We use cookies, and other things, to make this site what it is.</p></div>',
     '<footer><p>&copy; 2020 Somebody, somewhere, all rights reserved, and so on.</p></footer>',
     "<script>var x = '<p>not text, really, not at all, not even here</p>';</script><style>p{}</style><!-- <p>no</p> -->",
