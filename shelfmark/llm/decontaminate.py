@@ -19,7 +19,7 @@ RARE = 1e-7
 MIN_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 # test items are held by tasks in blocks of about so many words, one block after the other
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 250_000
 
 _WORD = re.compile(r"[^\W_]+")
 
