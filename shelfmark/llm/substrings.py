@@ -21,6 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmark.llm.shuffles import drop_finished_shuffles
 from shelfmark.storage import fresh_path, stage
 
 THRESHOLD = 50
@@ -31,6 +32,8 @@ BATCH_BYTES = 8 << 20
 MAX_BLOCK = 250
 # bytes kept of a block's rank, besides those that choose the partition, and of its content's name
 NAME_BYTES = 5
+# the same for a pair of ranks
+PAIR_BYTES = 6
 PARTITIONS = "spark.sql.shuffle.partitions"
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -90,23 +93,31 @@ def _segments(texts: list[bytes], threshold: int) -> Iterator[list[tuple[int, in
         yield chunk
 
 
+def _pairs(data: np.ndarray, ranks: np.ndarray, threshold: int) -> np.ndarray:
+    """Ranks doubled to the threshold: pairs half of it apart, and an odd last byte."""
+    half, n = threshold // 2, len(data) - threshold + 1
+    full = _joined(ranks[:n], ranks[half : half + n])
+    return _joined(full, _FIRST[data[threshold - 1 :]]) if threshold % 2 else full
+
+
+def _least(ranks: np.ndarray, reach: int) -> np.ndarray:
+    """The smallest of ``reach`` ranks from each position on."""
+    least, have = ranks, 1
+    while 2 * have <= reach:
+        least = np.minimum(least[: len(least) - have], least[have:])
+        have *= 2
+    rest = reach - have
+    return np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
+
+
 def _chunk_blocks(chunk: list[tuple[int, int, bytes]], threshold: int) -> Blocks:
     half = threshold // 2
     data = np.frombuffer(b"".join([part for *_, part in chunk]), np.uint8)
     lengths = np.array([len(part) for *_, part in chunk])
     begins = np.cumsum(lengths) - lengths
     ranks = prefix_ranks(data, half)
-    full = _joined(ranks[: len(data) - threshold + 1], ranks[half : half + len(data) - threshold + 1])
-    if threshold % 2:
-        # the odd last byte
-        full = _joined(full, _FIRST[data[threshold - 1 :]])
-    reach = threshold - half + 1
-    least, have = ranks, 1
-    while 2 * have <= reach:
-        least = np.minimum(least[: len(least) - have], least[have:])
-        have *= 2
-    rest = reach - have
-    least = np.minimum(least[: len(least) - rest], least[rest:]) if rest else least
+    full = _pairs(data, ranks, threshold)
+    least = _least(ranks, threshold - half + 1)
     counts = lengths - threshold + 1
     owner = np.repeat(np.arange(len(chunk)), counts)
     within = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -307,30 +318,129 @@ def _compared(threshold: int):
     return run
 
 
-_POSITION = "id long, hash long, at long, here long, half_on long"
+def _pack_positions(name: np.ndarray, place: np.ndarray, at: np.ndarray, ids: np.ndarray, hashes: np.ndarray) -> bytes:
+    """Positions in order of document and place, as planes; most steps between them are one."""
+    docs, place = np.unique(place, return_inverse=True)
+    steps = np.diff(at, prepend=0).astype("<i4").view(np.uint8).reshape(-1, 4).T
+    parts = [
+        struct.pack("<II", len(at), len(docs)),
+        ids[docs].astype("<i8").tobytes(),
+        hashes[docs].astype("<u4").tobytes(),
+        *_split(name, PAIR_BYTES),
+        place.astype("<u2").tobytes(),
+        *[np.ascontiguousarray(plane).tobytes() for plane in steps],
+    ]
+    return b"".join(parts)
 
 
-def _positions(threshold: int):
-    """Task function: unsettled blocks of a text to positions with the pair of ranks that starts there."""
+def _unpack_positions(data: bytes) -> tuple[np.ndarray, ...]:
+    n, n_docs = struct.unpack_from("<II", data)
+    begin = 8 + 12 * n_docs
+    ids = np.frombuffer(data, "<i8", n_docs, 8)
+    hashes = np.frombuffer(data, "<u4", n_docs, 8 + 8 * n_docs)
+    planes = np.frombuffer(data, "u1", PAIR_BYTES * n, begin).reshape(PAIR_BYTES, n)
+    name = np.zeros((n, 8), np.uint8)
+    name[:, :PAIR_BYTES] = planes.T
+    begin += PAIR_BYTES * n
+    place = np.frombuffer(data, "<u2", n, begin)
+    steps = np.frombuffer(data, "u1", 4 * n, begin + 2 * n).reshape(4, n).T
+    at = np.cumsum(np.ascontiguousarray(steps).view("<i4").ravel().astype(np.int64))
+    return name.view("<u8").ravel(), ids[place], hashes[place], at
+
+
+def _paired(parts: int, threshold: int):
+    """Task function: unsettled blocks of a text to positions, named by the pair of ranks there.
+
+    Positions travel by the rank of their block, so that the runs they make come together again. Of
+    positions with one pair only those of the first document leave the batch.
+    """
     half = threshold // 2
 
+    def ranked(text: bytes, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        names, keys = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
+        for low in range(0, len(text), CHUNK_BYTES):
+            i, j = np.searchsorted(at, (low, low + CHUNK_BYTES))
+            if i < j:
+                data = np.frombuffer(text[low : low + CHUNK_BYTES + threshold - 1], np.uint8)
+                ranks = prefix_ranks(data, half)
+                keys[i:j] = _least(ranks, threshold - half + 1)[at[i:j] - low]
+                names[i:j] = _pairs(data, ranks, threshold)[at[i:j] - low]
+        return names, keys
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
         for batch in batches:
-            for row in range(batch.num_rows):
-                doc, hashed, packed, spans = (batch.column(k)[row].as_py() for k in range(4))
-                text = unzip.decompress(packed)
-                spans = np.array(sorted((s["begin"], s["beyond"]) for s in spans), np.int64)
-                at = np.concatenate([np.arange(i, j) for i, j in spans])
-                for low in range(0, len(text), CHUNK_BYTES):
-                    own = at[(at >= low) & (at < low + CHUNK_BYTES)]
-                    if len(own):
-                        data = np.frombuffer(text[low : low + CHUNK_BYTES + threshold - 1], np.uint8)
-                        ranks = prefix_ranks(data, half)
-                        second = prefix_ranks(data, threshold - half)
-                        here, on = ranks[own - low].view(np.int64), second[own - low + half].view(np.int64)
-                        n = len(own)
-                        yield _batch([np.full(n, doc), np.full(n, hashed), own, here, on], _POSITION)
+            held, ids, hashes, size = [], [], [], 0
+            for doc, hashed, packed, spans in zip(*(batch.column(k) for k in range(4)), strict=True):
+                begin = spans.values.field("begin").to_numpy()
+                beyond = spans.values.field("beyond").to_numpy()
+                order = np.argsort(begin)
+                at = np.concatenate([np.arange(i, j) for i, j in zip(begin[order], beyond[order], strict=True)])
+                held.append((np.full(len(at), len(ids)), at, *ranked(unzip.decompress(packed.as_py()), at)))
+                ids.append(doc.as_py())
+                hashes.append(hashed.as_py())
+                size += len(at)
+                if size >= BATCH_BYTES // 16 or len(ids) == 1 << 16:
+                    yield from emit(held, np.array(ids, np.int64), np.array(hashes, np.int64))
+                    held, ids, hashes, size = [], [], [], 0
+            if held:
+                yield from emit(held, np.array(ids, np.int64), np.array(hashes, np.int64))
+
+    def emit(held: list, ids: np.ndarray, hashes: np.ndarray) -> Iterator[pa.RecordBatch]:
+        place, at, name, key = (np.concatenate(c) for c in zip(*held, strict=True))
+        later = _after_first(name, ids[place])
+        yield _run_batch(place[later], at[later], ids, hashes, parts, threshold)
+        kept = np.flatnonzero(~later)
+        part = ((key[kept] >> np.uint64(40)) % np.uint64(parts)).astype(np.int64)
+        by_part = kept[np.argsort(part, kind="stable")]
+        bounds = np.searchsorted(np.sort(part), np.arange(parts + 1))
+        rows = []
+        for p, (i, j) in enumerate(zip(bounds, bounds[1:], strict=False)):
+            if i < j:
+                own = by_part[i:j]
+                rows.append((p, _pack_positions(name[own], place[own], at[own], ids, hashes)))
+        nothing = pa.nulls(len(rows), pa.int64())
+        yield _batch([[p for p, _ in rows], [b for _, b in rows], nothing, nothing, nothing, nothing], _DEALT)
+
+    return run
+
+
+def _after_first(name: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which entries share their name with one of a smaller id."""
+    order = np.lexsort((ids, name))
+    opens = np.append(True, name[order][1:] != name[order][:-1])
+    first = ids[order][np.flatnonzero(opens)][np.cumsum(opens) - 1]
+    later = np.zeros(len(name), bool)
+    later[order] = ids[order] > first
+    return later
+
+
+def _run_batch(place: np.ndarray, at: np.ndarray, ids: np.ndarray, hashes: np.ndarray, parts: int, threshold: int) -> pa.RecordBatch:
+    doc, begin, beyond = _runs(place, at, at + threshold)
+    spread = (hashes[doc] % parts).astype(np.int32)
+    return _batch([spread, pa.nulls(len(doc), pa.binary()), ids[doc], hashes[doc], begin, beyond], _DEALT)
+
+
+_RUN = "id long, hash long, begin long, beyond long"
+
+
+def _compared_pairs(threshold: int):
+    """Task function: all positions of some ranks to runs that an earlier document has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            data = batch.column(1)
+            held += [_unpack_positions(x.as_py()) for x in data if x.is_valid]
+            runs = batch.filter(data.is_null())
+            yield _batch([runs.column(k) for k in (2, 3, 4, 5)], _RUN)
+        if held:
+            name, ids, hashes, at = (np.concatenate(c) for c in zip(*held, strict=True))
+            held.clear()
+            later = _after_first(name, ids)
+            keys, doc = np.unique(np.stack([ids[later], hashes[later].astype(np.int64)], 1), axis=0, return_inverse=True)
+            doc, begin, beyond = _runs(doc.ravel(), at[later], at[later] + threshold)
+            yield _batch([keys[doc, 0], keys[doc, 1], begin, beyond], _RUN)
 
     return run
 
@@ -361,23 +471,24 @@ def repeated_bytes(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """``(id, hash, begin, beyond)``: byte intervals that a string of an earlier document covers.
 
     A block's equal in an earlier document settles all its positions, in the task or where the block's
-    rank is compared. Positions of blocks that only share their rank are doubled to the threshold:
-    pairs of ranks are grouped, and those that an earlier document has are marked.
+    rank is compared. Positions of blocks that only share their rank are doubled to the threshold and
+    compared pair by pair, again first in the task.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get(PARTITIONS))
     texts = _texts(docs)
     dealt = texts.mapInArrow(_dealt(parts, threshold), _DEALT).repartition(parts, "part")
     marks = stage(dealt.mapInArrow(_compared(threshold), _MARK), fresh_path(spark, "block-marks"))
+    del dealt
+    drop_finished_shuffles(spark)
     spans = F.collect_list(F.struct("begin", "beyond"))
     unsettled = marks.filter("NOT settled").groupBy("id", "hash").agg(spans.alias("spans"))
     held = _zipped(texts).join(unsettled.hint("merge"), ["id", "hash"])
-    pairs = stage(held.mapInArrow(_positions(threshold), _POSITION), fresh_path(spark, "rank-pairs"))
-    firsts = pairs.groupBy("here", "half_on").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    firsts = firsts.filter("first < last").drop("last")
-    later = pairs.join(firsts.hint("merge"), ["here", "half_on"]).filter("id > first")
-    found = later.select("id", "hash", F.col("at").alias("begin"), (F.col("at") + threshold).alias("beyond"))
-    return marks.filter("settled").drop("settled").unionByName(found)
+    pairs = held.mapInArrow(_paired(parts, threshold), _DEALT).repartition(parts, "part")
+    runs = stage(pairs.mapInArrow(_compared_pairs(threshold), _RUN), fresh_path(spark, "pair-runs"))
+    del unsettled, held, pairs
+    drop_finished_shuffles(spark)
+    return marks.filter("settled").drop("settled").unionByName(runs)
 
 
 def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD, texts: bool = True) -> DataFrame:
