@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.llm.graph import connected_components
@@ -220,12 +220,13 @@ def keep_one(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, max_bits: int
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
     best = prints.join(roots, "fp").groupBy("root").agg(F.min(order).alias("best"))
     best = stage(best.select("best.*"), fresh_path(docs.sparkSession, "kept-ids"))
+    # keys without nulls: the join and what follows share one partitioning
+    named = {"unnamed": F.col("doc_id").isNull(), "doc_id": F.coalesce("doc_id", F.lit(0).cast("long"))}
+    key = ["unnamed", "doc_id", "text_hash"]
     rows = docs.select(F.struct("*").alias("row"))
-    rows = rows.withColumns({"id": F.col("row.doc_id").cast("long"), "hash": F.xxhash64("row.text")})
-    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash"))
-    first = Window.partitionBy("id", "hash").orderBy("id")
-    held = rows.join(best.hint("merge"), same).withColumn("nth", F.row_number().over(first))
-    return held.filter("nth = 1").select("row.*")
+    rows = rows.withColumns({"doc_id": F.col("row.doc_id").cast("long"), "text_hash": F.xxhash64("row.text")})
+    held = rows.withColumns(named).join(best.withColumns(named).hint("merge"), key)
+    return held.dropDuplicates(key).select("row.*")
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
