@@ -20,7 +20,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     links = edges.filter("a <> b").selectExpr("greatest(a, b) AS u", "least(a, b) AS v").distinct()
     links = stage(links, fresh_path(spark, "links"))
     seen = None
-    while (state := _state(links)) != seen:
+    # stops when a round changes nothing, at once without edges
+    while (state := _state(links)) not in (seen, (0, None)):
         seen = state
         links = stage(_pull_below(_pull_above(links)), fresh_path(spark, "links"))
     roots = links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
