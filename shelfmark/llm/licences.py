@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 # bound of the labelled sample: paragraphs of the corpus, by the smallest hashes, and variants of each template
 SAMPLED_PARAGRAPHS = 1500
+# longer lines are not sampled, though they are scanned
+SAMPLED_CHARS = 4000
 VARIANTS = 24
 SEED = 11
 MAX_NGRAM = 3
@@ -26,7 +28,7 @@ UNIT_WORDS = 80
 # share of a template's word trigrams that confirms a prediction
 MIN_SIMILARITY = 0.5
 # held-out predictions above the confidence threshold are right at least this often
-PRECISION = 0.995
+PRECISION = 0.98
 
 NONE, UNKNOWN = "none", "unknown"
 
@@ -177,42 +179,79 @@ class Model:
     threshold: float
 
     def __post_init__(self):
-        # words that occur in some feature; a window without any needs no further look
-        self.vocabulary = frozenset(word for gram in self.features for word in gram)
-
-    def probabilities(self, own: list[str]) -> np.ndarray:
-        found = [n for gram in ngrams(own) if (n := self.features.get(gram)) is not None]
-        logits = self.bias.copy()
-        if found:
-            logits += self.weights[np.unique(found)].sum(axis=0) / np.sqrt(len(set(found)))
-        logits /= self.temperature
-        odds = np.exp(logits - logits.max())
-        return odds / odds.sum()
-
-    def classify(self, own: list[str]) -> tuple[str, float, float]:
-        """Family, its probability and the similarity to its closest template.
+        self.ids = {word: n for n, word in enumerate(sorted({word for gram in self.features for word in gram}))}
+        # for each length, the n-grams as numbers in order, and the features they stand for
+        self.grams = []
+        for size in range(1, MAX_NGRAM + 1):
+            rows = sorted((self._number(gram), n) for gram, n in self.features.items() if len(gram) == size)
+            self.grams.append((np.array([k for k, _ in rows], np.int64), np.array([n for _, n in rows], np.int64)))
+
+    def _number(self, gram: tuple[str, ...]) -> int:
+        number = 0
+        for word in gram:
+            number = number * len(self.ids) + self.ids[word]
+        return number
+
+    def probabilities(self, texts: list[list[str]]) -> np.ndarray:
+        """Of every class for every text, by the distinct features in it."""
+        get, n = self.ids.get, len(texts)
+        flat = np.fromiter((get(word, -1) for own in texts for word in own), np.int64)
+        text = np.repeat(np.arange(n), [len(own) for own in texts])
+        found = []
+        number, whole = flat, flat >= 0
+        for size, (keys, features) in enumerate(self.grams, 1):
+            if size > 1:
+                last = size - 1
+                whole = whole[:-1] & (flat[last:] >= 0) & (text[last:] == text[: len(text) - last])
+                number = number[:-1] * len(self.ids) + flat[last:]
+            if len(keys):
+                own = np.flatnonzero(whole)
+                at = np.searchsorted(keys, number[own]).clip(max=len(keys) - 1)
+                hit = keys[at] == number[own]
+                found.append(text[own[hit]] * len(self.features) + features[at[hit]])
+        pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+        text, feature = pairs // max(1, len(self.features)), pairs % max(1, len(self.features))
+        sums = np.zeros((n, len(self.classes)))
+        if len(pairs):
+            starts = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
+            sums[text[starts]] = np.add.reduceat(self.weights[feature], starts, axis=0)
+        counts = np.bincount(text, minlength=n).clip(min=1)
+        logits = (self.bias + sums / np.sqrt(counts)[:, None]) / self.temperature
+        odds = np.exp(logits - logits.max(axis=1, keepdims=True))
+        return odds / odds.sum(axis=1, keepdims=True)
+
+    def classify(self, texts: list[list[str]]) -> list[tuple[str, float, float]]:
+        """Family, its probability and the similarity to its closest template, for every text.
 
         A notice that is not confident enough, or that no template of the family confirms, is unknown.
         """
-        if self.vocabulary.isdisjoint(own):
-            return NONE, 1.0, 0.0
-        chances = self.probabilities(own)
-        top = int(chances.argmax())
-        label, chance = self.classes[top], float(chances[top])
-        if label == NONE:
-            return NONE, chance, 0.0
-        like = closest(own, label) if label != UNKNOWN else 0.0
-        if label != UNKNOWN and (chance < self.threshold or like < MIN_SIMILARITY):
-            label = UNKNOWN
-        return label, chance, like
+        if not texts:
+            return []
+        chances = self.probabilities(texts)
+        out = []
+        for own, top, chance in zip(texts, chances.argmax(axis=1).tolist(), chances.max(axis=1).tolist(), strict=True):
+            label, like = self.classes[top], 0.0
+            if label not in (NONE, UNKNOWN):
+                like = closest(own, label)
+                if chance < self.threshold or like < MIN_SIMILARITY:
+                    label = UNKNOWN
+            out.append((label, chance, like))
+        return out
 
 
 def sampled_paragraphs(docs: DataFrame, n: int = SAMPLED_PARAGRAPHS) -> list[str]:
-    """``n`` distinct lines of all documents, those with the smallest hashes: a bounded sample for training."""
+    """``n`` distinct lines of all documents, those with the smallest hashes: a bounded sample for training.
+
+    Hashes alone are compared first; only the lines chosen are moved.
+    """
     lines = docs.select(F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line"))
-    lines = lines.select(F.substring("line", 1, 2000).alias("line")).filter(F.trim("line", F.lit(_SPACES)) != "")
-    kept = lines.withColumn("h", F.xxhash64(F.lit(SEED), "line")).groupBy("h", "line").agg(F.lit(1).alias("one"))
-    return [row.line for row in kept.orderBy("h", "line").limit(n).select("line").collect()]
+    lines = lines.filter((F.trim("line", F.lit(_SPACES)) != "") & (F.length("line") <= SAMPLED_CHARS))
+    hashed = lines.withColumn("h", F.xxhash64(F.lit(SEED), "line"))
+    least = [row.h for row in hashed.select("h").distinct().orderBy("h").limit(n).collect()]
+    if not least:
+        return []
+    chosen = hashed.filter(F.col("h") <= least[-1]).distinct().orderBy("h", "line").limit(n)
+    return [row.line for row in chosen.collect()]
 
 
 def train(spark: SparkSession, paragraphs: list[str]) -> tuple[Model, float]:
@@ -233,20 +272,21 @@ def train(spark: SparkSession, paragraphs: list[str]) -> tuple[Model, float]:
         data.append((float(classes.index(label)), SparseVector(len(features), found, [value] * len(found))))
     frame = spark.createDataFrame(data, ["label", "features"]).coalesce(1)
     fit = LogisticRegression(family="multinomial", regParam=1e-4, maxIter=60, standardization=False).fit(frame)
-    model = Model(classes, features, fit.coefficientMatrix.toArray().T.astype(np.float32), fit.interceptVector.toArray(), 1.0, 0.0)
+    weights, bias = fit.coefficientMatrix.toArray().T.copy(), fit.interceptVector.toArray()
+    model = Model(classes, features, weights, bias, 1.0, 0.0)
+    wanted = np.array([classes.index(label) for label, _ in held])
+    texts = [own for _, own in held]
 
     def loss(temperature: float) -> float:
         model.temperature = temperature
-        return -sum(np.log(max(model.probabilities(own)[classes.index(label)], 1e-12)) for label, own in held)
+        return -np.log(model.probabilities(texts)[np.arange(len(held)), wanted].clip(min=1e-12)).sum()
 
     model.temperature = min((0.5, 0.7, 1.0, 1.4, 2.0, 3.0), key=loss)
-    loss_at = model.temperature
-    judged = []
-    for label, own in held:
-        chances = model.probabilities(own)
-        top = int(chances.argmax())
-        judged.append((float(chances[top]), classes[top], label))
-    model.temperature = loss_at
+    chances = model.probabilities(texts)
+    judged = [
+        (chance, classes[top], label)
+        for chance, top, (label, _) in zip(chances.max(axis=1).tolist(), chances.argmax(axis=1).tolist(), held, strict=True)
+    ]
     notices = sorted((x for x in judged if x[1] not in (NONE, UNKNOWN)), reverse=True)
     right, threshold = 0, 1.0
     for n, (chance, got, label) in enumerate(notices, 1):
@@ -258,6 +298,23 @@ def train(spark: SparkSession, paragraphs: list[str]) -> tuple[Model, float]:
     return model, accuracy
 
 
+def _rank(label: tuple[str, float, float]) -> tuple[bool, float]:
+    return label[0] != UNKNOWN, label[1]
+
+
+def _together(column: pa.Array, chars: int = 1 << 18) -> Iterator[list[str]]:
+    """The texts of a column, null ones empty, in lists of about so many characters."""
+    texts, size = [], 0
+    for text in column:
+        texts.append(text.as_py() or "")
+        size += len(texts[-1])
+        if size >= chars:
+            yield texts
+            texts, size = [], 0
+    if texts:
+        yield texts
+
+
 def scan(docs: DataFrame, model: Model) -> DataFrame:
     """``(doc_id, n_paragraphs, n_licence, n_unknown, families, findings)`` per row of ``docs``.
 
@@ -278,17 +335,18 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
         kind = pa.list_(pa.struct([("line", pa.int32()), ("family", pa.string()), ("probability", pa.float64()), ("similarity", pa.float64())]))
         for batch in batches:
             out = []
-            for text in batch.column(1):
-                best: dict[int, tuple[str, float, float]] = {}
-                paragraphs = set()
-                for line, own in units(text.as_py()):
-                    paragraphs.add(line)
-                    found = model.classify(own)
-                    if found[0] != NONE and (line not in best or (found[0] != UNKNOWN, found[1]) > (best[line][0] != UNKNOWN, best[line][1])):
-                        best[line] = found
-                known = [f for f, *_ in best.values() if f != UNKNOWN]
-                rows = [{"line": n, "family": f, "probability": round(p, 6), "similarity": round(s, 6)} for n, (f, p, s) in sorted(best.items())]
-                out.append((len(paragraphs), len(known), len(best) - len(known), ",".join(sorted(set(known))), rows))
+            for texts in _together(batch.column(1)):
+                found = [units(text) for text in texts]
+                labels = iter(model.classify([own for parts in found for _, own in parts]))
+                for parts in found:
+                    best: dict[int, tuple[str, float, float]] = {}
+                    for line, _ in parts:
+                        label = next(labels)
+                        if label[0] != NONE and (line not in best or _rank(label) > _rank(best[line])):
+                            best[line] = label
+                    known = [f for f, *_ in best.values() if f != UNKNOWN]
+                    rows = [{"line": n, "family": f, "probability": round(p, 6), "similarity": round(s, 6)} for n, (f, p, s) in sorted(best.items())]
+                    out.append((len({n for n, _ in parts}), len(known), len(best) - len(known), ",".join(sorted(set(known))), rows))
             columns = list(zip(*out, strict=True)) or [()] * 5
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), kind]
             names = ["doc_id", "n_paragraphs", "n_licence", "n_unknown", "families", "findings"]

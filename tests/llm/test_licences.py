@@ -1,5 +1,6 @@
 import re
 
+import numpy as np
 import pytest
 
 from shelfmark.llm import licences as L
@@ -34,7 +35,17 @@ def test_held_out_accuracy(trained):
 )
 def test_notices(trained, text, family):
     model, _ = trained
-    assert model.classify(L.words(text))[0] == family
+    assert model.classify([L.words(text)])[0][0] == family
+
+
+def test_probabilities_against_plain_sums(trained):
+    model, _ = trained
+    texts = [L.words(t) for texts in L.TEMPLATES.values() for t in texts] + [["zzz"], [], L.words("the of the of")]
+    for own, got in zip(texts, model.probabilities(texts), strict=True):
+        found = sorted({model.features[g] for g in L.ngrams(own) if g in model.features})
+        logits = model.bias + model.weights[found].sum(axis=0) / max(1, len(found)) ** 0.5
+        odds = np.exp((logits - logits.max()) / model.temperature)
+        assert np.allclose(got, odds / odds.sum())
 
 
 # what the test documents hold, told by the notices' own words
@@ -69,4 +80,4 @@ def test_edges(spark, trained):
     empty = spark.createDataFrame([], SCHEMA)
     assert L.scan(empty, model).count() == 0 and L.sampled_paragraphs(empty) == []
     fallback, accuracy = L.train(spark, [])
-    assert accuracy > 0.9 and fallback.classify(L.words(notice))[0] == "MIT"
+    assert accuracy > 0.9 and fallback.classify([L.words(notice)])[0][0] == "MIT"
