@@ -10,8 +10,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.linalg import SparseVector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +20,8 @@ SAMPLED_CHARS = 4000
 VARIANTS = 24
 SEED = 11
 MAX_NGRAM = 3
-MIN_FEATURE_ROWS = 2
+# n-grams in fewer labelled rows are no features: it bounds the model that tasks hold
+MIN_FEATURE_ROWS = 6
 # units of text: lines, and longer lines in windows that overlap by half
 UNIT_WORDS = 80
 # share of a template's word trigrams that confirms a prediction
@@ -259,6 +258,10 @@ def train(spark: SparkSession, paragraphs: list[str]) -> tuple[Model, float]:
 
     Spark fits the regression; temperature and confidence threshold come from the held-out rows.
     """
+    # of no use to the tasks that scan
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.linalg import SparseVector
+
     rows = labelled_rows(paragraphs)
     random.Random(SEED).shuffle(rows)
     held, fitted = rows[: len(rows) // 4], rows[len(rows) // 4 :]
@@ -302,7 +305,7 @@ def _rank(label: tuple[str, float, float]) -> tuple[bool, float]:
     return label[0] != UNKNOWN, label[1]
 
 
-def _together(column: pa.Array, chars: int = 1 << 18) -> Iterator[list[str]]:
+def _together(column: pa.Array, chars: int = 1 << 17) -> Iterator[list[str]]:
     """The texts of a column, null ones empty, in lists of about so many characters."""
     texts, size = [], 0
     for text in column:
