@@ -256,8 +256,7 @@ def _dealt(parts: int, threshold: int):
         rows = [(p, _pack(blocks, kept[by_part[i:j]], ids, hashes)) for p, (i, j) in enumerate(zip(bounds, bounds[1:], strict=False)) if i < j]
         nothing = pa.nulls(len(rows), pa.int64())
         yield _batch([[p for p, _ in rows], [b for _, b in rows], nothing, nothing, nothing, nothing], _DEALT)
-        spread = (hashes[doc] % parts).astype(np.int32)
-        yield _batch([spread, pa.nulls(len(doc), pa.binary()), ids[doc], hashes[doc], begin, beyond], _DEALT)
+        yield _dealt_runs(ids[doc], hashes[doc], begin, beyond, parts)
 
     return run
 
@@ -271,6 +270,12 @@ def _batch(columns: list, schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, list(names))
 
 
+def _dealt_runs(ids: np.ndarray, hashes: np.ndarray, begin: np.ndarray, beyond: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Settled runs on their way, spread by document: copies share a hash, but no id."""
+    mixed = _joined(ids.view(np.uint64), hashes.astype(np.uint64))
+    return _batch([(mixed % np.uint64(parts)).astype(np.int32), pa.nulls(len(ids), pa.binary()), ids, hashes, begin, beyond], _DEALT)
+
+
 def _compared(threshold: int):
     """Task function: all blocks of some ranks to marks.
 
@@ -417,8 +422,7 @@ def _after_first(name: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 def _run_batch(place: np.ndarray, at: np.ndarray, ids: np.ndarray, hashes: np.ndarray, parts: int, threshold: int) -> pa.RecordBatch:
     doc, begin, beyond = _runs(place, at, at + threshold)
-    spread = (hashes[doc] % parts).astype(np.int32)
-    return _batch([spread, pa.nulls(len(doc), pa.binary()), ids[doc], hashes[doc], begin, beyond], _DEALT)
+    return _dealt_runs(ids[doc], hashes[doc], begin, beyond, parts)
 
 
 _RUN = "id long, hash long, begin long, beyond long"
