@@ -181,7 +181,7 @@ def _pack(blocks: Blocks, keep: np.ndarray, ids: np.ndarray, hashes: np.ndarray)
     parts = [
         struct.pack("<II", len(keep), len(docs)),
         ids[docs].astype("<i8").tobytes(),
-        hashes[docs].astype("<u4").tobytes(),
+        hashes[docs].astype("<i8").tobytes(),
         *_split(blocks.rank[keep], NAME_BYTES),
         *_split(blocks.name[keep], NAME_BYTES),
         place.astype("<u2").tobytes(),
@@ -207,7 +207,7 @@ def _unpack(data: bytes) -> tuple[np.ndarray, ...]:
             wide[:, k] = take("u1", n)
         return wide
 
-    ids, hashes = take("<i8", n_docs), take("<u4", n_docs)
+    ids, hashes = take("<i8", n_docs), take("<i8", n_docs)
     rank = planes(NAME_BYTES, 8).view("<u8").ravel()
     name = planes(NAME_BYTES, 8).view("<u8").ravel()
     place = take("<u2", n)
@@ -227,7 +227,7 @@ def _dealt(parts: int, threshold: int):
             ids, hashes, texts, size = [], [], [], 0
             for doc, hashed, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 ids.append(doc)
-                hashes.append(hashed & 0xFFFFFFFF)
+                hashes.append(hashed)
                 texts.append(text.as_py())
                 size += len(texts[-1])
                 if size >= BATCH_BYTES or len(texts) == 1 << 16:
@@ -272,7 +272,7 @@ def _batch(columns: list, schema: str) -> pa.RecordBatch:
 
 def _dealt_runs(ids: np.ndarray, hashes: np.ndarray, begin: np.ndarray, beyond: np.ndarray, parts: int) -> pa.RecordBatch:
     """Settled runs on their way, spread by document: copies share a hash, but no id."""
-    mixed = _joined(ids.view(np.uint64), hashes.astype(np.uint64))
+    mixed = _joined(ids.view(np.uint64), hashes.view(np.uint64))
     return _batch([(mixed % np.uint64(parts)).astype(np.int32), pa.nulls(len(ids), pa.binary()), ids, hashes, begin, beyond], _DEALT)
 
 
@@ -330,7 +330,7 @@ def _pack_positions(name: np.ndarray, place: np.ndarray, at: np.ndarray, ids: np
     parts = [
         struct.pack("<II", len(at), len(docs)),
         ids[docs].astype("<i8").tobytes(),
-        hashes[docs].astype("<u4").tobytes(),
+        hashes[docs].astype("<i8").tobytes(),
         *_split(name, PAIR_BYTES),
         place.astype("<u2").tobytes(),
         *[np.ascontiguousarray(plane).tobytes() for plane in steps],
@@ -340,9 +340,9 @@ def _pack_positions(name: np.ndarray, place: np.ndarray, at: np.ndarray, ids: np
 
 def _unpack_positions(data: bytes) -> tuple[np.ndarray, ...]:
     n, n_docs = struct.unpack_from("<II", data)
-    begin = 8 + 12 * n_docs
+    begin = 8 + 16 * n_docs
     ids = np.frombuffer(data, "<i8", n_docs, 8)
-    hashes = np.frombuffer(data, "<u4", n_docs, 8 + 8 * n_docs)
+    hashes = np.frombuffer(data, "<i8", n_docs, 8 + 8 * n_docs)
     planes = np.frombuffer(data, "u1", PAIR_BYTES * n, begin).reshape(PAIR_BYTES, n)
     name = np.zeros((n, 8), np.uint8)
     name[:, :PAIR_BYTES] = planes.T
@@ -442,7 +442,7 @@ def _compared_pairs(threshold: int):
             name, ids, hashes, at = (np.concatenate(c) for c in zip(*held, strict=True))
             held.clear()
             later = _after_first(name, ids)
-            keys, doc = np.unique(np.stack([ids[later], hashes[later].astype(np.int64)], 1), axis=0, return_inverse=True)
+            keys, doc = np.unique(np.stack([ids[later], hashes[later]], 1), axis=0, return_inverse=True)
             doc, begin, beyond = _runs(doc.ravel(), at[later], at[later] + threshold)
             yield _batch([keys[doc, 0], keys[doc, 1], begin, beyond], _RUN)
 
@@ -450,11 +450,11 @@ def _compared_pairs(threshold: int):
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    """``(id, hash, text)``: UTF-8 bytes under a key that tells different texts of one id apart."""
+    """``(id, hash, text)``: UTF-8 bytes under a key that tells different texts of one id apart, by 64 bits."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))).alias("id"),
-        F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF)).alias("hash"),
+        F.xxhash64(text).alias("hash"),
         text.cast("binary").alias("text"),
     )
 

@@ -85,3 +85,13 @@ def test_edges(spark):
         (13, 300_001, 300_000, 1, hashlib.sha256(b"y").hexdigest()),
     ])
     assert S.remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_texts_with_one_short_hash_stay_apart(spark):
+    shared = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(120))
+    # equal in the low 32 bits of their hashes
+    ours, other = shared + "10333", "short text " * 11 + "155083"
+    rows = [(1, shared), (None, ours), (None, other)]
+    low = spark.createDataFrame([(t,) for _, t in rows[1:]], "t string").selectExpr("xxhash64(t) & 4294967295 AS h")
+    assert low.distinct().count() == 1
+    same(S.remove_repeats(spark.createDataFrame([(*r, 0) for r in rows], SCHEMA)), plain(rows))
