@@ -34,6 +34,8 @@ MAX_BLOCK = 250
 NAME_BYTES = 5
 # the same for a pair of ranks
 PAIR_BYTES = 6
+# texts that a task remembers, to pass over those that repeat them; bounds memory only
+REMEMBERED = 1 << 17
 PARTITIONS = "spark.sql.shuffle.partitions"
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -219,11 +221,24 @@ _DEALT = "part int, blocks binary, id long, hash long, begin long, beyond long"
 _MARK = "id long, hash long, begin long, beyond long, settled boolean"
 
 
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows that repeat an id and text (columns 0 and 1) of the task's earlier ones left out."""
+    seen: set[tuple[int, int]] = set()
+    for batch in batches:
+        fresh = []
+        for key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            fresh.append(key not in seen)
+            if len(seen) >= REMEMBERED:
+                seen.clear()
+            seen.add(key)
+        yield batch if all(fresh) else batch.filter(pa.array(fresh, pa.bool_()))
+
+
 def _dealt(parts: int, threshold: int):
     """Task function: texts to blocks by partition of their rank, and runs that the batch settles itself."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _folded(batches):
             ids, hashes, texts, size = [], [], [], 0
             for doc, hashed, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 ids.append(doc)
@@ -276,8 +291,19 @@ def _dealt_runs(ids: np.ndarray, hashes: np.ndarray, begin: np.ndarray, beyond:
     return _batch([(mixed % np.uint64(parts)).astype(np.int32), pa.nulls(len(ids), pa.binary()), ids, hashes, begin, beyond], _DEALT)
 
 
+def _united(held: list[pa.RecordBatch]) -> list[np.ndarray]:
+    """Columns of the settled runs of a partition's documents; those of repeated rows come once."""
+    ids, hashes, begin, beyond = (np.concatenate([b.column(k).to_numpy() for b in held]) for k in (2, 3, 4, 5))
+    order = np.lexsort((hashes, ids))
+    ids, hashes, begin, beyond = (x[order] for x in (ids, hashes, begin, beyond))
+    doc = np.cumsum(np.append(False, (ids[1:] != ids[:-1]) | (hashes[1:] != hashes[:-1])))
+    opens = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+    doc, begin, beyond = _runs(doc, begin, beyond)
+    return [ids[opens[doc]], hashes[opens[doc]], begin, beyond]
+
+
 def _compared(threshold: int):
-    """Task function: all blocks of some ranks to marks.
+    """Task function: all blocks of some ranks to marks, each of them once.
 
     ``settled`` marks are bytes to remove: a block whose equal stands in an earlier document. The
     others are blocks that share their rank with different blocks, to be compared by position; of
@@ -285,13 +311,15 @@ def _compared(threshold: int):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
+        held, runs = [], []
         for batch in batches:
             data = batch.column(1)
             held += [_unpack(x.as_py()) for x in data if x.is_valid]
-            runs = batch.filter(data.is_null())
-            if runs.num_rows:
-                yield _batch([*[runs.column(k) for k in (2, 3, 4, 5)], pa.array([True] * runs.num_rows)], _MARK)
+            runs.append(batch.filter(data.is_null()))
+        if any(r.num_rows for r in runs):
+            columns = _united(runs)
+            yield _batch([*columns, np.full(len(columns[0]), True)], _MARK)
+        del runs
         if not held:
             return
         rank, name, ids, hashes, start, count = (np.concatenate(c) for c in zip(*held, strict=True))
@@ -303,8 +331,11 @@ def _compared(threshold: int):
         rank, name, ids, hashes, start, count = (x[order] for x in (rank, name, ids, hashes, start, count))
         if not len(rank):
             return
-        order = np.lexsort((ids, name, rank))
+        order = np.lexsort((start, hashes, ids, name, rank))
         rank, name, ids, hashes, start, count = (x[order] for x in (rank, name, ids, hashes, start, count))
+        # a row that other tasks repeat counts once
+        once = np.append(True, np.any([x[1:] != x[:-1] for x in (rank, name, ids, hashes, start)], axis=0))
+        rank, name, ids, hashes, start, count = (x[once] for x in (rank, name, ids, hashes, start, count))
         new_rank = np.append(True, rank[1:] != rank[:-1])
         new_name = new_rank | np.append(True, name[1:] != name[:-1])
         group = np.cumsum(new_rank) - 1
@@ -374,7 +405,7 @@ def _paired(parts: int, threshold: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in _folded(batches):
             held, ids, hashes, size = [], [], [], 0
             for doc, hashed, packed, spans in zip(*(batch.column(k) for k in range(4)), strict=True):
                 begin = spans.values.field("begin").to_numpy()
@@ -432,12 +463,14 @@ def _compared_pairs(threshold: int):
     """Task function: all positions of some ranks to runs that an earlier document has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = []
+        held, settled = [], []
         for batch in batches:
             data = batch.column(1)
             held += [_unpack_positions(x.as_py()) for x in data if x.is_valid]
-            runs = batch.filter(data.is_null())
-            yield _batch([runs.column(k) for k in (2, 3, 4, 5)], _RUN)
+            settled.append(batch.filter(data.is_null()))
+        if any(r.num_rows for r in settled):
+            yield _batch(_united(settled), _RUN)
+        del settled
         if held:
             name, ids, hashes, at = (np.concatenate(c) for c in zip(*held, strict=True))
             held.clear()
@@ -459,12 +492,12 @@ def _texts(docs: DataFrame) -> DataFrame:
     )
 
 
-def _zipped(texts: DataFrame) -> DataFrame:
-    """The texts as they are shuffled: compressed one by one."""
+def _zipped(texts: DataFrame, folded: bool = False) -> DataFrame:
+    """The texts as they are shuffled: compressed one by one; ``folded``, repeated rows go once per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zipper = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
+        for batch in _folded(batches) if folded else batches:
             packed = [zipper.compress(text.as_py()) for text in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], ["id", "hash", "zipped"])
 
@@ -476,7 +509,8 @@ def repeated_bytes(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
     A block's equal in an earlier document settles all its positions, in the task or where the block's
     rank is compared. Positions of blocks that only share their rank are doubled to the threshold and
-    compared pair by pair, again first in the task.
+    compared pair by pair, again first in the task. Rows that repeat an id and text are dealt once
+    per task and compared once, so the marks of a text do not grow with its rows.
     """
     spark = docs.sparkSession
     parts = int(spark.conf.get(PARTITIONS))
@@ -487,7 +521,7 @@ def repeated_bytes(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     drop_finished_shuffles(spark)
     spans = F.collect_list(F.struct("begin", "beyond"))
     unsettled = marks.filter("NOT settled").groupBy("id", "hash").agg(spans.alias("spans"))
-    held = _zipped(texts).join(unsettled.hint("merge"), ["id", "hash"])
+    held = _zipped(texts, folded=True).join(unsettled.hint("merge"), ["id", "hash"])
     pairs = held.mapInArrow(_paired(parts, threshold), _DEALT).repartition(parts, "part")
     runs = stage(pairs.mapInArrow(_compared_pairs(threshold), _RUN), fresh_path(spark, "pair-runs"))
     del unsettled, held, pairs

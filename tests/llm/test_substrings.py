@@ -95,3 +95,19 @@ def test_texts_with_one_short_hash_stay_apart(spark):
     low = spark.createDataFrame([(t,) for _, t in rows[1:]], "t string").selectExpr("xxhash64(t) & 4294967295 AS h")
     assert low.distinct().count() == 1
     same(S.remove_repeats(spark.createDataFrame([(*r, 0) for r in rows], SCHEMA)), plain(rows))
+
+
+@pytest.mark.parametrize("doc_id", [7, None])
+def test_marks_do_not_grow_with_repeated_rows(spark, doc_id):
+    draw = random.Random(3)
+    shared, tail, other = ("".join(draw.choices("abcdefgh", k=n)) for n in (90, 400, 400))
+    rows = [(1, other + shared), *[(doc_id, shared + tail)] * 200, (9, tail[:200])]
+    docs = spark.createDataFrame([(*r, 0) for r in rows], SCHEMA).repartition(4)
+    single = spark.createDataFrame([(*r, 0) for r in dict.fromkeys(rows)], SCHEMA)
+    marks = S.repeated_bytes(docs)
+    # each of four tasks may add what its own rows settle
+    assert marks.count() <= 4 * S.repeated_bytes(single).count()
+    same(S.remove_repeats(docs), plain(rows))
+    batches = iter(spark.createDataFrame(rows[1:-1], "id long, text string").selectExpr("coalesce(id, 0)", "xxhash64(text)", "cast(text AS binary)").toArrow().to_batches())
+    dealt = [S._unpack(x.as_py()) for b in S._dealt(1, 50)(batches) for x in b.column(1) if x.is_valid]
+    assert sum(len(d[0]) for d in dealt) == len(S.text_blocks([(shared + tail).encode()]).rank)
