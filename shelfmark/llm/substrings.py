@@ -32,8 +32,8 @@ BATCH_BYTES = 8 << 20
 MAX_BLOCK = 250
 # bytes kept of a block's rank, besides those that choose the partition, and of its content's name
 NAME_BYTES = 5
-# the same for a pair of ranks
-PAIR_BYTES = 6
+# the same for a pair of ranks: all, as a match of pairs is not compared further
+PAIR_BYTES = 8
 # texts that a task remembers, to pass over those that repeat them; bounds memory only
 REMEMBERED = 1 << 17
 PARTITIONS = "spark.sql.shuffle.partitions"

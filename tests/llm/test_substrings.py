@@ -111,3 +111,12 @@ def test_marks_do_not_grow_with_repeated_rows(spark, doc_id):
     batches = iter(spark.createDataFrame(rows[1:-1], "id long, text string").selectExpr("coalesce(id, 0)", "xxhash64(text)", "cast(text AS binary)").toArrow().to_batches())
     dealt = [S._unpack(x.as_py()) for b in S._dealt(1, 50)(batches) for x in b.column(1) if x.is_valid]
     assert sum(len(d[0]) for d in dealt) == len(S.text_blocks([(shared + tail).encode()]).rank)
+
+
+def test_positions_keep_whole_names():
+    names = np.array([5, 5 + (1 << 48), 5 + (1 << 63), (1 << 64) - 1], np.uint64)
+    ids, hashes = np.array([3, S.NO_ID]), np.array([-1, 1 << 40])
+    place, at = np.array([0, 0, 1, 1]), np.array([0, 1, 7, 300_000])
+    found = S._unpack_positions(S._pack_positions(names, place, at, ids, hashes))
+    for got, wanted in zip(found, (names, ids[place], hashes[place], at), strict=True):
+        assert got.tolist() == wanted.tolist()
