@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,7 +22,7 @@ SEED = 11
 MAX_NGRAM = 3
 # n-grams in fewer labelled rows are no features: it bounds the model that tasks hold
 MIN_FEATURE_ROWS = 6
-# units of text: lines, and longer lines in windows that overlap by half
+# units of text: lines, and neighbouring lines joined; longer ones in windows that overlap by half
 UNIT_WORDS = 80
 # share of a template's word trigrams that confirms a prediction
 MIN_SIMILARITY = 0.5
@@ -108,13 +108,50 @@ def words(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def _windows(n_words: int) -> range:
+    """Where windows begin; the last one reaches the end."""
+    half = UNIT_WORDS // 2
+    return range(0, max(1, n_words - half), half)
+
+
+def lines_of(text: str | None) -> list[tuple[int, list[str]]]:
+    """``(line, words)`` of every line with words."""
+    return [(n, own) for n, line in enumerate((text or "").split("\n")) if (own := words(line))]
+
+
+def line_units(lines: list[tuple[int, list[str]]]) -> list[tuple[int, list[str]]]:
+    return [(n, own[at : at + UNIT_WORDS]) for n, own in lines for at in _windows(len(own))]
+
+
 def units(text: str | None) -> list[tuple[int, list[str]]]:
     """``(line, words)`` of every line with words, in windows where it is long."""
-    out, half = [], UNIT_WORDS // 2
-    for n, line in enumerate((text or "").split("\n")):
-        own = words(line)
-        if own:
-            out += [(n, own[at : at + UNIT_WORDS]) for at in range(0, max(1, len(own) - half), half)]
+    return line_units(lines_of(text))
+
+
+def paragraph_units(lines: list[tuple[int, list[str]]], settled: set[int]) -> list[tuple[list[int], list[str]]]:
+    """``(line of each word, words)`` of runs of two and more lines, in windows where they are long.
+
+    A line without words ends a run, and so does one of ``settled``.
+    """
+    runs: list[list[tuple[int, list[str]]]] = []
+    last = None
+    for n, own in lines:
+        if n in settled:
+            continue
+        if last is None or n != last + 1:
+            runs.append([])
+        runs[-1].append((n, own))
+        last = n
+    out = []
+    for run in runs:
+        if len(run) > 1:
+            where = [n for n, own in run for _ in own]
+            joined = [word for _, own in run for word in own]
+            for at in _windows(len(joined)):
+                part = slice(at, at + UNIT_WORDS)
+                # within one line it is a unit already
+                if where[part][0] != where[part][-1]:
+                    out.append((where[part], joined[part]))
     return out
 
 
@@ -137,6 +174,33 @@ def closest(own: list[str], family: str) -> float:
     return max(similarity(own, template) for template in _TEMPLATE_WORDS[family])
 
 
+_FAMILY_GRAMS = {f: {gram for t in texts for gram in zip(t, t[1:], t[2:], strict=False)} for f, texts in _TEMPLATE_WORDS.items()}
+_GRAMS = set().union(*_FAMILY_GRAMS.values())
+
+
+def place(own: list[str], families: Iterable[str]) -> tuple[int, int]:
+    """First word of the closest template of these families, and the one after its last; ``(0, 0)`` if none is close enough."""
+    grams = list(zip(own, own[1:], own[2:], strict=False))
+    if _GRAMS.isdisjoint(grams):
+        return 0, 0
+    like, template = max(((similarity(own, t), t) for f in families for t in _TEMPLATE_WORDS[f]), key=lambda x: x[0])
+    if like < MIN_SIMILARITY:
+        return 0, 0
+    wanted, reach = set(zip(template, template[1:], template[2:], strict=False)), 2 * len(template)
+    hits = [(at, gram) for at, gram in enumerate(grams) if gram in wanted]
+    # words of the template may also stand elsewhere
+    _, low = max((len({gram for at, gram in hits if low <= at < low + reach}), -low) for low, _ in hits)
+    return -low, max(at for at, _ in hits if at < reach - low) + MAX_NGRAM
+
+
+def _fragment(own: list[str]) -> bool:
+    """Whether most of the words come from one template: a piece of a notice that is cut by line feeds."""
+    grams = set(zip(own, own[1:], own[2:], strict=False))
+    if not grams:
+        return False
+    return any(2 * len(grams.intersection(zip(t, t[1:], t[2:], strict=False))) >= len(grams) for texts in _TEMPLATE_WORDS.values() for t in texts)
+
+
 def _variants(notice: str, prose: list[list[str]], draw: random.Random) -> Iterator[list[str]]:
     """The notice with words lost, doubled or exchanged, years and names around it, prose beside it."""
     own = words(notice)
@@ -152,13 +216,17 @@ def _variants(notice: str, prose: list[list[str]], draw: random.Random) -> Itera
 
 
 def labelled_rows(paragraphs: list[str]) -> list[tuple[str, list[str]]]:
-    """``(label, words)``: variants of the templates, and sampled paragraphs by their closest template."""
+    """``(label, words)``: variants of the templates, and sampled paragraphs by their closest template.
+
+    A sampled line that is a piece of a notice, but too little of it, is no example of anything.
+    """
     draw = random.Random(SEED)
     sample = [own for text in paragraphs for _, own in units(text)]
     rows: list[tuple[str, list[str]]] = []
     for own in sample:
         family, score = max(((f, closest(own, f)) for f in TEMPLATES), key=lambda x: x[1])
-        rows.append((family if score >= MIN_SIMILARITY else NONE, own))
+        if score >= MIN_SIMILARITY or not _fragment(own):
+            rows.append((family if score >= MIN_SIMILARITY else NONE, own))
     prose = [own for label, own in rows if label == NONE]
     for label, notices in [*TEMPLATES.items(), (UNKNOWN, UNKNOWN_NOTICES), (NONE, ORDINARY)]:
         for notice in notices:
@@ -301,10 +369,81 @@ def train(spark: SparkSession, paragraphs: list[str]) -> tuple[Model, float]:
     return model, accuracy
 
 
-def _rank(label: tuple[str, float, float]) -> tuple[bool, float]:
+Label = tuple[str, float, float]
+
+
+def _rank(label: Label) -> tuple[bool, float]:
     return label[0] != UNKNOWN, label[1]
 
 
+def _piece(before: list[str], own: list[str], after: list[str], family: str) -> bool:
+    """Whether a line beside a notice goes on with it: most of it is the family's, joined to the notice's words."""
+    joined = before[-2:] + own + after[:2]
+    grams = list(zip(joined, joined[1:], joined[2:], strict=False))
+    return 2 * sum(gram in _FAMILY_GRAMS[family] for gram in grams) >= max(1, len(grams))
+
+
+def notices(model: Model, texts: list[list[tuple[int, list[str]]]]) -> list[dict[int, Label]]:
+    """Findings of each text, by the line where they begin.
+
+    Lines and the paragraphs they make are judged alike, and the closest to its template comes first,
+    lines before paragraphs. What is found takes its lines, with what goes on with it beside them. The
+    rest is joined and judged again until nothing more is found: a window has one label, but may hold
+    several notices. A window that is not confirmed is judged by the words of its closest template.
+    A notice that runs over lines counts once; one of no known family only where its lines hold
+    nothing else.
+    """
+    lines: list[dict[int, Label]] = [{} for _ in texts]
+    parts = [(n, line, own) for n, text in enumerate(texts) for line, own in line_units(text)]
+    for (n, line, _), label in zip(parts, model.classify([own for *_, own in parts]), strict=True):
+        if label[0] != NONE and (line not in lines[n] or _rank(label) > _rank(lines[n][line])):
+            lines[n][line] = label
+    found: list[dict[int, Label]] = [{} for _ in texts]
+    settled: list[set[int]] = [set() for _ in texts]
+    active = list(range(len(texts)))
+    while active:
+        # text, first and last line, label
+        known = [
+            (n, line, line, label) for n in active for line, label in lines[n].items() if label[0] != UNKNOWN and line not in settled[n]
+        ]
+        unknown: list[tuple[int, int, int, Label]] = []
+        wide = [(n, where, own) for n in active for where, own in paragraph_units(texts[n], settled[n])]
+        narrow = []
+        for (n, where, own), label in zip(wide, model.classify([own for *_, own in wide]), strict=True):
+            if label[0] == UNKNOWN:
+                unknown.append((n, where[0], where[-1], label))
+            low, high = place(own, TEMPLATES if label[0] in (NONE, UNKNOWN) else [label[0]])
+            if label[0] not in (NONE, UNKNOWN):
+                known.append((n, where[low], where[high - 1], label))
+            elif high:
+                narrow.append((n, where[low], where[high - 1], own[low:high]))
+        for (n, first, last, _), label in zip(narrow, model.classify([own for *_, own in narrow]), strict=True):
+            if label[0] not in (NONE, UNKNOWN):
+                known.append((n, first, last, label))
+        again = set()
+        for n, first, last, label in sorted(known, key=lambda x: (x[0], -x[3][2], x[2] - x[1], -x[3][1], x[1])):
+            if settled[n].isdisjoint(range(first, last + 1)):
+                again.add(n)
+                found[n][first] = label
+                settled[n].update(range(first, last + 1))
+                own = dict(texts[n])
+                for step, at in ((1, last), (-1, first)):
+                    beside = at + step
+                    while beside in own and beside not in settled[n] and lines[n].get(beside, (UNKNOWN,))[0] == UNKNOWN:
+                        if not _piece(own[at] if step > 0 else [], own[beside], own[at] if step < 0 else [], label[0]):
+                            break
+                        settled[n].add(beside)
+                        at, beside = beside, beside + step
+        # once no notice is left that is known
+        unknown += [(n, line, line, label) for n in active for line, label in lines[n].items() if label[0] == UNKNOWN]
+        for n, first, last, label in sorted(unknown, key=lambda x: (x[0], x[2] - x[1], -x[3][1], x[1])):
+            if n not in again and settled[n].isdisjoint(range(first, last + 1)):
+                found[n][first] = label
+                settled[n].update(range(first, last + 1))
+        active = sorted(again)
+    return found
+
+
 def _together(column: pa.Array, chars: int = 1 << 17) -> Iterator[list[str]]:
     """The texts of a column, null ones empty, in lists of about so many characters."""
     texts, size = [], 0
@@ -322,8 +461,9 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     """``(doc_id, n_paragraphs, n_licence, n_unknown, families, findings)`` per row of ``docs``.
 
     Every line with words is classified; long ones in overlapping windows, whose finding with the
-    highest probability counts. ``families`` are the distinct confirmed ones, ``findings`` hold line,
-    family, probability and similarity of every notice, unknown ones included.
+    highest probability counts. Then paragraphs are, so that notices wrapped over lines are found, see
+    ``notices``. ``n_paragraphs`` are the lines with words, ``families`` the distinct confirmed ones,
+    ``findings`` hold first line, family, probability and similarity of every notice, unknown ones included.
 
     Null and empty texts have no paragraphs. Null ids stay null, repeated rows are scanned each,
     other columns are not read, an empty table gives no rows. Rows are judged on their own: nothing
@@ -339,17 +479,11 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             out = []
             for texts in _together(batch.column(1)):
-                found = [units(text) for text in texts]
-                labels = iter(model.classify([own for parts in found for _, own in parts]))
-                for parts in found:
-                    best: dict[int, tuple[str, float, float]] = {}
-                    for line, _ in parts:
-                        label = next(labels)
-                        if label[0] != NONE and (line not in best or _rank(label) > _rank(best[line])):
-                            best[line] = label
+                lines = [lines_of(text) for text in texts]
+                for own, best in zip(lines, notices(model, lines), strict=True):
                     known = [f for f, *_ in best.values() if f != UNKNOWN]
                     rows = [{"line": n, "family": f, "probability": round(p, 6), "similarity": round(s, 6)} for n, (f, p, s) in sorted(best.items())]
-                    out.append((len({n for n, _ in parts}), len(known), len(best) - len(known), ",".join(sorted(set(known))), rows))
+                    out.append((len(own), len(known), len(best) - len(known), ",".join(sorted(set(known))), rows))
             columns = list(zip(*out, strict=True)) or [()] * 5
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), kind]
             names = ["doc_id", "n_paragraphs", "n_licence", "n_unknown", "families", "findings"]

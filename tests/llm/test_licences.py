@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 import numpy as np
 import pytest
@@ -81,3 +82,24 @@ def test_edges(spark, trained):
     assert L.scan(empty, model).count() == 0 and L.sampled_paragraphs(empty) == []
     fallback, accuracy = L.train(spark, [])
     assert accuracy > 0.9 and fallback.classify([L.words(notice)])[0][0] == "MIT"
+
+
+BSD, PROGRAM, NO_PART = L.TEMPLATES["BSD"][0], L.TEMPLATES["GPL"][1], L.TEMPLATES["proprietary"][1]
+PROSE = "The ship left the harbour at dawn\nand nobody on the quay\nknew where it was bound"
+
+
+@pytest.mark.parametrize("width", [50, 72, 80])
+@pytest.mark.parametrize("around", ["{}", "# A title\n\n{}\n\n" + PROSE, PROSE + "\n{}\n" + PROSE])
+@pytest.mark.parametrize(("notice", "family"), [(BSD, "BSD"), (NO_PART, "proprietary"), (PROGRAM, "GPL"), (L.TEMPLATES["CC-BY-NC"][0], "CC-BY-NC")])
+def test_wrapped_notices(trained, notice, family, around, width):
+    text = around.replace("{}", textwrap.fill(notice, width))
+    found = L.notices(trained[0], [L.lines_of(text)])[0]
+    assert [label[0] for label in found.values()] == [family]
+
+
+def test_wrapped_notices_side_by_side(spark, trained):
+    text = "\n".join([textwrap.fill(BSD, 72), PLAIN["MIT"], textwrap.fill(PROGRAM, 72), PROSE])
+    found = L.scan(spark.createDataFrame([(1, text, "x")], SCHEMA), trained[0]).collect()[0]
+    assert (found.families, found.n_licence, found.n_unknown) == ("BSD,GPL,MIT", 3, 0)
+    second = textwrap.fill(BSD, 72).count("\n") + 1
+    assert [f.line for f in found.findings] == [0, second, second + 1]
