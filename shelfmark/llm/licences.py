@@ -27,7 +27,7 @@ UNIT_WORDS = 80
 # share of a template's word trigrams that confirms a prediction
 MIN_SIMILARITY = 0.5
 # held-out predictions above the confidence threshold are right at least this often
-PRECISION = 0.98
+PRECISION = 0.995
 
 NONE, UNKNOWN = "none", "unknown"
 
@@ -215,6 +215,14 @@ def _variants(notice: str, prose: list[list[str]], draw: random.Random) -> Itera
         yield text
 
 
+def _taken(own: list[str], family: str) -> bool:
+    """Whether another family's template is closer than any of this one."""
+    if family not in TEMPLATES:
+        return False
+    like = closest(own, family)
+    return any(closest(own, other) > like for other in TEMPLATES if other != family)
+
+
 def labelled_rows(paragraphs: list[str]) -> list[tuple[str, list[str]]]:
     """``(label, words)``: variants of the templates, and sampled paragraphs by their closest template.
 
@@ -230,7 +238,8 @@ def labelled_rows(paragraphs: list[str]) -> list[tuple[str, list[str]]]:
     prose = [own for label, own in rows if label == NONE]
     for label, notices in [*TEMPLATES.items(), (UNKNOWN, UNKNOWN_NOTICES), (NONE, ORDINARY)]:
         for notice in notices:
-            rows += [(label, own) for own in _variants(notice, prose, draw)]
+            # without the words that tell them apart, a variant of one family is a notice of another
+            rows += [(label, own) for own in _variants(notice, prose, draw) if not _taken(own, label)]
     return [(label, own) for label, own in rows if own]
 
 

@@ -103,3 +103,14 @@ def test_wrapped_notices_side_by_side(spark, trained):
     assert (found.families, found.n_licence, found.n_unknown) == ("BSD,GPL,MIT", 3, 0)
     second = textwrap.fill(BSD, 72).count("\n") + 1
     assert [f.line for f in found.findings] == [0, second, second + 1]
+
+
+def test_labels_name_the_closest_family():
+    for label, own in L.labelled_rows([]):
+        if label in L.TEMPLATES:
+            assert L.closest(own, label) == max(L.closest(own, family) for family in L.TEMPLATES)
+
+
+def test_confident_predictions_are_right(trained):
+    assert L.PRECISION >= 0.995
+    assert all(trained[0].classify([L.words(t)])[0][0] == family for family, texts in L.TEMPLATES.items() for t in texts)
