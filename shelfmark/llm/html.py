@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from shelfmark.storage import fresh_path, stage
 
 # How HTML elements are laid out, and names that say what an element is for.
-RAW = frozenset("script style noscript template iframe object svg math textarea title head canvas video audio".split())
+RAW = frozenset("script style noscript template iframe object svg math textarea title canvas video audio".split())
+# what can stand in a head; anything else ends it, whether or not it is closed
+HEAD = frozenset("base basefont bgsound link meta noframes noscript object script style template title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp"
@@ -51,7 +53,8 @@ _TOKEN = re.compile(
     r"|<(?P<tag2>/?[a-zA-Z][^\s>/]*+)[^>]*+(?:>|\Z)",
     re.DOTALL,
 )
-_ATTR = re.compile(r"""(?i)\b(class|id|role|hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+# one attribute after the other, so that no name is found inside another one or a value
+_ATTR = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _DIGITS = re.compile(r"\d+")
 
@@ -102,7 +105,7 @@ def parse(html: str) -> Page:
     blocks: list[Block] = []
     pieces: list[str] = []
     opened: Counter[str] = Counter()
-    links, in_link = 0, False
+    links, in_link, in_head = 0, False, False
 
     def flush() -> None:
         nonlocal links
@@ -125,6 +128,7 @@ def parse(html: str) -> Page:
         between = html[at : token.start()]
         if between:
             pieces.append(between)
+            in_head = in_head and between.isspace()
             if in_link:
                 links += len(between)
         at = token.end()
@@ -133,6 +137,8 @@ def parse(html: str) -> Page:
             continue
         if token["close"] or tag[0] == "/":
             tag = tag.lstrip("/")
+            if tag == "head":
+                in_head = False
             if tag == "a":
                 in_link = False
             elif tag in INLINE:
@@ -145,7 +151,12 @@ def parse(html: str) -> Page:
                         close(depth)
                         break
             continue
-        if tag in RAW:
+        if tag == "head":
+            flush()
+            in_head = True
+            continue
+        in_head = in_head and tag in HEAD
+        if tag in RAW or in_head and tag == "noframes":
             if not (token["attrs"] or "").rstrip().endswith("/"):
                 end = _raw_end(tag).search(html, at)
                 at = end.end() if end else len(html)
@@ -185,7 +196,7 @@ def parse(html: str) -> Page:
     return Page(nodes, blocks)
 
 
-_RAW_ENDS = {tag: re.compile(rf"(?i)</{tag}\b[^>]*>") for tag in RAW}
+_RAW_ENDS = {tag: re.compile(rf"(?i)</{tag}\b[^>]*>") for tag in RAW | {"noframes"}}
 
 
 def _raw_end(tag: str) -> re.Pattern:

@@ -122,3 +122,36 @@ def test_edges(spark):
     found = sorted((r.page_id or -1, r.url, r.text[:9], r.n_chars) for r in H.extract(pages).collect())
     assert found == [(-1, None, "", 0), (1, "no address", "t", 1), (2, "", "", 0), (2, "", "", 0), (3, "http://h", "deep", 4), (4, "http://h", "word word", 999_999)]
     assert H.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "head",
+    [
+        "<head><meta charset=utf-8><title>No</title><body>",
+        "<head><title>No</title><style>p{}</style><link rel=x href=y>",
+        "<html><head><noframes><p>No</p></noframes><script>var no = 1</script>\n<body class=x>",
+        "<HEAD><title>No</title></HEAD>",
+        "<head><title>No</title></title>",
+    ],
+)
+def test_head_ends_where_html_ends_it(head):
+    page = H.parse(f"<!DOCTYPE html>{head}<article><h1>The Title</h1>{BODY}</article>")
+    assert H.article(page, None) == TEXT
+    assert "No" not in [b.text for b in H.parse(f"{head}<div>x</div>").blocks]
+
+
+@pytest.mark.parametrize(
+    "attrs",
+    ['aria-hidden="false"', 'data-hidden="0"', 'title="The hidden valley"', "title='hidden'", "data-class=sidebar", 'data-style="display:none"',
+     'title="a role=menu b"', 'alt="id=comments"', "data-role=banner", "aria-hidden=false", 'xml:id="footer"'],
+)
+def test_attributes_go_by_whole_names(attrs):
+    page = H.parse(f"<body><div {attrs}><h1>The Title</h1>{BODY}</div>")
+    assert H.article(page, None) == TEXT
+    for paragraph in (f"<p {attrs}>x</p>", f"<p lang=en {attrs} dir=ltr>x</p>"):
+        assert [n.role for n in H.parse(paragraph).nodes] == ["", ""]
+
+
+@pytest.mark.parametrize("attrs", ["hidden", "hidden=''", "HIDDEN", 'class=a hidden id="b"', "data-x=1 hidden/", 'title="x"hidden', "class='sidebar'", "ROLE = menu", 'style="Display: none"'])
+def test_hidden_elements_stay_out(attrs):
+    assert H.parse(f"<p {attrs}>x</p>").nodes[1].role == "noise"
