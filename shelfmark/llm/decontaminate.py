@@ -50,9 +50,9 @@ class Block:
             grams = np.lib.stride_tricks.sliding_window_view(text, n)
             chances = share[grams].sum(axis=1)
             seeds = np.flatnonzero(chances <= np.log(rare))
-            if not len(seeds):
-                # no rare one: the rarest there is
-                seeds = np.flatnonzero(chances == chances.min())
+            if 2 * len(seeds) < len(chances):
+                # too few to outlast edits: all, alignment refuses what they bring too much
+                seeds = np.arange(len(chances))
             for at in seeds.tolist():
                 keys.append(self._key(grams[at][None, :])[0])
                 owners.append(item)
@@ -191,9 +191,9 @@ def contaminated(
     """``(doc_id, text_hash, item_id, score, first_word, last_word)``: passages that copy a test item.
 
     Seeds are the items' n-grams that are rare by the corpus's own word frequencies, which leaked
-    passages hardly move, or an item's rarest. Wherever one stands in a document, the passage around
-    it is aligned with the item; ``score`` is the share of the best possible score. The best passage
-    of each document and item counts.
+    passages hardly move, or all of an item's if fewer than half of them are rare. Wherever one stands
+    in a document, the passage around it is aligned with the item; ``score`` is the share of the best
+    possible score. The best passage of each document and item counts.
 
     Items are taken in blocks of about ``block_words`` words, each a pass over the documents, so what
     a task holds is bounded whatever the benchmark's size. No documents are shuffled, whole texts are

@@ -101,3 +101,16 @@ def test_short_and_long_texts(spark):
     benchmark = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta"), (2, "alpha"), (3, "mu")], ITEMS)
     found = D.contaminated(docs, benchmark).collect()
     assert sorted((r.item_id, r.first_word, r.last_word) for r in found) == [(1, 100_000, 100_007), (2, 100_000, 100_000)]
+
+
+def test_edited_copy_of_an_item_that_its_leak_makes_common(spark):
+    item = "one two three four five six seven eight nine ten eleven twelve".split()
+    place = 5
+    edited = " ".join([*item[:place], "other", *item[place + 1 :]])
+    # the edited word is the rarest: every rarest n-gram holds it
+    rows = [*[(n, " ".join(item), "x") for n in range(20)], *[(n, edited, "x") for n in range(20, 25)]]
+    rows += [(n, "nothing of the kind stands here", "x") for n in range(25, 50)]
+    found = D.contaminated(spark.createDataFrame(rows, DOCS), spark.createDataFrame([(1, " ".join(item))], ITEMS)).collect()
+    assert sorted(r.doc_id for r in found) == list(range(25))
+    block = D.Block([(1, " ".join(item))], {w: 20 + 5 * (w != item[place]) for w in item}, 600, D.RARE, D.SEED_WORDS)
+    assert sorted(block.places.tolist()) == list(range(10))
