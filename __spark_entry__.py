@@ -303,7 +303,8 @@ def _optional(name: str) -> object | None:
 
 
 _LLM = _optional("shelfmark.llm.queries")
-_PIPELINE = _optional("corpus_pipeline")
+# the pipeline is made of the subpackage's operators, and goes with it
+_PIPELINE = _optional("corpus_pipeline") if _LLM else None
 
 
 def _text_queries() -> dict[str, Query]:

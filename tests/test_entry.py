@@ -1,5 +1,6 @@
 """The entry file with and without the text subpackage."""
 
+import os
 import shutil
 import subprocess
 import sys
@@ -11,33 +12,44 @@ REPO = Path(__file__).resolve().parent.parent
 LISTED = "import __spark_entry__ as e; print(len(e._retail_queries()), *e.queries()); e.oracle_sql()"
 
 
-def _copy(to):
-    for name in ("shelfmark", "checks"):
-        ignore = shutil.ignore_patterns("llm", "__pycache__")
-        shutil.copytree(REPO / name, to / name, ignore=ignore)
-    shutil.copy(REPO / "__spark_entry__.py", to)
+def _copy(to, *left_out):
+    """The repository as it is checked out, without the text subpackage and its tests."""
+
+    def skipped(folder, names):
+        at = Path(folder).relative_to(REPO)
+        gone = {"shelfmark/llm", "tests/llm", *left_out}
+        return [n for n in names if n in (".git", "__pycache__") or str(at / n) in gone]
+
+    shutil.copytree(REPO, to, ignore=skipped, dirs_exist_ok=True)
 
 
 def _run(folder):
+    # a PYTHONPATH that names the repository would bring back what the copy leaves out
+    env = {key: value for key, value in os.environ.items() if key != "PYTHONPATH"}
+    command = [sys.executable, "-c", LISTED]
     return subprocess.run(
-        [sys.executable, "-c", LISTED], cwd=folder, capture_output=True, text=True, timeout=100
+        command, cwd=folder, env=env, capture_output=True, text=True, timeout=100
     )
 
 
-def test_entry_without_the_text_operators(tmp_path):
-    _copy(tmp_path)
+@pytest.mark.parametrize("left_out", [(), ("corpus_pipeline.py",)])
+def test_entry_without_the_text_operators(tmp_path, left_out):
+    _copy(tmp_path, *left_out)
     found = _run(tmp_path)
     assert found.returncode == 0, found.stderr
     n, *names = found.stdout.split()
     assert int(n) == len(names) and not any(name.startswith("op") for name in names)
+    assert "pipeline" not in names
 
 
 @pytest.mark.parametrize("broken", ["shelfmark/llm/queries.py", "corpus_pipeline.py"])
 def test_errors_of_the_text_operators_are_not_hidden(tmp_path, broken):
     _copy(tmp_path)
     file = tmp_path / broken
-    file.parent.mkdir(exist_ok=True)
-    (file.parent / "__init__.py").touch()
+    queries = tmp_path / "shelfmark/llm/queries.py"
+    queries.parent.mkdir()
+    (queries.parent / "__init__.py").touch()
+    queries.write_text("QUERIES, ORACLES = {}, {}\n")
     file.write_text("import no_such_module\n")
     found = _run(tmp_path)
     assert found.returncode != 0 and "no_such_module" in found.stderr

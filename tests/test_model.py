@@ -74,10 +74,8 @@ def _cleaned(row):
     if row["order_status"] not in ("Delivered", "Cancelled", "Returned"):
         new["order_status"] = None
     price, discount, age = row["unit_price"], row["discount_pct"], row["customer_age"]
-    new["unit_price"] = Decimal(str(price)) if price is not None and price > 0 else None
-    new["discount_pct"] = (
-        Decimal(str(discount)) if discount is not None and 0 <= discount <= 100 else None
-    )
+    new["unit_price"] = price if price is not None and price > 0 else None
+    new["discount_pct"] = discount if discount is not None and 0 <= discount <= 100 else None
     new["customer_age"] = age if age is not None and 15 <= age <= 100 else None
     code = (row["gender"] or "").strip(" ").upper()
     new["gender"] = {"M": "M", "MALE": "M", "F": "F", "FEMALE": "F"}.get(code)
@@ -89,7 +87,8 @@ def _cleaned(row):
 def _amount(row):
     if row["unit_price"] is None or row["discount_pct"] is None:
         return None
-    exact = row["quantity"] * row["unit_price"] * (100 - row["discount_pct"]) / 100
+    price, discount = (Decimal(str(row[c])) for c in ("unit_price", "discount_pct"))
+    exact = row["quantity"] * price * (100 - discount) / 100
     return exact.quantize(CENT, ROUND_HALF_UP)
 
 
