@@ -1,0 +1,104 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from shelfmark.llm import divergence as D
+from shelfmark.storage import fresh_path, stage
+from tests.conftest import SF_DIR
+from tests.llm.oracle import assert_same
+
+TERM = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
+LOWER = {c: c + 32 for c in range(65, 91)}
+
+
+def test_sql(spark):
+    assert_same(D.op13_source_divergence_audit(spark, SF_DIR), D.OP13_SQL)
+
+
+def plain(rows, min_documents, top):
+    """The definition, with Python's whole numbers."""
+    langs = defaultdict(lambda: defaultdict(list))
+    for _, text, lang, source in rows:
+        langs[lang or ""][source or ""].append([w.translate(LOWER) for w in TERM.findall(text or "")])
+    found = []
+    for lang, groups in langs.items():
+        df = Counter(t for docs in groups.values() for words in docs for t in set(words))
+        kept = [t for t, n in df.items() if n >= min_documents]
+        counts = {s: Counter(w for words in docs for w in words if df[w] >= min_documents) for s, docs in groups.items()}
+        whole = sum(counts.values(), Counter())
+
+        def share(count, t, v=len(kept)):
+            return 1 + 10**9 * (count[t] + 2) // (sum(count.values()) + 2 * v)
+
+        gap = lambda p, q: (p - q) ** 2 // (p + q)
+        for s, own in counts.items():
+            pairs = [(sum(gap(share(own, t), share(c, t)) for t in kept), o) for o, c in counts.items() if o != s]
+            terms = [(gap(share(own, t), share(whole, t)), t) for t in kept if own[t] and share(own, t) > share(whole, t)]
+            for part, items in (("pair", pairs), ("term", terms)):
+                items.sort(key=lambda x: (-x[0], x[1].encode()))
+                ranks = items if part == "pair" else items[:top]
+                found += [(lang, s, part, item, value, k) for k, (value, item) in enumerate(ranks, 1)]
+    return sorted(found)
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, digest long, n int, term string"
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, 1, 2, "x") for r in rows], SCHEMA)
+
+
+def random_rows(seed, n=120):
+    draw = random.Random(seed)
+    words = ["Alpha", "beta", "Äther", "ÄTHER", "übrig", "日本", "don't", "x1y", "[z]", "É", "gamma", "delta"]
+    text = lambda: "".join(draw.choice(words) + draw.choice(" \n,_") for _ in range(draw.randint(0, 30)))
+    return [(k, draw.choice([None, "", text(), text(), text()]), draw.choice(["en", "en", "de", None]), draw.choice(["a", "b", "c", "", None])) for k in range(n)]
+
+
+@pytest.mark.parametrize(("seed", "bits"), [(1, 64), (2, 1), (3, 3)])
+def test_random_documents(spark, monkeypatch, seed, bits):
+    monkeypatch.setattr(D, "BLOCK", 7)
+    rows = random_rows(seed)
+    found = D.divergence(frame(spark, rows), min_documents=4, top=3, digest_bits=bits)
+    assert sorted(map(tuple, found.collect())) == plain(rows, 4, 3)
+
+
+def test_tasks_that_hand_on_early(spark, monkeypatch):
+    monkeypatch.setattr(D, "HELD_PAIRS", 5)
+    monkeypatch.setattr(D, "CHUNK", 10)
+    rows = random_rows(7)
+    words = [w for _, text, _, _ in rows for some in D._words((text or "").encode()) for w in some]
+    assert words == [w.translate(LOWER).encode() for _, text, _, _ in rows for w in TERM.findall(text or "")]
+    found = D.divergence(frame(spark, rows).repartition(3), min_documents=2, top=2)
+    assert sorted(map(tuple, found.collect())) == plain(rows, 2, 2)
+
+
+def test_edges(spark):
+    same = [(n, "one two", "en", f"s{n % 3}") for n in range(9)]
+    rows = [*same, *same[:2], (None, None, None, None), (None, "x", "en", ""), (1, "123 ..", "fr", "only"), (1, "word " * 9000, "de", "a"), (1, "", "de", "b")]
+    found = D.divergence(frame(spark, rows), min_documents=1)
+    assert found.columns == ["lang", "source", "part", "item", "value", "rank"]
+    assert sorted(map(tuple, found.collect())) == plain(rows, 1, 10)
+    assert D.divergence(frame(spark, rows).limit(0)).count() == 0
+
+
+def test_shares_beyond_64_bits():
+    draw = random.Random(1)
+    for _ in range(200):
+        total, v = draw.randint(0, 10**15), draw.randint(1, 10**7)
+        n = draw.randint(0, total)
+        assert D._share(np.array([n]), np.array([total]), v)[0] == 1 + 10**9 * (n + 2) // (total + 2 * v)
+
+
+def test_counts_shuffle_no_text(spark):
+    partials = D.term_partials(frame(spark, random_rows(4))).withColumn("digest", D._digest(64))
+    partials = stage(partials, fresh_path(spark, "partials"))
+    nothing = spark.createDataFrame([], "digest long, split int, term string")
+    plan = D.kept_terms(partials, nothing)._jdf.queryExecution().executedPlan().toString()
+    (exchange,) = [line for line in plan.splitlines() if "Exchange" in line]
+    assert "hashpartitioning(lang" in exchange
+    moved = next(line for line in plan[plan.index(exchange) :].splitlines() if "Project" in line)
+    assert "digest" in moved and "term" not in moved.split("]")[0]
