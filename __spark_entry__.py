@@ -13,7 +13,7 @@ from importlib import import_module
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.fixture import retail_raw
+from checks.fixture import retail_raw, unreadable_text
 from checks.oracle import oracle_queries
 from shelfmark.operators.audit import audit_metadata
 from shelfmark.operators.checks import (
@@ -50,12 +50,24 @@ from shelfmark.operators.rules import (
     settle,
     violation_previews,
 )
-from shelfmark.plans.medallion import Layout, read_marts, run, write_marts
-from shelfmark.schemas import BRONZE, SILVER
+from shelfmark.plans.medallion import (
+    Layout,
+    ingest,
+    ranked_products,
+    read_bronze,
+    read_facts,
+    read_marts,
+    read_silver,
+    refine,
+    run,
+    write_marts,
+)
+from shelfmark.schemas import BRONZE, BRONZE_FILES, SILVER, SILVER_WITH_ORIGIN
 from shelfmark.sources import (
     inferred_layer,
     read_layer,
     read_raw,
+    unreadable_values,
     with_ingest_metadata,
     write_bronze,
     write_silver,
@@ -85,14 +97,18 @@ def _amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_amounts(clean(retail_raw(spark, sf_dir), processed_at=False))
 
 
-def _raw_csv(spark: SparkSession, sf_dir: str) -> str:
-    """The raw input as CSV files, padded text kept as it is."""
-    path = fresh_path(spark, "raw-csv")
+def _csv(df: DataFrame, *folders: str) -> str:
+    """Rows as CSV files, padded text kept as it is."""
+    path = fresh_path(df.sparkSession, "raw-csv")
     options = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    retail_raw(spark, sf_dir).write.options(header=True, **options).csv(path)
+    df.write.options(header=True, **options).partitionBy(*folders).csv(path)
     return path
 
 
+def _raw_csv(spark: SparkSession, sf_dir: str) -> str:
+    return _csv(retail_raw(spark, sf_dir))
+
+
 def _written_bronze(spark: SparkSession, sf_dir: str) -> str:
     path = fresh_path(spark, "bronze")
     write_bronze(retail_raw(spark, sf_dir), path)
@@ -108,7 +124,7 @@ def _written_silver(spark: SparkSession, sf_dir: str) -> str:
 def _gold(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Delivered lines of a written silver layer, and the marts written from them."""
     amounts = order_amounts(read_layer(spark, _written_silver(spark, sf_dir), SILVER))
-    return amounts, write_marts(amounts, Layout(fresh_path(spark, "gold")))
+    return amounts, write_marts(amounts, fresh_path(spark, "gold"))
 
 
 def _one_rule(name: str) -> Query:
@@ -283,9 +299,55 @@ def retail_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
 def layer_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = Layout(fresh_path(spark, "retail"))
     run(spark, _raw_csv(spark, sf_dir), layout.root)
-    bronze = read_layer(spark, layout.bronze, BRONZE)
-    silver = read_layer(spark, layout.silver, SILVER)
-    return row_counts({"bronze": bronze, "silver": silver, **read_marts(spark, layout)})
+    layers = {"bronze": read_bronze(spark, layout), "silver": read_silver(spark, layout)}
+    return row_counts({**layers, **read_marts(spark, layout)})
+
+
+def bronze_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values per column that the parser could not read, from the ledger of a published bronze layer."""
+    layout = Layout(fresh_path(spark, "retail"))
+    ingest(spark, _csv(unreadable_text(retail_raw(spark, sf_dir))), layout)
+    return unreadable_values(read_bronze(spark, layout, BRONZE_FILES))
+
+
+def bronze_replaced_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by date after one date was ingested again, without its repeated transactions."""
+    layout = Layout(fresh_path(spark, "retail"))
+    ingest(spark, _raw_csv(spark, sf_dir), layout)
+    day = _deduped(spark, sf_dir).filter("ingestion_date = DATE '2024-01-02'")
+    ingest(spark, _csv(day), layout, dynamic=True, check_counts=True)
+    return read_bronze(spark, layout).groupBy("ingestion_date").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def silver_origin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The folder that each silver row's file lay in: the raw files are dealt into one per date."""
+    layout = Layout(fresh_path(spark, "retail"))
+    rows = retail_raw(spark, sf_dir).withColumn("day", F.date_format("ingestion_date", "dd"))
+    ingest(spark, _csv(rows, "day") + "/day=*", layout)
+    refine(spark, layout, origin=True)
+    silver = read_silver(spark, layout, SILVER_WITH_ORIGIN)
+    folder = F.regexp_extract("source_file", "(day=[0-9]+)/[^/]*$", 1)
+    return silver.select("transaction_id", folder.alias("folder"))
+
+
+def silver_job_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the silver job kept of what it met; of the rows shown, how many there are of each kind."""
+    layout = Layout(fresh_path(spark, "retail"))
+    ingest(spark, _raw_csv(spark, sf_dir), layout)
+    refine(spark, layout)
+    facts = read_facts(spark, layout)
+    shown = F.col("fact").isin("violation", "repeated_key")
+    counted = facts.filter(~shown).select("fact", "subject", "n")
+    kinds = F.when(F.col("fact") == "violation", F.col("subject")).alias("subject")
+    of_shown = facts.filter(shown).groupBy("fact", kinds).agg(F.count(F.lit(1)).alias("n"))
+    return counted.unionByName(of_shown)
+
+
+def top_products_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 25 best products, from the first files of the written mart."""
+    folder = fresh_path(spark, "gold")
+    write_marts(_amounts(spark, sf_dir), folder)
+    return ranked_products(spark, folder, 25)
 
 
 def _mart(mart: Callable[[DataFrame], DataFrame]) -> Query:
@@ -368,6 +430,11 @@ def _retail_queries() -> dict[str, Query]:
         "gold_profile": gold_profile,
         "audit_metadata": gold_audit,
         "layer_row_counts": layer_row_counts,
+        "bronze_unreadable": bronze_unreadable,
+        "bronze_replaced_dates": bronze_replaced_dates,
+        "silver_origin": silver_origin,
+        "silver_job_facts": silver_job_facts,
+        "top_products_readback": top_products_readback,
         "retail_end_to_end": retail_end_to_end,
     }
 

@@ -32,6 +32,21 @@ def retail_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def unreadable_text(raw: DataFrame) -> DataFrame:
+    """The raw rows as text in which some values cannot be read under the declared schema."""
+    return raw.selectExpr(
+        *[f"{_UNREADABLE.get(name, f'CAST({name} AS STRING)')} AS {name}" for name in RAW.names]
+    )
+
+
+# Which values are written so that they cannot be read.
+_UNREADABLE = {
+    "quantity": "CASE WHEN quantity % 10 = 3 THEN concat(quantity, ',5') ELSE CAST(quantity AS STRING) END",
+    "ship_date": "CASE WHEN state = 'ASIA' THEN date_format(ship_date, 'dd/MM/yyyy') ELSE CAST(ship_date AS STRING) END",
+    "unit_price": "CASE WHEN quantity = 17 THEN concat('$', unit_price) ELSE CAST(unit_price AS STRING) END",
+    "ingestion_date": "CASE WHEN quantity = 20 THEN 'soon' ELSE CAST(ingestion_date AS STRING) END",
+}
+
 # The columns read from each test table (FIXTURES.md section 2).
 _COLUMNS = {
     "region": "r_regionkey INT, r_name STRING",

@@ -267,6 +267,40 @@ def _ledger() -> str:
     )
 
 
+def _job_facts() -> str:
+    counts = {
+        "read": "(SELECT count(*) FROM retail_raw)",
+        "deduplicated": "(SELECT count(*) FROM deduped)",
+        "repeated_keys": "(SELECT count(*) FROM (SELECT 1 FROM retail_raw GROUP BY transaction_id HAVING count(*) > 1))",
+    }
+    violating = "SELECT '{n}' AS rule FROM deduped WHERE {a} AND {c} IS NOT NULL"
+    violations = _union([violating.format(n=n, a=_ACTS[n], c=_RULES[n][1]) for n in _PREVIEWED])
+    return _union(
+        [
+            *[f"SELECT 'rows' AS fact, '{k}' AS subject, {v} AS n" for k, v in counts.items()],
+            "SELECT 'gender_met', gender, count(*) FROM deduped GROUP BY gender",
+            *[f"SELECT 'rule', '{n}', count(*) FROM deduped WHERE {_ACTS[n]}" for n in _RULES],
+            f"SELECT 'violation', rule, least(5, count(*)) FROM ({violations}) GROUP BY rule",
+            f"SELECT 'repeated_key', NULL, least(5, {counts['repeated_keys']})",
+        ]
+    )
+
+
+def _unreadable() -> str:
+    unread = {
+        "quantity": "quantity % 10 = 3",
+        "ship_date": "state = 'ASIA' AND ship_date IS NOT NULL",
+        "unit_price": "quantity = 17 AND unit_price IS NOT NULL",
+        "ingestion_date": "quantity = 20",
+    }
+    return _union(
+        [
+            f"SELECT '{c}' AS \"column\", count(*) AS n_values FROM retail_raw WHERE {unread.get(c, 'FALSE')}"
+            for c in [*_COLUMNS, "(fields)"]
+        ]
+    )
+
+
 def _counts(tables: dict[str, str]) -> str:
     return _union([f"SELECT '{k}' AS layer, count(*) AS n_rows FROM {v}" for k, v in tables.items()])
 
@@ -353,6 +387,15 @@ def oracle_queries() -> dict[str, str]:
         f" {_UNITS} AS units FROM amounts GROUP BY GROUPING SETS"
         " ((order_date), (product_category), (city, state), (product_id))",
         "gold_roundtrip": _gold_rows(),
+        "bronze_unreadable": _unreadable(),
+        "bronze_replaced_dates": "SELECT ingestion_date, count(*) AS n_rows FROM retail_raw"
+        " WHERE ingestion_date <> DATE '2024-01-02' GROUP BY ingestion_date UNION ALL"
+        " SELECT ingestion_date, count(*) FROM deduped WHERE ingestion_date = DATE '2024-01-02'"
+        " GROUP BY ingestion_date",
+        "silver_origin": "SELECT transaction_id, 'day=' || strftime(ingestion_date, '%d') AS folder FROM silver",
+        "silver_job_facts": _job_facts(),
+        "top_products_readback": f"SELECT * FROM ({_MARTS['top_products']})"
+        " ORDER BY revenue DESC NULLS LAST, product_id LIMIT 25",
         "gold_profile": _mart_profile(),
         "audit_metadata": _AUDIT,
         "retail_end_to_end": _AUDIT,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.operators.dedupe import dedupe
 from shelfmark.operators.rules import SILVER_RULES, Rule, apply_rules, change_values, drop_rows
-from shelfmark.schemas import SILVER
+from shelfmark.schemas import ORIGIN, SILVER
 
 
 def clean(
@@ -31,5 +31,7 @@ def clean(
 
 
 def stamp(silver: DataFrame) -> DataFrame:
-    """Add the time of the run and bring the columns into their declared order."""
-    return silver.withColumn("silver_processed_at", F.current_timestamp()).select(*SILVER.names)
+    """Add the time of the run and bring the columns into their declared order, those of ``ORIGIN`` last."""
+    origin = [name for name in ORIGIN.names if name in silver.columns]
+    stamped = silver.withColumn("silver_processed_at", F.current_timestamp())
+    return stamped.select(*SILVER.names, *origin)

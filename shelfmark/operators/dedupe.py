@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.schemas import RAW
+from shelfmark.schemas import ORIGIN, RAW
 
 
 def total_order(columns: Sequence[str] = RAW.names, newest: str = "ingestion_date") -> list[Column]:
@@ -32,6 +32,26 @@ def dedupe(
     return df.withColumn("_rank", F.row_number().over(first)).filter("_rank = 1").drop("_rank")
 
 
+def dedupe_counted(df: DataFrame, key: str = "transaction_id", newest: str = "ingestion_date") -> DataFrame:
+    """The rows that ``dedupe`` keeps by the total order of the raw columns, with ``copies``, the rows per key.
+
+    One shuffle gives both: each task sends the first row and the number of rows of each of its keys.
+    Columns of ``ORIGIN`` come along where ``df`` has them, after all others in the order, so that
+    they name one row's source but never decide which values survive.
+    """
+    raw = [name for name in df.columns if name not in {key, newest, *ORIGIN.names}]
+    carried = [*raw, *[name for name in ORIGIN.names if name in df.columns]]
+    # structs compare field by field with NULL first: the flag before each value puts it last
+    order = [F.col(newest).isNull(), -F.unix_date(newest)]
+    for name in carried:
+        order += [F.col(name).isNull(), F.col(name)]
+    first = F.min(F.struct(*[field.alias(f"f{n}") for n, field in enumerate(order)]))
+    best = df.groupBy(key).agg(first.alias("best"), F.count(F.lit(1)).alias("copies"))
+    values = {newest: F.date_from_unix_date(-F.col("best.f1"))}
+    values |= {name: F.col(f"best.f{2 * n + 3}") for n, name in enumerate(carried)}
+    return best.select(*[values.get(name, F.col(name)).alias(name) for name in df.columns], "copies")
+
+
 def duplicate_keys(df: DataFrame, key: str = "transaction_id") -> DataFrame:
     """(key, n) of every key seen more than once; NULL is one key."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")

@@ -231,9 +231,12 @@ def violation_previews(
     rules: Sequence[Rule] = SILVER_RULES,
     n: int = 5,
     shown: Sequence[str] | None = None,
+    nth: str | None = None,
 ) -> DataFrame:
     """``rule`` and the rows of its ``violation_preview``, for every rule or those ``shown``.
 
+    ``nth`` names a column that numbers the rows of a rule.
+
     A rule looks at the rows that the drop rules before it left. One pass: a row goes to each rule
     that it breaks, and ``n`` rows per rule are kept in the task before any are moved.
     """
@@ -246,4 +249,5 @@ def violation_previews(
     broken = row.filter(F.size("rules") > 0).select(F.explode("rules").alias("rule"), "row.*")
     first = Window.partitionBy("rule").orderBy(*order)
     ranked = broken.withColumn("_nth", F.row_number().over(first))
-    return ranked.filter(F.col("_nth") <= n).drop("_nth")
+    some = ranked.filter(F.col("_nth") <= n)
+    return some.withColumnRenamed("_nth", nth) if nth else some.drop("_nth")

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfmark.operators.checks import mart_profile, schema_report, silver_invariants
-from shelfmark.operators.dedupe import dedupe, duplicate_keys, total_order
+from shelfmark.operators.dedupe import duplicate_keys
 from shelfmark.operators.marts import order_amounts
 from shelfmark.operators.profile import (
     null_profile,
@@ -15,19 +16,27 @@ from shelfmark.operators.profile import (
     row_counts,
     value_distribution,
 )
-from shelfmark.operators.rules import PREVIEWED, violation_previews
-from shelfmark.plans.medallion import Layout, read_marts
-from shelfmark.schemas import AUDIT, BRONZE, BRONZE_WITH_ORIGIN, SILVER
-from shelfmark.sources import inferred_layer, read_layer
+from shelfmark.plans.medallion import (
+    Layout,
+    read_audit,
+    read_bronze,
+    read_facts,
+    read_marts,
+    read_silver,
+    read_top_products,
+)
+from shelfmark.schemas import BRONZE_FILES, SILVER
+from shelfmark.sources import unreadable_values
+from shelfmark.sources.generations import versions
 
 
 def bronze_report(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    files = inferred_layer(spark, layout.bronze)
-    expected = BRONZE_WITH_ORIGIN if "source_file" in files.columns else BRONZE
-    bronze = read_layer(spark, layout.bronze, expected)
+    files, bronze = read_bronze(spark, layout, BRONZE_FILES), read_bronze(spark, layout)
     return {
         "rows": row_counts({"bronze": bronze}),
-        "schema": schema_report(files, expected),
+        "schema": schema_report(files, BRONZE_FILES),
+        "unreadable values": unreadable_values(files),
+        "unreadable lines": preview(files.filter("raw_record IS NOT NULL").select("source_file", "unreadable", "raw_record"), 5),
         "partitions": partition_profile(bronze),
         "ingestion dates": partition_values(bronze, "ingestion_date"),
         "nulls": null_profile(bronze),
@@ -38,16 +47,21 @@ def bronze_report(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
 
 
 def silver_report(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    """The silver table, and what its job met: the deduplicated rows before the rules."""
-    silver = read_layer(spark, layout.silver, SILVER)
-    bronze = read_layer(spark, layout.bronze, BRONZE)
-    met = dedupe(bronze)
+    """The silver table, and what its job met: read from its facts, not from bronze again."""
+    silver, facts = read_silver(spark, layout), read_facts(spark, layout)
+
+    def fact(name: str, subject: str, n: str) -> DataFrame:
+        found = facts.filter(F.col("fact") == name)
+        return found.select(F.col("subject").alias(subject), F.col("n").alias(n))
+
     return {
-        "duplicate transactions": preview(duplicate_keys(bronze), 5),
-        "violations met": violation_previews(met, total_order(), shown=PREVIEWED),
-        "gender met": value_distribution(met, ["gender"]),
+        "rows met": fact("rows", "rows", "n"),
+        "duplicate transactions": fact("repeated_key", "transaction_id", "n"),
+        "violations met": facts.filter("fact = 'violation'").select(F.col("subject").alias("rule"), "record"),
+        "gender met": fact("gender_met", "gender", "n"),
+        "rules": fact("rule", "rule", "n_rows"),
         "rows": row_counts({"silver": silver}),
-        "schema": schema_report(inferred_layer(spark, layout.silver), SILVER),
+        "schema": schema_report(silver, SILVER),
         "values": value_distribution(silver, ["product_category", "payment_type", "gender"]),
         "nulls": null_profile(silver.select("payment_type", "gender", "unit_price")),
         "invariants": silver_invariants(silver),
@@ -56,9 +70,21 @@ def silver_report(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
 
 def gold_report(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     marts = read_marts(spark, layout)
-    amounts = order_amounts(read_layer(spark, layout.silver, SILVER))
+    amounts = order_amounts(read_silver(spark, layout))
     return {
         "marts": mart_profile(amounts, marts),
         **{name: preview(mart, 10) for name, mart in marts.items()},
-        "audit": read_layer(spark, layout.mart("audit_metadata"), AUDIT),
+        "top_products": read_top_products(spark, layout, 10),
+        "audit": read_audit(spark, layout),
     }
+
+
+def version_report(spark: SparkSession, layout: Layout) -> DataFrame:
+    """(layer, number, generation, published_at, n_folders, path), the newest version of each layer first."""
+    rows = [
+        (layer, v.number, v.generation, v.published_at, len(v.folders), home.folder(v.generation))
+        for layer, home in layout.layers.items()
+        for v in versions(spark, home)
+    ]
+    schema = "layer string, number long, generation string, published_at timestamp, n_folders int, path string"
+    return spark.createDataFrame(rows, schema)

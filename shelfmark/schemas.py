@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 INT, LONG, TEXT = T.IntegerType(), T.LongType(), T.StringType()
 DOUBLE, DATE, TIMESTAMP = T.DoubleType(), T.DateType(), T.TimestampType()
+TEXTS = T.ArrayType(T.StringType())
 
 # What a line amount is computed from: silver itself keeps prices and discounts as they came.
 # A value that does not fit exactly is counted by a rule of its own.
@@ -37,13 +38,23 @@ RAW = table(
     ingestion_date=DATE,
 )
 BRONZE = RAW
-BRONZE_WITH_ORIGIN = table(
-    **{f.name: f.dataType for f in RAW}, source_file=TEXT, ingested_at=TIMESTAMP
-)
+# where a row came from, and what of it could not be read
+ORIGIN = table(source_file=TEXT, ingested_at=TIMESTAMP)
+LEDGER = table(unreadable=TEXTS, raw_record=TEXT)
+BRONZE_WITH_ORIGIN = T.StructType([*RAW, *ORIGIN])
+# all that bronze files hold
+BRONZE_FILES = T.StructType([*RAW, *ORIGIN, *LEDGER])
 SILVER = table(
     **{f.name: f.dataType for f in RAW},
     silver_processed_at=TIMESTAMP,
 )
+SILVER_WITH_ORIGIN = T.StructType([*SILVER, *ORIGIN])
+# what the silver job met: counts, and previews as JSON
+FACTS = table(fact=TEXT, subject=TEXT, n=LONG, record=TEXT)
+# first and last row of each file of a sorted mart, by their place in the order
+RANGES = table(file=TEXT, first_rank=LONG, n_rows=LONG, highest=DOUBLE, lowest=DOUBLE)
+# publications of a layer
+LOG = table(number=LONG, generation=TEXT, folders=TEXTS, published_at=TIMESTAMP)
 MARTS = {
     "daily_sales_metrics": table(
         order_date=DATE, total_revenue=DOUBLE, total_orders=LONG, avg_order_value=DOUBLE

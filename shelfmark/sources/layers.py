@@ -2,16 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+from functools import reduce
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from shelfmark.schemas import RANGES
+from shelfmark.sources.generations import Home, Version
+
 
 def inferred_layer(spark: SparkSession, path: str) -> DataFrame:
     """A layer as its files describe it, for ``schema_check``."""
     return spark.read.parquet(path)
 
 
+def file_schema(spark: SparkSession, path: str) -> StructType:
+    """The schema of all files of a folder together; files that contradict each other raise.
+
+    Footers are read by Spark tasks, no data is. A folder without files has no columns.
+    """
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path).schema
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return StructType([])
+
+
 def read_layer(spark: SparkSession, path: str, expected: StructType) -> DataFrame:
     """Scan a layer under its declared schema, columns in declared order.
 
@@ -20,18 +41,32 @@ def read_layer(spark: SparkSession, path: str, expected: StructType) -> DataFram
     its type back, and a data column of another type fails in the scan. A layer without files
     (nothing survived cleaning) is an empty table.
     """
+    return _declared(lambda: spark.read, [path], expected)
+
+
+def read_version(spark: SparkSession, home: Home, version: Version, expected: StructType) -> DataFrame:
+    """Scan the folders that a version names, as ``read_layer`` scans one."""
+    if not version.folders:
+        return spark.createDataFrame([], expected)
+    return _declared(lambda: spark.read.option("basePath", home.data), version.paths(home), expected)
+
+
+def _declared(reader, paths: Sequence[str], expected: StructType) -> DataFrame:
+    def scan(fresh: DataFrameReader) -> DataFrame:
+        return fresh.parquet(*paths)
+
     try:
-        found = inferred_layer(spark, path)
+        found = scan(reader())
     except AnalysisException as error:
         if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
-        return spark.read.schema(expected).parquet(path)
+        return scan(reader().schema(expected)).select(*expected.names)
     missing = [name for name in expected.names if name not in found.columns]
     if missing:
-        raise ValueError(f"{path} lacks the columns {', '.join(missing)}")
+        raise ValueError(f"{', '.join(paths[:3])} lacks the columns {', '.join(missing)}")
     layer = found.select(*expected.names)
     if layer.schema != expected:
-        layer = spark.read.schema(expected).parquet(path).select(*expected.names)
+        layer = scan(reader().schema(expected)).select(*expected.names)
     return layer
 
 
@@ -73,3 +108,34 @@ def write_mart(df: DataFrame, path: str, single_file: bool = False) -> None:
     if single_file:
         df = df.repartition(1)
     df.write.mode("overwrite").parquet(path)
+
+
+def file_ranges(mart: DataFrame, column: str) -> DataFrame:
+    """(file, first_rank, n_rows, highest, lowest) of a mart written in descending order of ``column``.
+
+    A row per file, in the order of the ranges they hold; only that small table meets in one task.
+    """
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    held = mart.select(name.alias("file"), F.col(column).alias("value")).groupBy("file")
+    files = held.agg(F.count(F.lit(1)).alias("n_rows"), F.max("value").alias("highest"), F.min("value").alias("lowest"))
+    # the writer numbers its files by range, which also orders files of equal values
+    number = F.regexp_extract("file", r"part-(\d+)", 1).cast("long")
+    before = Window.orderBy(number, "file").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("n_rows").over(before), F.lit(0)) + 1
+    return files.withColumn("first_rank", first).select(*RANGES.names)
+
+
+def read_ranked(
+    spark: SparkSession, path: str, expected: StructType, ranges: DataFrame, k: int | None = None
+) -> DataFrame:
+    """A mart in the order it was written in, without sorting it again: its files one after the other.
+
+    With ``k`` only the first files are listed, up to the one that holds the k-th row.
+    """
+    needed = ranges if k is None else ranges.filter(F.col("first_rank") <= k)
+    # a row per file, of those needed
+    files = [row.file for row in needed.select("file", "first_rank").orderBy("first_rank").collect()]
+    if not files:
+        return spark.createDataFrame([], expected)
+    scans = [spark.read.schema(expected).parquet(f"{path}/{file}") for file in files]
+    return reduce(DataFrame.unionAll, scans)

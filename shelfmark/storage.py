@@ -54,11 +54,21 @@ def stage(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder, wherever it is stored; one that is not there is fine."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    files, target = _file_system(spark, path)
+    files.delete(target, True)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, wherever it is stored; one that is not there has none."""
+    files, target = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(target)) if files.exists(target) else []
 
 
 @contextmanager

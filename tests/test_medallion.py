@@ -15,7 +15,18 @@ from shelfmark.operators.dedupe import dedupe
 from shelfmark.operators.marts import mart_totals, marts_from_totals, order_amounts
 from shelfmark.operators.rules import judge
 from shelfmark.plans import medallion
-from shelfmark.plans.medallion import CheckFailed, Layout, ingest, publish, refine, run, write_marts
+from shelfmark.plans.medallion import (
+    CheckFailed,
+    Layout,
+    ingest,
+    publish,
+    read_bronze,
+    read_marts,
+    read_silver,
+    refine,
+    run,
+    write_marts,
+)
 from shelfmark.schemas import MARTS, SILVER
 from shelfmark.session import SHUFFLE_PARTITIONS, planned_bytes, shuffle_partitions, sized_shuffles
 from shelfmark.sources import read_layer, write_silver
@@ -33,6 +44,11 @@ def _csv(df, path):
     return str(path)
 
 
+def _files(root):
+    """Everything below a folder that readers may see."""
+    return {path: path.read_bytes() for path in sorted(root.rglob("*")) if path.is_file()}
+
+
 def _hot(spark):
     """3,000 lines of which a third share one transaction and all share day, city and product."""
     changes = [
@@ -93,23 +109,22 @@ def test_run_on_csv(spark, tmp_path):
     df, _ = _hot(spark)
     (audit,) = run(spark, _csv(df, tmp_path / "raw"), str(tmp_path / "out")).collect()
     layout = Layout(str(tmp_path / "out"))
-    silver = read_layer(spark, layout.silver, SILVER)
+    silver = read_silver(spark, layout)
     assert audit.pipeline_status == "SUCCESS"
     assert audit.source_rows == silver.count()
     assert (audit.daily_sales_rows, audit.monthly_sales_rows, audit.top_products_rows) == (1, 1, 1)
-    top = spark.read.parquet(layout.mart("top_products")).first()
+    top = read_marts(spark, layout)["top_products"].first()
     assert top.units_sold == silver.agg(F.sum("quantity")).first()[0]
 
 
 def test_top_products_files_are_globally_sorted(spark, tmp_path):
     lines = [{"product_id": f"PROD{n:03}", "quantity": n % 40 + 1} for n in range(200)]
-    layout = Layout(str(tmp_path))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        write_marts(order_amounts(raw_frame(spark, *lines)), layout)
+        write_marts(order_amounts(raw_frame(spark, *lines)), str(tmp_path))
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    files = sorted(Path(layout.mart("top_products")).glob("*.parquet"))
+    files = sorted((tmp_path / "top_products.parquet").glob("*.parquet"))
     rows = [row for f in files for row in spark.read.parquet(str(f)).collect()]
     assert len(files) > 1 and len(rows) == 200
     assert rows == sorted(rows, key=lambda r: (-r.revenue, r.product_id))
@@ -117,7 +132,7 @@ def test_top_products_files_are_globally_sorted(spark, tmp_path):
 
 def test_totals_do_not_stay_cached(spark, tmp_path):
     before = spark.sparkContext._jsc.getPersistentRDDs().size()
-    write_marts(order_amounts(raw_frame(spark, {})), Layout(str(tmp_path)))
+    write_marts(order_amounts(raw_frame(spark, {})), str(tmp_path))
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
 
 
@@ -125,7 +140,7 @@ def test_rerun_replaces_all_layers(spark, tmp_path):
     root, layout = str(tmp_path / "out"), Layout(str(tmp_path / "out"))
     run(spark, _csv(raw_frame(spark, {}, {}), tmp_path / "a"), root)
     run(spark, _csv(raw_frame(spark, {}), tmp_path / "b"), root, origin=True, check_header=True)
-    assert read_layer(spark, layout.silver, SILVER).count() == 1
+    assert read_silver(spark, layout).count() == 1
 
 
 def _shared(spark):
@@ -153,11 +168,15 @@ def test_lost_raw_rows_fail_the_bronze_job(spark, tmp_path, monkeypatch):
     raw = _csv(raw_frame(spark, {}, {}, {}), tmp_path / "raw")
     layout, write = Layout(str(tmp_path / "out")), medallion.write_bronze
     for dynamic in (False, True):
-        ingest(spark, raw, layout, check_counts=True, dynamic=dynamic)
-        monkeypatch.setattr(medallion, "write_bronze", lambda df, *a, **k: write(df.limit(2), *a, **k))
-        with pytest.raises(CheckFailed, match="raw and bronze"):
-            ingest(spark, raw, layout, check_counts=True, dynamic=dynamic)
-        monkeypatch.setattr(medallion, "write_bronze", write)
+        for check_counts in (False, True):
+            ingest(spark, raw, layout, check_counts=check_counts, dynamic=dynamic)
+            good = _files(tmp_path / "out")
+            lost = lambda df, *a, **k: write(df.filter("transaction_id <> 2"), *a, **k)
+            monkeypatch.setattr(medallion, "write_bronze", lost)
+            with pytest.raises(CheckFailed, match="raw and bronze"):
+                ingest(spark, raw, layout, check_counts=check_counts, dynamic=dynamic)
+            monkeypatch.setattr(medallion, "write_bronze", write)
+            assert _files(tmp_path / "out") == good and read_bronze(spark, layout).count() == 3
 
 
 def test_long_lists_of_failures_are_counted(spark):
@@ -192,10 +211,6 @@ def test_missing_mart_rows_fail(spark):
     assert audit_metadata(amounts, empty).first().pipeline_status == "FAILED"
 
 
-def _files(root):
-    return {path: path.read_bytes() for path in sorted(root.rglob("*.parquet")) if path.is_file()}
-
-
 def test_incomplete_mart_fails_the_gold_job(spark, tmp_path, monkeypatch):
     layout = Layout(str(tmp_path / "out"))
     ingest(spark, _csv(raw_frame(spark, {}, {"city": "Reno"}), tmp_path / "raw"), layout)
@@ -260,16 +275,18 @@ def test_failed_check_stops_the_run(spark, tmp_path, monkeypatch):
     with pytest.raises(CheckFailed, match="difference"):
         refine(spark, layout)
     assert _files(tmp_path / "out") == good
-    assert read_layer(spark, layout.silver, SILVER).count() == 2
+    assert read_silver(spark, layout).count() == 2
 
 
 def test_jobs_by_command_line(spark, tmp_path, capsys):
     raw = _csv(raw_frame(spark, {}, {"quantity": 0}), tmp_path / "raw")
     root = str(tmp_path / "out")
     for argv in (
-        ["bronze", "--raw", raw, "--root", root, "--origin"],
-        ["silver", "--root", root],
+        ["bronze", "--raw", raw, "--root", root],
+        ["silver", "--root", root, "--origin"],
         ["gold", "--root", root],
+        ["versions", "--root", root],
+        ["vacuum", "--root", root, "--drafts"],
         *[["inspect", "--root", root, "--layer", x] for x in ("bronze", "silver", "gold")],
     ):
         execute(spark, parse(argv))
