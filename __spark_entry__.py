@@ -257,11 +257,13 @@ def row_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def delivered_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _edge(_amounts(spark, sf_dir))
+    amounts = _edge(_amounts(spark, sf_dir))
+    return amounts.withColumn("total_amount", F.coalesce("total_amount", "huge_amount")).drop("huge_amount")
 
 
 def gold_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _edge(mart_totals(_amounts(spark, sf_dir)))
+    totals = _edge(mart_totals(_amounts(spark, sf_dir)))
+    return totals.withColumn("amount", F.coalesce(F.col("amount") + F.col("huge"), "amount", "huge")).drop("huge")
 
 
 def gold_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,3 +1,3 @@
-from shelfmark.functions.money import as_money, line_amount, mean_money
+from shelfmark.functions.money import as_money, huge_amount, line_amount, mean_money
 
-__all__ = ["as_money", "line_amount", "mean_money"]
+__all__ = ["as_money", "huge_amount", "line_amount", "mean_money"]

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions import as_money, line_amount, mean_money
+from shelfmark.functions import as_money, huge_amount, line_amount, mean_money
 
 AMOUNT_COLUMNS = (
     "transaction_id",
@@ -25,28 +25,32 @@ AMOUNT_COLUMNS = (
 def order_amounts(silver: DataFrame) -> DataFrame:
     """Delivered lines with ``total_amount``, only the columns the marts read.
 
-    On the silver layer the status filter prunes folders.
+    A line whose price is beyond exact cents has a ``huge_amount`` instead. On the silver layer the
+    status filter prunes folders.
     """
     delivered = silver.filter(F.lower("order_status") == "delivered")
-    amount = line_amount(F.col("quantity"), F.col("unit_price"), F.col("discount_pct"))
-    return delivered.select(*AMOUNT_COLUMNS, amount.alias("total_amount"))
+    line = (F.col("quantity"), F.col("unit_price"), F.col("discount_pct"))
+    return delivered.select(
+        *AMOUNT_COLUMNS, line_amount(*line).alias("total_amount"), huge_amount(*line).alias("huge_amount")
+    )
 
 
 def _sums() -> list[Column]:
     return [
         F.sum("total_amount").alias("amount"),
-        F.count("total_amount").alias("priced"),
+        F.sum("huge_amount").alias("huge"),
+        (F.count("total_amount") + F.count("huge_amount")).alias("priced"),
         F.count("transaction_id").alias("orders"),
         F.sum("quantity").alias("units"),
     ]
 
 
 def _money() -> Column:
-    return as_money(F.col("amount"))
+    return as_money(F.col("amount"), F.col("huge"))
 
 
 def _mean() -> Column:
-    return mean_money(F.col("amount"), F.col("priced"))
+    return mean_money(F.col("amount"), F.col("priced"), F.col("huge"))
 
 
 def _daily(totals: DataFrame) -> DataFrame:
@@ -81,7 +85,7 @@ def _city(totals: DataFrame) -> DataFrame:
 def _monthly(daily_totals: DataFrame) -> DataFrame:
     """Months from days: exact sums add up, and month text is formatted once per month, not per line."""
     months = daily_totals.groupBy(F.trunc("order_date", "MM").alias("month")).agg(
-        F.sum("amount").alias("amount"), F.sum("orders").alias("orders")
+        F.sum("amount").alias("amount"), F.sum("huge").alias("huge"), F.sum("orders").alias("orders")
     )
     return months.select(
         F.date_format("month", "yyyy-MM").alias("year_month"),

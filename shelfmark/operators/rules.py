@@ -11,8 +11,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
-from shelfmark.schemas import PERCENT, PRICE
+from shelfmark.schemas import LARGE_PRICE, PERCENT, PRICE
 
 DROP, NULLIFY, NORMALISE, NOTE = "drop", "nullify", "normalise", "note"
 
@@ -22,9 +23,10 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _inexact(column: str, kind: str) -> str:
-    """SQL that is TRUE where a value changes, or is lost, in the decimal type that amounts use."""
-    return f"{column} IS NOT NULL AND NOT (CAST(try_cast({column} AS {kind}) AS DOUBLE) <=> {column})"
+def _inexact(column: str, *kinds: DecimalType) -> str:
+    """SQL that is TRUE where a value changes, or is lost, in all of the decimal types that amounts use."""
+    same = [f"CAST(try_cast({column} AS {kind.simpleString()}) AS DOUBLE) <=> {column}" for kind in kinds]
+    return f"{column} IS NOT NULL AND NOT ({' OR '.join(same)})"
 
 
 @dataclass(frozen=True)
@@ -87,14 +89,14 @@ SILVER_RULES: tuple[Rule, ...] = (
         "unit_price",
         "unit_price <= 0",
     ),
-    Rule("price_exact", NOTE, "unit_price", _inexact("unit_price", PRICE.simpleString())),
+    Rule("price_exact", NOTE, "unit_price", _inexact("unit_price", PRICE, LARGE_PRICE)),
     Rule(
         "discount_range",
         NULLIFY,
         "discount_pct",
         "discount_pct < 0 OR discount_pct > 100",
     ),
-    Rule("discount_exact", NOTE, "discount_pct", _inexact("discount_pct", PERCENT.simpleString())),
+    Rule("discount_exact", NOTE, "discount_pct", _inexact("discount_pct", PERCENT)),
     Rule("age_range", NULLIFY, "customer_age", "customer_age < 15 OR customer_age > 100"),
     Rule(
         "gender_code",

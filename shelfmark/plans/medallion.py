@@ -19,9 +19,9 @@ from shelfmark.operators.checks import (
 )
 from shelfmark.operators.clean import stamp
 from shelfmark.operators.dedupe import dedupe_counted
-from shelfmark.operators.facts import silver_facts
+from shelfmark.operators.facts import rule_facts, silver_facts
 from shelfmark.operators.marts import best_first, mart_totals, marts_from_totals, order_amounts
-from shelfmark.operators.rules import SILVER_RULES, Rule, accepted, judge, settle, tally
+from shelfmark.operators.rules import SILVER_RULES, Rule, accepted, judge, settle
 from shelfmark.schemas import (
     AUDIT,
     BRONZE,
@@ -124,8 +124,7 @@ def require_files(spark: SparkSession, path: str, expected: StructType, partitio
 
 
 def _publish(spark: SparkSession, home: Home, draft: Draft, folders: Sequence[str], before: Version | None, keep: int) -> list[str]:
-    publish_draft(spark, home, draft, folders, before)
-    return vacuum(spark, home, keep)
+    return vacuum(spark, home, keep, listed=publish_draft(spark, home, draft, folders, before))
 
 
 def _date_folder(date) -> str:
@@ -228,11 +227,9 @@ def refine(
             )
         facts = layout.silver_facts.folder(draft.generation)
         write_mart(silver_facts(judged, rules), facts, single_file=True)
-        report = tally(judged, rules).collect()
         for folder in _publish(spark, home, draft, [draft.folder], before, layout.keep):
             remove(spark, f"{layout.silver_facts.data}/{folder}")
-        # a row per rule
-        return spark.createDataFrame(report, "rule string, kind string, column string, n_rows long")
+        return rule_facts(read_layer(spark, facts, FACTS), rules)
 
 
 def mart_path(folder: str, name: str) -> str:
@@ -240,9 +237,6 @@ def mart_path(folder: str, name: str) -> str:
 
 
 def marts_in(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The marts of a folder, their schemas checked by the footers of all files."""
-    for name in MARTS:
-        require_files(spark, mart_path(folder, name), MARTS[name], None, name)
     return {name: read_layer(spark, mart_path(folder, name), MARTS[name]) for name in MARTS}
 
 
@@ -274,7 +268,7 @@ def ranked_products(spark: SparkSession, folder: str, k: int | None = None) -> D
 
 
 def write_marts(amounts: DataFrame, folder: str) -> dict[str, DataFrame]:
-    """Write the five marts into ``folder`` and return them as read back.
+    """Write the five marts into ``folder``, check the footers of their files, and return them as read back.
 
     Only the totals are kept between the marts, not the lines: they are as small as the marts, and
     the silver layer is scanned once for all five. Lost blocks are recomputed from that scan. Beside
@@ -285,6 +279,7 @@ def write_marts(amounts: DataFrame, folder: str) -> dict[str, DataFrame]:
     try:
         for name, mart in marts_from_totals(totals).items():
             write_mart(mart, mart_path(folder, name), single_file=name in SINGLE_FILE)
+            require_files(spark, mart_path(folder, name), MARTS[name], None, name)
     finally:
         totals.unpersist()
     for name, column in RANKED.items():

@@ -11,6 +11,9 @@ TEXTS = T.ArrayType(T.StringType())
 # What a line amount is computed from: silver itself keeps prices and discounts as they came.
 # A value that does not fit exactly is counted by a rule of its own.
 PRICE = T.DecimalType(22, 8)
+# doubles from 1e14 on have 3 decimals at most; from HUGE_PRICE on amounts are doubles
+LARGE_PRICE = T.DecimalType(21, 3)
+HUGE_PRICE = 1e18
 PERCENT = T.DecimalType(11, 8)
 
 

@@ -14,7 +14,6 @@ from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import UTC, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
@@ -66,12 +65,9 @@ class Draft:
 
 def versions(spark: SparkSession, home: Home) -> list[Version]:
     """All publications that are still listed, the newest first; a row per publication comes to the driver."""
-    try:
-        rows = spark.read.schema(LOG).json(f"{home.log}/*").collect()
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not children(spark, home.log):
         return []
+    rows = spark.read.schema(LOG).json(f"{home.log}/*").collect()
     found = [Version(r.number, r.generation, tuple(r.folders or ()), r.published_at) for r in rows]
     return sorted(found, key=lambda v: (-v.number, v.published_at, v.generation))
 
@@ -101,8 +97,8 @@ def drafting(spark: SparkSession, home: Home) -> Iterator[Draft]:
 
 def publish_draft(
     spark: SparkSession, home: Home, draft: Draft, folders: Sequence[str], before: Version | None
-) -> Version:
-    """Make ``folders`` the layer, if ``before`` is still its newest version.
+) -> list[Version]:
+    """Make ``folders`` the layer, if ``before`` is still its newest version; returns all that are listed.
 
     Writers of a layer are meant to take turns. Two that overlap both list the same number: the one
     that sees another entry beside its own takes it back and fails.
@@ -120,16 +116,18 @@ def publish_draft(
     if any(v.number >= number and v.generation != draft.generation for v in listed):
         remove(spark, entry)
         raise PublishConflict(f"{home.log} has a version {number} of another job")
-    return next(v for v in listed if v.generation == draft.generation)
+    return listed
 
 
-def vacuum(spark: SparkSession, home: Home, keep: int = 2, drafts: bool = False) -> list[str]:
+def vacuum(
+    spark: SparkSession, home: Home, keep: int = 2, drafts: bool = False, listed: list[Version] | None = None
+) -> list[str]:
     """Remove what only versions before the newest ``keep`` name, and return the removed folders.
 
     ``drafts`` also removes folders that no version names, which killed jobs leave; ask for that only
     while no job writes the layer.
     """
-    listed = versions(spark, home)
+    listed = versions(spark, home) if listed is None else listed
     kept, old = listed[: max(1, keep)], listed[max(1, keep) :]
     valid = {folder for version in kept for folder in version.folders}
     in_use = {folder.split("/")[0] for folder in valid}
