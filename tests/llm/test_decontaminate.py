@@ -81,6 +81,81 @@ def test_edited_copies_are_caught_and_others_left(spark):
     assert {(r.doc_id, r.item_id) for r in blocks} == got
 
 
+def _changed(item, draw, vocabulary):
+    """A copy with foreign words put in, also many at once, words left out, replaced and swapped."""
+    out = list(item)
+    for _ in range(draw.randint(0, 4)):
+        at = draw.randrange(len(out))
+        case = draw.randrange(5)
+        if case == 0:
+            out[at:at] = draw.choices(vocabulary, k=draw.choice([1, 2, len(item) // 2, 3 * len(item) // 4]))
+        elif case == 1:
+            del out[at : at + draw.randint(1, 6)]
+            out = out or [item[0]]
+        elif case == 2:
+            out[at] = draw.choice(vocabulary)
+        elif case == 3:
+            half = len(out) // 2
+            out = out[half:] + out[:half]
+        else:
+            other = draw.randrange(len(out))
+            out[at], out[other] = out[other], out[at]
+    return out
+
+
+def test_changed_copies_against_the_whole_document(spark):
+    draw = random.Random(12)
+    vocabulary = [f"w{n}" for n in range(400)]
+    items = [(n, draw.choices(vocabulary, k=draw.randint(8, 60))) for n in range(40)]
+    rows = []
+    for n in range(240):
+        copies = [_changed(draw.choice(items)[1], draw, vocabulary) for _ in range(draw.randint(1, 2))]
+        filler = lambda: draw.choices(vocabulary, k=draw.randint(0, 80))
+        rows.append((n, [w for copy in copies for w in (*filler(), *copy)] + filler()))
+    docs = spark.createDataFrame([(n, " ".join(text), "x") for n, text in rows], DOCS)
+    benchmark = spark.createDataFrame([(n, " ".join(text)) for n, text in items], ITEMS)
+    found = {(r.doc_id, r.item_id): r.score for r in D.contaminated(docs, benchmark).collect()}
+    expected = {}
+    number = {w: k for k, w in enumerate(vocabulary)}
+    as_numbers = lambda text: np.array([number[w] for w in text])
+    for doc_id, text in rows:
+        for item_id, item in items:
+            if len(set(item) & set(text)) >= 0.5 * len(set(item)) or len(item) < 16:
+                score, first, last = D.align(as_numbers(item), as_numbers(text))
+                if score >= D.MIN_SCORE * D.MATCH * len(item):
+                    expected[doc_id, item_id] = (score / (D.MATCH * len(item)), text[first : last + 1], item)
+    assert len(expected) > 200 and set(found) <= set(expected)
+    assert all(found[key] == expected[key][0] for key in found)
+    assert len(found) >= 0.97 * len(expected)
+    grams = lambda words: {tuple(words[k : k + 3]) for k in range(len(words) - 2)}
+    for key in set(expected) - set(found):
+        _, passage, item = expected[key]
+        assert not grams(passage) & grams(item)
+
+
+def test_copy_with_a_long_insertion(spark):
+    item = [f"a{n}" for n in range(40)]
+    text = [*item[:10], "x", *item[11:20], *[f"z{n}" for n in range(30)], *item[20:31], "y", *item[32:]]
+    block = D.Block([(1, " ".join(item))], {}, 100, 1.0, 3)
+    numbers = np.array([block.numbers.get(w, -1) for w in ["b"] * 50 + text + ["b"] * 50])
+    ((_, score, first, last),) = D.matches(block, numbers, 0.5)
+    assert (score, first, last) == (plain_score(item, text) / 80, 50, 50 + len(text) - 1) and score > 0.5
+
+
+def test_words_in_order():
+    draw = random.Random(3)
+    for _ in range(300):
+        item = [draw.randrange(5) for _ in range(draw.randint(1, 20))]
+        passage = [draw.randrange(7) for _ in range(draw.randint(0, 30))]
+        table = [[0] * (len(passage) + 1) for _ in range(len(item) + 1)]
+        for i, a in enumerate(item):
+            for j, b in enumerate(passage):
+                table[i + 1][j + 1] = table[i][j] + 1 if a == b else max(table[i][j + 1], table[i + 1][j])
+        block = D.Block([(1, " ".join(f"v{x}" for x in item))], {}, 1, 1.0, 3)
+        numbers = [block.numbers.get(f"v{x}", -1) for x in passage]
+        assert D._in_order(block.masks(0), len(item), numbers) == table[-1][-1]
+
+
 def test_edges(spark):
     item = "one two three four five six seven eight nine ten"
     rows = [(None, f"a {item} b", "c"), (1, None, "c"), (2, "", "c"), (3, item, "c"), (3, item, "c"), (4, "two", "c")]
