@@ -30,19 +30,27 @@ CLOSED_BY_SAME = {
 }
 SCOPES = frozenset("ul ol dl table div section article main aside nav body".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-NOISE_TAGS = frozenset("nav footer aside form button select fieldset dialog menu".split())
+NOISE_TAGS = frozenset("nav footer aside button select fieldset dialog menu".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
 NOISE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promos promotion"
-    " comment comments commentlist disqus reply replies respond reactions discussion"
     " nav navbar navigation menu menus breadcrumb breadcrumbs sidebar sidebars aside widget widgets toolbar topbar"
     " footer foot colophon copyright legal cookie cookies consent gdpr notice notices banner alert warning popup modal overlay"
     " newsletter subscribe subscription signup login share sharing social related recommended recommendations"
     " trending pagination pager hidden masthead skip search form".split()
 )
+COMMENT_WORDS = frozenset("comment comments commentlist disqus reply replies respond reactions discussion".split())
+# what follows these in a name is something that the page has or lacks, not what the element is
+STATE_WORDS = frozenset("has have no not with without".split())
+# and a name that ends in one of these tells the state of such a thing
+STATE_ENDS = frozenset("open opened closed enabled disabled on off".split())
 HEADER_WORDS = frozenset("header head".split())
 ARTICLE_TAGS = frozenset({"article", "main"})
 
+# an element that is noise by its name alone is the page's frame if what is left beside it is less than
+# this share of its text
+FRAME_SHARE = 0.1
+
 # elements nested deeper than this share the path of the one at this depth; a start tag looks this
 # far up for paragraphs and items that it ends
 MAX_DEPTH = 256
@@ -71,6 +79,8 @@ class Node(NamedTuple):
     tag: str
     path: str
     parent: int
+    # what the element's own tag and names say
+    own: str
     # "", "noise" or "header": this element, or one around it, is not part of an article
     role: str
 
@@ -80,27 +90,102 @@ class Page(NamedTuple):
     blocks: list[Block]
 
 
+# what an element's own tag and names say of it
+_NOISE, _NAMED, _COMMENTS, _HEADER, _NAMED_HEADER = "noise", "named noise", "comments", "header", "named header"
+
+
+def _name_words(names: str) -> set[str]:
+    words: set[str] = set()
+    for name in names.split():
+        parts = [word.lower() for word in _NAME_WORD.findall(name)]
+        state = next((n for n, word in enumerate(parts) if word in STATE_WORDS), len(parts))
+        words.update(parts[:state] if parts and parts[-1] not in STATE_ENDS else ())
+    return words
+
+
 def _names(tag: str, attrs: str) -> tuple[str, str]:
     """An element's generalised name, and its role."""
+    by_tag = _NOISE if tag in NOISE_TAGS else _HEADER if tag == "header" else _NAMED if tag == "form" else ""
     if not attrs.strip():
-        return tag, "noise" if tag in NOISE_TAGS else "header" if tag == "header" else ""
+        return tag, by_tag
     found = {k.lower(): (a or b or c) for k, a, b, c in _ATTR.findall(attrs)}
     classes = unescape(found.get("class", ""))
-    words = {w.lower() for w in _NAME_WORD.findall(f"{classes} {unescape(found.get('id', ''))}")}
+    words = _name_words(f"{classes} {unescape(found.get('id', ''))}")
     name = ".".join([tag, *sorted({_DIGITS.sub("#", c) for c in classes.split()})])
     if not classes and found.get("id"):
         name += "#" + _DIGITS.sub("#", found["id"])
-    unseen = "hidden" in found or "display:none" in found.get("style", "").lower().replace(" ", "")
-    if tag in NOISE_TAGS or unseen or words & NOISE_WORDS or found.get("role", "").lower() in NOISE_ROLES:
+    if tag in ARTICLE_TAGS or tag == "body":
         # a whole article is not noise for one of its names
-        if tag not in ARTICLE_TAGS and tag != "body" or "comment" in words:
-            return name, "noise"
-    return name, "header" if tag == "header" or words & HEADER_WORDS else ""
+        return name, _COMMENTS if "comment" in words else _NAMED_HEADER if words & HEADER_WORDS else ""
+    unseen = "hidden" in found or "display:none" in found.get("style", "").lower().replace(" ", "")
+    role = found.get("role", "").lower()
+    if tag in NOISE_TAGS or unseen or role in NOISE_ROLES - {"form"}:
+        return name, _NOISE
+    if words & COMMENT_WORDS:
+        return name, _COMMENTS
+    if words & NOISE_WORDS or role == "form" or by_tag == _NAMED:
+        return name, _NAMED
+    return name, by_tag or (_NAMED_HEADER if words & HEADER_WORDS else "")
+
+
+def _roles(nodes: list[Node], frames: set[int], believed: frozenset[str]) -> list[str]:
+    """"noise", "header" or "" of every node by itself and what is around it; ``frames`` count as nothing."""
+    roles: list[str] = []
+    for n, node in enumerate(nodes):
+        own = node.own if node.own in believed and n not in frames else ""
+        above = roles[node.parent] if node.parent >= 0 else ""
+        if above == "noise" or own in (_NOISE, _NAMED, _COMMENTS):
+            roles.append("noise")
+        else:
+            roles.append("header" if own else above)
+    return roles
+
+
+_ALL = frozenset((_NOISE, _NAMED, _COMMENTS, _HEADER, _NAMED_HEADER))
+_BY_TAG = frozenset((_NOISE, _HEADER))
+
+
+def _settled(nodes: list[Node], blocks: list[Block]) -> list[Node]:
+    """Nodes with what their names and tags come to.
+
+    Layouts name their outer elements after what they arrange: a frame called ``sidebar-right``, or a
+    form around the whole page, is no sidebar and no form. An element around others that is noise by
+    name alone counts as such a frame if hardly any text is left without it; reader comments are none,
+    however long.
+    """
+    named = [n for n, node in enumerate(nodes) if node.own in (_NAMED, _NAMED_HEADER)]
+    frames: set[int] = set()
+    roles = _roles(nodes, frames, _ALL)
+    if named:
+        weight = [0] * len(nodes)
+        for block in blocks:
+            weight[block.node] += max(0, len(block.text) - block.link_chars)
+        held, kept = [0] * len(nodes), _roles(nodes, frames, _ALL - {_NAMED, _NAMED_HEADER})
+        for n in range(len(nodes) - 1, 0, -1):
+            around = nodes[n].parent
+            held[around] += held[n] + (weight[n] if kept[n] == "" else 0)
+        # a frame holds those inside it, so the largest come first
+        for n in sorted(named, key=lambda n: (-held[n], n)):
+            left = sum(w for w, role in zip(weight, roles, strict=True) if role == "")
+            if left >= FRAME_SHARE * held[n]:
+                break
+            frames.add(n)
+            roles = _roles(nodes, frames, _ALL)
+    return _with_roles(nodes, roles)
+
+
+def _with_roles(nodes: list[Node], roles: list[str]) -> list[Node]:
+    return [node if node.role == role else node._replace(role=role) for node, role in zip(nodes, roles, strict=True)]
+
+
+def _by_tags(page: Page) -> Page:
+    """The page with classes and ids out of account."""
+    return page._replace(nodes=_with_roles(page.nodes, _roles(page.nodes, set(), _BY_TAG)))
 
 
 def parse(html: str) -> Page:
     """Blocks of text with the containers around them; scripts, styles and comments are left out."""
-    nodes = [Node("html", "", -1, "")]
+    nodes = [Node("html", "", -1, "", "")]
     stack: list[tuple[str, int]] = [("html", 0)]
     blocks: list[Block] = []
     pieces: list[str] = []
@@ -183,17 +268,15 @@ def parse(html: str) -> Page:
                 break
         name, role = _names(tag, token["attrs"] or "")
         parent = stack[-1][1]
-        above = nodes[parent]
         nested = tag not in ("html", "body") and len(stack) < MAX_DEPTH
-        path = f"{above.path}>{name}" if nested else above.path
-        inherited = "noise" if "noise" in (above.role, role) else role or above.role
-        nodes.append(Node(tag, path, parent, inherited))
+        above = nodes[parent].path
+        nodes.append(Node(tag, f"{above}>{name}" if nested else above, parent, role, ""))
         stack.append((tag, len(nodes) - 1))
         opened[tag] += 1
     if html[at:]:
         pieces.append(html[at:])
     flush()
-    return Page(nodes, blocks)
+    return Page(_settled(nodes, blocks), blocks)
 
 
 _RAW_ENDS = {tag: re.compile(rf"(?i)</{tag}\b[^>]*>") for tag in RAW | {"noframes"}}
@@ -255,7 +338,14 @@ def best_container(page: Page) -> tuple[int, int]:
 
 
 def article(page: Page, path: str | None) -> str:
-    """Text of all containers at ``path``, or of the page's best one if there is none or it is empty."""
+    """Text of all containers at ``path``, or of the page's best one if there is none or it is empty.
+
+    A page that is all noise by its names is read by its tags alone.
+    """
+    return _article(page, path) or _article(_by_tags(page), path)
+
+
+def _article(page: Page, path: str | None) -> str:
     wanted = {n for n, node in enumerate(page.nodes) if path is not None and node.path == path and node.tag not in ("html", "body")}
     if path == "":
         wanted = {0}
@@ -316,7 +406,9 @@ def extract(pages: DataFrame) -> DataFrame:
     Pages are parsed twice: once to vote, once to take the text at the host's winning path. A page
     without such a container, or with an empty one, gives the text of its own best container.
     Within a container menus, headers but for their headings, footers, sidebars, notices, adverts,
-    forms and reader comments are left out, by tag, role, class and id.
+    forms and reader comments are left out, by tag, role, class and id. Layout names do not make a
+    page's frame noise: ``has-sidebar`` and its like say nothing, and an element that is noise by its
+    name alone, but without which hardly any text is left, is read.
 
     A null or empty page has an empty text. Null addresses form one host, null ids stay null,
     repeated rows are extracted and counted each, other columns are not read, an empty table gives

@@ -155,3 +155,57 @@ def test_attributes_go_by_whole_names(attrs):
 @pytest.mark.parametrize("attrs", ["hidden", "hidden=''", "HIDDEN", 'class=a hidden id="b"', "data-x=1 hidden/", 'title="x"hidden', "class='sidebar'", "ROLE = menu", 'style="Display: none"'])
 def test_hidden_elements_stay_out(attrs):
     assert H.parse(f"<p {attrs}>x</p>").nodes[1].role == "noise"
+
+
+WRAPPERS = [
+    'class="content-area has-sidebar"', 'id="wrapper" class="no-sidebar"', 'class="layout sidebar-right"', 'class="form-page"', 'class="site-with-banner"',
+    'class="page-header-fixed"', 'id="sidebar-left"', 'class="nav-open menu-top"', 'class="search-page cookie-consent-given"', 'class="header-sticky social"',
+    'id="hidden-print"', 'class="comments-closed widget"',
+]
+FRAMES = {
+    "div": "<body><div {attrs}>{a}<div class='text'><h1>The Title</h1>{body}</div>{c}</div>",
+    "two": "<body><div {attrs}><div {attrs}>{a}<div><h1>The Title</h1>{body}</div></div>{c}</div>",
+    "article": "<body><div {attrs}>{a}<article><h1>The Title</h1>{body}{b}</article>{c}</div>",
+    "form": "<body><form id=aspnetForm {attrs}>{a}<div class=text><h1>The Title</h1>{body}{b}</div>{c}</form>",
+    "section": "<body>{a}<section {attrs}><div><h1>The Title</h1>{body}</div>{b}</section>",
+}
+
+
+@pytest.mark.parametrize("frame", FRAMES)
+@pytest.mark.parametrize("attrs", WRAPPERS)
+def test_layout_names_leave_the_text(frame, attrs):
+    hard = [n for k, n in enumerate(NOISE) if k != 4]
+    for n in range(len(hard)):
+        a, b, c = ("".join(hard[(n + k) % len(hard)] for k in range(s, s + 2)) for s in (0, 3, 5))
+        html = FRAMES[frame].replace("{attrs}", attrs).replace("{body}", BODY).replace("{a}", a).replace("{b}", b).replace("{c}", c)
+        page = H.parse(html)
+        node, score = H.best_container(page)
+        assert score > 0 and H.article(page, page.nodes[node].path) == TEXT, (frame, attrs, n)
+
+
+def test_comments_are_no_frame_however_long():
+    comments = NOISE[4].replace(" class=\"comment\"", "") * 30
+    page = H.parse(f"<body><div class=a><h1>The Title</h1>{BODY}</div>{comments}")
+    assert H.article(page, None) == TEXT
+
+
+def test_sidebar_beside_a_short_text_stays_out():
+    page = H.parse('<body><div class=text><h1>The Title</h1><p>A short text, but a text.</p></div><div class="sidebar"><p>' + "On the side. " * 15 + "</p></div>")
+    assert H.article(page, None) == "The Title\n\nA short text, but a text."
+
+
+def test_page_whose_every_element_has_a_noise_word():
+    body = BODY.replace("<p>", '<p class="share-text">')
+    html = f'<body class="nav-page"><div id="sidebar" class="widget"><h1 class="banner-title">The Title</h1>{body}</div>'
+    page = H.parse(html)
+    assert H.article(page, None) == TEXT
+    only = H.parse("<body><div class=sidebar>All there is.</div><nav>No, a menu.</nav>")
+    assert H.article(only, None) == "All there is."
+    assert H.article(H.parse("<nav><p>No, a menu.</p></nav>"), None) == ""
+
+
+def test_wrapped_pages_vote(spark):
+    wrapped = '<body class="form-page"><div class="layout sidebar-right">{n}<div class="text"><h1>The Title</h1>{body}</div></div>'
+    rows = [(n, "http://h/x", wrapped.format(n=NOISE[n], body=BODY), "x") for n in (0, 1, 5, 7, 8)]
+    found = H.extract(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert [r.text for r in found] == [TEXT] * 5
