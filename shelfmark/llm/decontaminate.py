@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -177,15 +179,16 @@ def _corpus_counts(docs: DataFrame, block: list[tuple[int, str]]) -> tuple[dict[
     wanted = {word for _, text in block for word in words(text)}
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, int] = {}
+        found: Counter = Counter()
         total = 0
         for batch in batches:
+            met: Counter = Counter()
             for text in batch.column(0):
                 own = words(text.as_py())
                 total += len(own)
-                for word in own:
-                    if word in wanted:
-                        found[word] = found.get(word, 0) + 1
+                met.update(own)
+            for word in met.keys() & wanted:
+                found[word] += met[word]
         names, numbers = list(found) + [""], list(found.values()) + [total]
         yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(numbers, pa.int64())], ["word", "n"])
 
@@ -250,7 +253,7 @@ def contaminated(
                 ids, hashes, texts = batch.columns
                 for i, text in enumerate(texts):
                     own = words(text.as_py())
-                    numbers = np.fromiter((get(w, -1) for w in own), np.int64, len(own))
+                    numbers = np.fromiter(map(get, own, repeat(-1)), np.int64, len(own))
                     for item, *rest in matches(block, numbers, min_score):
                         out.append((ids[i].as_py(), hashes[i].as_py(), block.names[item], *rest))
                 columns = list(zip(*out, strict=True)) or [()] * 6
