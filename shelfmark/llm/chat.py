@@ -60,46 +60,54 @@ def _nodes(replies: DataFrame, conv: str, node: str, parent: str, role: str, tex
     return rows.groupBy("conv", "node").agg(one.alias("x")).select("conv", "node", "x.parent", "x.role", "x.text", "x.score", "x.conv_id")
 
 
-def _paths(nodes: DataFrame) -> DataFrame:
-    """``(conv, leaf, node, up)``: every node on every root-to-leaf path, ``up`` steps above the leaf.
+def _reach(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Jump tables of doubling reach, and ``(conv, node, turns, total)``: every node's way from its root.
 
-    Round k joins what is known, up to 2^k steps above each leaf, with the table of ancestors exactly
-    2^k steps up, and that table with itself. A path of n turns takes log2(n) rounds. Each round's
-    tables lie in the shared folder. Chains of parents that never end (loops) are left out.
+    In round k a node knows the one 2^k steps above it, and the turns and scores of the steps between;
+    a self-join doubles that. So the tables have a row per message, and n turns take log2(n) rounds.
+    Chains of parents that never end (loops) are left out. Each round lies in the shared folder.
     """
     spark = nodes.sparkSession
-    links = nodes.select("conv", "node", "parent").filter(F.col("parent").isNotNull())
-    known = nodes.select("conv", F.col("node").alias("parent"))
+    known = nodes.select("conv", F.col("node").alias("parent"), F.lit(True).alias("there"))
     # a parent that is not in the table makes its reply a root
-    jumps = stage(
-        links.join(known, ["conv", "parent"]).select("conv", "node", F.col("parent").alias("above")),
-        fresh_path(spark, "jumps"),
-    )
-    leaves = nodes.select("conv", "node").join(
-        jumps.select("conv", F.col("above").alias("node")), ["conv", "node"], "left_anti"
-    )
-    parts = [fresh_path(spark, "paths")]
-    found = stage(leaves.select("conv", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up")), parts[0])
+    above = F.when(F.col("there"), F.col("parent")).alias("above")
+    first = nodes.join(known, ["conv", "parent"], "left")
+    own = first.select("conv", "node", above, F.lit(1).cast("long").alias("turns"), F.col("score").alias("total"))
+    rounds = [stage(own, fresh_path(spark, "reach"))]
     largest = nodes.groupBy("conv").count().agg(F.max("count")).first()[0] or 0
     step = 1
-    while step < largest and not jumps.isEmpty():
-        parts.append(fresh_path(spark, "paths"))
-        stage(
-            found.join(jumps, ["conv", "node"]).select(
-                "conv", "leaf", F.col("above").alias("node"), (F.col("up") + step).alias("up")
-            ),
-            parts[-1],
+    while step < largest and not rounds[-1].filter("above IS NOT NULL").isEmpty():
+        last = rounds[-1]
+        over = last.select(
+            "conv", F.col("node").alias("above"), F.col("above").alias("top"), F.col("turns").alias("more"), F.col("total").alias("rest")
         )
-        found = spark.read.schema(found.schema).parquet(*parts)
-        over = jumps.select("conv", F.col("node").alias("above"), F.col("above").alias("top"))
-        jumps = stage(
-            jumps.join(over, ["conv", "above"]).select("conv", "node", F.col("top").alias("above")),
-            fresh_path(spark, "jumps"),
+        longer = last.join(over, ["conv", "above"], "left").select(
+            "conv",
+            "node",
+            F.col("top").alias("above"),
+            (F.col("turns") + F.coalesce("more", F.lit(0))).alias("turns"),
+            (F.col("total") + F.coalesce("rest", F.lit(0.0))).alias("total"),
         )
+        rounds.append(stage(longer, fresh_path(spark, "reach")))
         step *= 2
-    if not jumps.isEmpty():
-        endless = jumps.select("conv", F.col("node").alias("leaf"))
-        found = found.join(endless, ["conv", "leaf"], "left_anti")
+    ended = rounds[-1].filter("above IS NULL").select("conv", "node", "turns", "total")
+    return [r.filter("above IS NOT NULL").select("conv", "node", "above") for r in rounds], ended
+
+
+def _listed(chosen: DataFrame, jumps: list[DataFrame]) -> DataFrame:
+    """``(conv, leaf, node, up)``: every node on the paths of the chosen leaves, ``up`` steps above the leaf.
+
+    Round k joins what is known, up to 2^k steps above each leaf, with the nodes 2^k steps further up,
+    so the rows are those of the chosen paths.
+    """
+    spark = chosen.sparkSession
+    parts = [fresh_path(spark, "paths")]
+    found = stage(chosen.select("conv", "leaf", F.col("leaf").alias("node"), F.lit(0).cast("long").alias("up")), parts[0])
+    for k, jump in enumerate(jumps):
+        parts.append(fresh_path(spark, "paths"))
+        further = found.join(jump, ["conv", "node"])
+        stage(further.select("conv", "leaf", F.col("above").alias("node"), (F.col("up") + (1 << k)).alias("up")), parts[-1])
+        found = spark.read.schema(found.schema).parquet(*parts)
     return found
 
 
@@ -113,11 +121,13 @@ def format_reply_trees(
     score: str | None = None,
     best: int | None = 1,
 ) -> DataFrame:
-    """One row per chosen root-to-leaf path: ``conv_id, branch, path_score, n_turns, formatted, pieces``.
+    """One row per chosen root-to-leaf path: ``conv_id, branch, path_score, n_turns, formatted, pieces, loss_mask``.
 
     Branches of a tree are ranked by the mean score of their turns, ties by the leaf; ``best`` keeps
-    that many of them; None keeps all, unranked. ``pieces`` are the parts of ``formatted`` in order; those with ``trained``
-    are the assistant texts, which the loss covers.
+    that many of them; None keeps all, unranked. Leaves are ranked before any path is listed, so only
+    chosen paths have a row per turn. ``pieces`` are the parts of ``formatted`` in order; those with
+    ``trained`` are the assistant texts, which the loss covers. ``loss_mask`` are the same as ranges
+    of bytes of ``formatted`` in UTF-8.
 
     Null roles and texts are empty, null scores zero. Rows without a conversation id form one
     conversation of their own. A row without a node id is a reply that nobody answered, a row without
@@ -127,40 +137,45 @@ def format_reply_trees(
     """
     spark = replies.sparkSession
     nodes = stage(_nodes(replies, conv, node, parent, role, text, score), fresh_path(spark, "nodes"))
-    paths = _paths(nodes)
-    if best is not None:
-        scored = paths.join(nodes.select("conv", "node", "score"), ["conv", "node"])
-        means = scored.groupBy("conv", "leaf").agg(F.avg("score").alias("mean"))
-        first = Window.partitionBy("conv").orderBy(F.desc("mean"), "leaf")
-        ranks = means.withColumn("branch", F.row_number().over(first)).filter(F.col("branch") <= best)
-        paths = paths.join(ranks.select("conv", "leaf", "branch"), ["conv", "leaf"])
+    jumps, ended = _reach(nodes)
+    answered = jumps[0].select("conv", F.col("above").alias("node"))
+    leaves = ended.join(answered, ["conv", "node"], "left_anti")
+    leaves = leaves.select("conv", F.col("node").alias("leaf"), (F.col("total") / F.col("turns")).alias("path_score"))
+    if best is None:
+        chosen = leaves.withColumn("branch", F.lit(None).cast("int"))
     else:
-        paths = paths.withColumn("branch", F.lit(None).cast("int"))
-    collected = paths.join(nodes, ["conv", "node"]).groupBy("conv", "leaf").agg(
+        first = Window.partitionBy("conv").orderBy(F.desc("path_score"), "leaf")
+        chosen = leaves.withColumn("branch", F.row_number().over(first)).filter(F.col("branch") <= best)
+    chosen = stage(chosen, fresh_path(spark, "chosen"))
+    turn = _listed(chosen, jumps).join(nodes, ["conv", "node"]).select(
+        "conv", "leaf", "conv_id", (-F.col("up")).alias("at"),
+        F.concat(F.lit(TURN), _escape_role(F.col("role")), F.lit("\n")).alias("head"),
+        escape(F.col("text")).alias("said"),
+        (F.col("role") == TRAINED_ROLE).alias("trained"),
+    )
+    size = F.octet_length("head") + F.octet_length("said") + len(END)
+    before = Window.partitionBy("conv", "leaf").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    placed = turn.withColumn("start", F.coalesce(F.sum(size).over(before), F.lit(0)) + F.octet_length("head"))
+    collected = placed.groupBy("conv", "leaf").agg(
         F.first("conv_id").alias("conv_id"),
-        F.first("branch").alias("branch"),
-        F.avg("score").alias("path_score"),
-        F.array_sort(F.collect_list(F.struct((-F.col("up")).alias("at"), "role", "text"))).alias("turns"),
+        F.array_sort(F.collect_list(F.struct("at", "head", "said", "trained", "start"))).alias("turns"),
     )
 
-    def pieces(turn: Column) -> Column:
-        head = F.concat(F.lit(TURN), _escape_role(turn["role"]), F.lit("\n"))
-        trained = turn["role"] == TRAINED_ROLE
-        return F.array(
-            _piece(head, F.lit(False)), _piece(escape(turn["text"]), trained), _piece(F.lit(END), F.lit(False))
-        )
+    def pieces(t: Column) -> Column:
+        marks = [F.struct(part.alias("text"), F.lit(False).alias("trained")) for part in (t["head"], F.lit(END))]
+        return F.array(marks[0], F.struct(t["said"].alias("text"), t["trained"].alias("trained")), marks[1])
 
-    return collected.select(
+    trained = F.filter("turns", lambda t: t["trained"])
+    span = lambda t: F.struct(t["start"].alias("start"), F.octet_length(t["said"]).cast("long").alias("n_bytes"))
+    return collected.join(chosen, ["conv", "leaf"]).select(
         "conv_id",
         "branch",
         "path_score",
         F.size("turns").cast("long").alias("n_turns"),
+        F.array_join(F.transform("turns", lambda t: F.concat(t["head"], t["said"], F.lit(END))), "").alias("formatted"),
         F.flatten(F.transform("turns", pieces)).alias("pieces"),
-    ).withColumn("formatted", F.array_join(F.col("pieces.text"), ""))
-
-
-def _piece(text: Column, trained: Column) -> Column:
-    return F.struct(text.alias("text"), trained.alias("trained"))
+        F.transform(trained, span).alias("loss_mask"),
+    )
 
 
 def parse(formatted: Column) -> Column:
@@ -197,9 +212,11 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(said).alias("text"),
     )
     formatted = format_reply_trees(thread(given.unionByName(extra)))
+    formatted = formatted.drop("pieces").withColumn("utf8", F.encode("formatted", "UTF-8"))
     formatted = stage(formatted, fresh_path(spark, "formatted"))
     turns = F.transform(parse(F.col("formatted")), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    trained = F.transform(F.filter("pieces", lambda p: p["trained"]), lambda p: unescape(p["text"]))
+    covered = lambda m: F.substring("utf8", (m["start"] + 1).cast("int"), m["n_bytes"].cast("int"))
+    trained = F.transform("loss_mask", lambda m: unescape(F.decode(covered(m), "UTF-8")))
     return formatted.select(
         "conv_id",
         F.size(parse(F.col("formatted"))).cast("long").alias("n_turns"),

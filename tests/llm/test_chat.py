@@ -102,3 +102,35 @@ def test_edges(spark):
     assert C.format_reply_trees(frame.limit(0)).count() == 0
     talk = spark.createDataFrame([(1, n, "user", "x") for n in range(300)], "conv_id long, turn int, role string, text string")
     assert C.format_reply_trees(C.thread(talk)).first().n_turns == 300
+
+
+def test_mask_fits_the_formatted_text(spark):
+    texts = ["é<|x|>", "", "日本語\n", "plain", "</s>ü"]
+    rows = [(1, n, n - 1, "assistant" if n % 2 else "usér", texts[n % 5], 0.0) for n in range(1, 12)]
+    row = C.format_reply_trees(spark.createDataFrame(rows, SCHEMA)).first()
+    data = row.formatted.encode()
+    held = [data[m.start : m.start + m.n_bytes].decode() for m in row.loss_mask]
+    assert held == [p.text for p in row.pieces if p.trained] and len(held) == 6
+    assert "".join(p.text for p in row.pieces) == row.formatted
+
+
+def test_paths_are_listed_once_ranked(spark, monkeypatch):
+    """A caterpillar: a chain of 200 messages with a reply to each, so the paths' lengths add up to 20,000."""
+    n = 200
+    rows = [(1, k, k - 1 or None, "user", f"m{k}", 1.0) for k in range(1, n + 1)]
+    rows += [(1, 1000 + k, k, "assistant", f"r{k}", 2.0 if k == 150 else 0.0) for k in range(1, n + 1)]
+    sizes = []
+    monkeypatch.setattr(C, "stage", lambda df, path, f=C.stage: (out := f(df, path), sizes.append(out.count()))[0])
+    found = C.format_reply_trees(spark.createDataFrame(rows, SCHEMA), score="likes", best=1).collect()
+    (row,) = found
+    assert row.n_turns == 151 and row.formatted.endswith("r150<|end|>\n") and abs(row.path_score - 152 / 151) < 1e-12
+    assert max(sizes) <= 2 * n
+    assert sum(sizes) <= 2 * n * 10 + 2 * 151
+
+
+def test_scores_do_not_depend_on_partitioning(spark):
+    draw = random.Random(8)
+    rows = [(k % 3, k, k - 3 if k > 3 else None, "user", "x", draw.random()) for k in range(1, 200)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    ours, theirs = (sorted(r.path_score for r in C.format_reply_trees(f, score="likes").collect()) for f in (frame, frame.repartition(7)))
+    assert ours == theirs
