@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +33,8 @@ MENU_LINE = 12
 SPACE = r"\x09-\x0D\x20"
 SYMBOLS = "#*$%&|<>"
 MARKS = r"[!#$%&*<>@^_`|~{}=+\\]"
-SENTENCE = r"[.!?:;…。！？]"
+# marks that end a clause, besides what Unicode lists as ends of sentences in any script
+CLAUSE = ":;…：；؛"
 SEPARATORS = r"\||»|›|•|·|>|/|-|–|—"
 MENU_WORDS = "home|about|contact|login|logout|register|search|menu|sitemap|help|faq|next|previous|back|more|share"
 BOILERPLATE = (
@@ -47,6 +49,15 @@ _HINTS = (
     b"read more", b"follow", b"powered", b"skip", b"lorem",
 )
 
+
+
+def _sentence_ends() -> str:
+    """A class of the characters with Unicode's property for the end of a sentence, and clause marks."""
+    everything = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    return f"[{CLAUSE}{''.join(regex.findall(r'\p{Sentence_Terminal}', everything))}]"
+
+
+SENTENCE = _sentence_ends()
 _MARK, _SENTENCE = re.compile(MARKS), re.compile(SENTENCE)
 _SEPARATOR = re.compile(rf"(?<![^{SPACE}])(?:{SEPARATORS})(?![^{SPACE}])")
 _MENU = re.compile(rf"(?i)(?:{MENU_WORDS})[.,:]?")

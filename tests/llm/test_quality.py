@@ -79,3 +79,22 @@ def test_labelled_documents():
     bad = [v for v, quality in verdicts if quality == 0]
     assert sum(v.kept for v in clean) >= 0.99 * len(clean)
     assert sum(not v.kept for v in bad) >= 0.95 * len(bad)
+
+
+SENTENCES = {
+    "hindi": ("यह एक लंबा वाक्य है जिसमें दस से अधिक शब्द हैं और अंत में विराम है", "।"),
+    "urdu": ("یہ ایک لمبا جملہ ہے جس میں دس سے زیادہ الفاظ ہیں اور آخر میں نشان ہے", "۔"),
+    "amharic": ("ይህ ከአስር በላይ ቃላት ያለው ረጅም አረፍተ ነገር ነው እና መጨረሻው ላይ ምልክት አለው ብዙ", "።"),
+    "armenian": ("Սա երկար նախադասություն է որը ունի տասը բառից ավելի և վերջում կա նշան այստեղ", "։"),
+    "burmese": ("ဒါ က စာ ကြောင်း ရှည် တစ် ခု ဖြစ် ပြီး စာ လုံး များ ပါ", "။"),
+}
+
+
+@pytest.mark.parametrize("script", SENTENCES)
+def test_sentences_end_in_every_script(script):
+    words, end = SENTENCES[script]
+    n = len(words.split())
+    assert Q.line_fails(f"{words}{end}", n) is None
+    assert Q.line_fails(words, n) == "punctuation"
+    numbered = "\n".join(f"{' '.join(f'{w}{k}' for w in words.split())}{end}" for k in range(12))
+    assert Q.judge(numbered).kept and not Q.judge(numbered.replace(end, "")).kept
