@@ -7,6 +7,7 @@ import gzip
 import hashlib
 import io
 import uuid
+import zlib
 from collections.abc import Iterator
 from typing import BinaryIO
 from urllib.parse import quote
@@ -165,21 +166,48 @@ def write_warc(
     records.write.options(**options).text(path)
 
 
+def scan_records(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes, str | None]]:
+    """Header fields, names in lower case, block and fault of every record in a WARC stream.
+
+    Where no record begins, or a header states no length, reading goes on at the next line that begins
+    one. A record that ends early keeps what is there; damaged compression ends the stream.
+    """
+    line, place = b"", "no WARC record"
+    try:
+        while line or (line := stream.readline()):
+            if not line.strip():
+                line = b""
+                continue
+            if not line.startswith(b"WARC/"):
+                yield {}, b"", f"{place}: {line[:40]!r}"
+                line = _next_record(stream)
+                continue
+            fields: dict[str, str] = {}
+            while (line := stream.readline()).strip():
+                name, _, value = line.decode(errors="replace").partition(":")
+                fields[name.strip().lower()] = value.strip()
+            stated, line = fields.get("content-length", ""), b""
+            if not (stated.isascii() and stated.isdigit()):
+                yield fields, b"", "no content length"
+                line = _next_record(stream)
+                continue
+            block = stream.read(int(stated))
+            yield fields, block, None if len(block) == int(stated) else "record shorter than stated"
+    except (EOFError, OSError, zlib.error) as error:
+        yield {}, b"", f"damaged compression: {error}"
+
+
+def _next_record(stream: BinaryIO) -> bytes:
+    while (line := stream.readline()) and not line.startswith(b"WARC/"):
+        pass
+    return line
+
+
 def read_records(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields, names in lower case, and block of every record in a WARC stream."""
-    while line := stream.readline():
-        if not line.strip():
-            continue
-        if not line.startswith(b"WARC/"):
-            raise ValueError(f"no WARC record: {line[:40]!r}")
-        fields: dict[str, str] = {}
-        while (line := stream.readline()).strip():
-            name, _, value = line.decode().partition(":")
-            fields[name.strip().lower()] = value.strip()
-        size = int(fields["content-length"])
-        block = stream.read(size)
-        if len(block) != size:
-            raise ValueError("record shorter than stated")
+    """Records of a sound WARC stream; the first fault raises."""
+    for fields, block, fault in scan_records(stream):
+        if fault:
+            raise ValueError(fault)
         yield fields, block
 
 
@@ -190,7 +218,7 @@ def _stream(content: bytes) -> BinaryIO:
 
 _PARSED = (
     "record_id string, kind string, url string, page_id long, refers_to_record string,"
-    " digest string, segment int, origin string, total long, block binary"
+    " digest string, segment int, origin string, total long, fault string, block binary"
 )
 
 
@@ -198,11 +226,8 @@ def _parsed(spark: SparkSession, path: str) -> DataFrame:
     """Every record of the files below ``path``, continuations by themselves."""
     names = [part.split()[0] for part in _PARSED.split(", ")]
 
-    def number(value: str | None) -> int | None:
-        return None if value is None else int(value)
-
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.binary()]
+        kinds = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.string(), pa.int64(), pa.string(), pa.binary()]
 
         def out(rows: list[tuple]) -> pa.RecordBatch:
             columns = list(zip(*rows, strict=True)) or [()] * len(names)
@@ -211,13 +236,14 @@ def _parsed(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch.column(0):
                 rows, size = [], 0
-                for fields, block in read_records(_stream(content.as_py())):
+                for fields, block, fault in scan_records(_stream(content.as_py())):
                     get = fields.get
-                    digest = get("warc-payload-digest")
+                    page, segment, total = (_number(get(name)) for name in (_PAGE_FIELD.lower(), "warc-segment-number", "warc-segment-total-length"))
+                    if -1 in (segment, total):
+                        fault = fault or "no segment number or length"
                     rows.append((
-                        get("warc-record-id"), get("warc-type"), get("warc-target-uri"), number(get(_PAGE_FIELD.lower())),
-                        get("warc-refers-to"), digest and digest.rpartition(":")[2], number(get("warc-segment-number")),
-                        get("warc-segment-origin-id"), number(get("warc-segment-total-length")), block,
+                        get("warc-record-id"), get("warc-type"), get("warc-target-uri"), None if page == -1 else page,
+                        get("warc-refers-to"), get("warc-payload-digest"), segment, get("warc-segment-origin-id"), total, fault, block,
                     ))
                     size += len(block)
                     if size >= BATCH_BYTES:
@@ -229,12 +255,48 @@ def _parsed(spark: SparkSession, path: str) -> DataFrame:
     return files.load(path).select("content").mapInArrow(parsed, _PARSED)
 
 
+def _number(value: str | None) -> int | None:
+    """A count in a header; -1 where it is none that 31 bits hold or, for lengths and ids, 63."""
+    if value is None:
+        return None
+    return int(value) if value.isascii() and value.isdigit() and len(value) < 10 else _long(value)
+
+
+def _long(value: str) -> int:
+    whole = value.removeprefix("-")
+    fits = whole.isascii() and whole.isdigit() and len(whole) < 20 and abs(int(value)) < 1 << 63
+    return int(value) if fits else -1
+
+
 def decoded(block: bytes) -> tuple[bytes | None, int | None]:
-    """Payload of an HTTP response block, chunked or not, and the length its header states."""
+    """Payload of an HTTP response block, its transfer codings taken off, and the length its header states."""
     head, _, body = block.partition(b"\r\n\r\n")
     fields = {k.strip().lower(): v.strip() for k, _, v in (line.partition(b":") for line in head.split(CRLF)[1:])}
-    stated = int(fields[b"content-length"]) if b"content-length" in fields else None
-    return dechunked(body) if fields.get(b"transfer-encoding", b"").lower() == b"chunked" else body, stated
+    stated = fields.get(b"content-length", b"")
+    codings = [c.strip().lower() for c in fields.get(b"transfer-encoding", b"").split(b",") if c.strip()]
+    for coding in reversed(codings):
+        if coding not in _CODINGS:
+            raise ValueError(f"unknown transfer coding {coding.decode(errors='replace')}")
+        try:
+            body = _CODINGS[coding](body)
+        except (EOFError, OSError, zlib.error) as error:
+            raise ValueError(f"damaged transfer coding: {error}") from error
+    return body, int(stated) if stated.isdigit() else None
+
+
+_CODINGS = {
+    b"chunked": dechunked, b"identity": bytes, b"gzip": gzip.decompress, b"x-gzip": gzip.decompress, b"deflate": zlib.decompress,
+}
+
+
+def digest_fits(stated: str | None, payload: bytes) -> bool:
+    """Whether a payload has the digest that is stated, in base32 or hexadecimal; an unknown algorithm tells nothing."""
+    algorithm, _, value = (stated or "").rpartition(":")
+    name = algorithm.lower().replace("-", "") or "sha1"
+    if not value or name not in ("md5", "sha1", "sha256", "sha512"):
+        return True
+    found = hashlib.new(name, payload)
+    return value.upper().rstrip("=") == base64.b32encode(found.digest()).decode().rstrip("=") or value.lower() == found.hexdigest()
 
 
 def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
@@ -244,14 +306,15 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
     the total length; one row per response and revisit. Chunked framing is taken off, length and
     digest are verified against the header; what does not fit is told in ``fault``, and the row
     stays. Records in one piece are not shuffled. Continuations without their first record are
-    told as faults too; equal copies of a segment count once.
+    told as faults too; equal copies of a segment count once. A damaged archive gives a row with its
+    ``fault`` for each place that cannot be read, a cut record, junk or a header without a length,
+    and the records before and after it. A file is one task's, and must be below 2 GiB.
     """
     records = _parsed(spark, path)
-    whole = records.filter("segment IS NULL AND kind IN ('response', 'revisit')").select(
-        "record_id", "kind", "url", "page_id", "refers_to_record", "digest",
-        F.array("block").alias("blocks"), F.lit(None).cast("string").alias("fault"),
+    whole = records.filter("fault IS NOT NULL OR segment IS NULL AND kind IN ('response', 'revisit')").select(
+        "record_id", "kind", "url", "page_id", "refers_to_record", "digest", F.array("block").alias("blocks"), "fault",
     )
-    parts = records.filter("segment IS NOT NULL").withColumn("key", F.coalesce("origin", "record_id"))
+    parts = records.filter("fault IS NULL AND segment IS NOT NULL").withColumn("key", F.coalesce("origin", "record_id"))
     grouped = parts.groupBy("key").agg(
         F.array_sort(F.collect_set(F.struct("segment", "block"))).alias("parts"),
         *[F.max(c).alias(c) for c in ("url", "page_id", "digest", "total")],
@@ -282,14 +345,15 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
                         size = len(body)
                         if kinds[i].as_py() == "revisit":
                             body, size = None, stated
-                        elif digests[i].as_py() not in (None, sha1_base32(body)):
+                        elif not digest_fits(digests[i].as_py(), body):
                             fault = "digest differs"
                     except ValueError as error:
                         fault = str(error)
                 sizes.append(size)
                 faults.append(fault)
                 bodies.append(body)
-            columns = [batch.column(c) for c in ("record_id", "kind", "url", "page_id", "refers_to_record", "digest")]
+            columns = [batch.column(c) for c in ("record_id", "kind", "url", "page_id", "refers_to_record")]
+            columns.append(pa.array([d and d.rpartition(":")[2] for d in digests.to_pylist()], pa.string()))
             columns += [pa.array(sizes, pa.int64()), pa.array(faults, pa.string())]
             names = ["record_id", "kind", "url", "page_id", "refers_to_record", "digest", "payload_bytes", "fault"]
             if payloads:

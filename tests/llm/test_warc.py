@@ -87,3 +87,61 @@ def test_files_are_plain_warc(spark):
     records = list(W.read_records(io.BytesIO(text)))
     assert [f["warc-type"] for f, _ in records] == ["response", "continuation"]
     assert sum(len(b) for _, b in records) == int(records[-1][0]["warc-segment-total-length"])
+
+
+def _plain(folder, data):
+    folder.mkdir()
+    (folder / "a.warc").write_bytes(data)
+    return str(folder)
+
+
+def test_damaged_archives_tell_and_go_on(spark, tmp_path):
+    good = [W.page_records(n, "u", b"abc%d" % n, None)[0] + b"\r\n\r\n" for n in (1, 2)]
+    other = W.page_records(3, "u", b"x" * 50, None)[0]
+    cases = {
+        "no WARC record": good[0] + b"junk\r\nmore junk\r\n" + good[1],
+        "no content length": good[0] + other.replace(b"Content-Length: ", b"Content-Width: ") + b"\r\n\r\n" + good[1],
+        "record shorter than stated": good[0] + good[1] + other[:-20],
+        "no segment number or length": good[0] + other.replace(b"WARC-Date", b"WARC-Segment-Number: x\r\nWARC-Date") + b"\r\n\r\n" + good[1],
+        "unknown transfer coding": good[0] + other.replace(b"Encoding: chunked", b"Encoding: cheered") + b"\r\n\r\n" + good[1],
+    }
+    for n, (fault, data) in enumerate(cases.items()):
+        rows = W.read_warc(spark, _plain(tmp_path / str(n), data)).collect()
+        assert sorted(r.page_id for r in rows if r.fault is None) == [1, 2], fault
+        assert [r.fault.startswith(fault) for r in rows if r.fault] == [True], fault
+    packed = gzip.compress(b"".join(good))
+    folder = tmp_path / "cut"
+    folder.mkdir()
+    (folder / "a.warc.gz").write_bytes(packed[:-30])
+    (folder / "b.warc.gz").write_bytes(packed)
+    faults = [r.fault for r in W.read_warc(spark, str(folder)).collect() if r.fault]
+    assert faults and all("damaged compression" in f or "shorter" in f for f in faults)
+    assert W.read_warc(spark, _plain(tmp_path / "none", b"")).count() == 0
+    with pytest.raises(ValueError, match="no WARC record"):
+        list(W.read_records(io.BytesIO(b"junk")))
+
+
+def test_transfer_codings_and_digests(spark, tmp_path):
+    import hashlib
+    import zlib
+
+    payload = b"some text " * 30
+    for codings, body in {
+        b"gzip, chunked": W.chunked(gzip.compress(payload), 50),
+        b"Chunked": W.chunked(payload),
+        b"deflate,chunked": W.chunked(zlib.compress(payload)),
+        b"identity": payload,
+    }.items():
+        assert W.decoded(b"HTTP/1.1 200 OK\r\nTransfer-Encoding: " + codings + b"\r\n\r\n" + body) == (payload, None)
+    with pytest.raises(ValueError, match="damaged"):
+        W.decoded(b"HTTP/1.1 200 OK\r\nTransfer-Encoding: gzip\r\n\r\nxx")
+    sha256 = hashlib.sha256(payload)
+    for stated, fits in {
+        f"sha256:{sha256.hexdigest()}": True, f"sha256:{'0' * 64}": False, f"sha1:{W.sha1_base32(payload)}": True, "sha1:AAAA": False,
+        f"md5:{hashlib.md5(payload).hexdigest().upper()}": True, "blake3:xyz": True, None: True, W.sha1_base32(payload): True,
+    }.items():
+        assert W.digest_fits(stated, payload) == fits, stated
+    record = W.page_records(1, "u", payload, None)[0]
+    stated = W.sha1_base32(payload).encode()
+    (row,) = W.read_warc(spark, _plain(tmp_path / "a", record.replace(b"sha1:" + stated, b"sha256:" + sha256.hexdigest().encode()))).collect()
+    assert row.fault is None and row.digest == sha256.hexdigest()
