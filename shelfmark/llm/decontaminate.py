@@ -182,13 +182,10 @@ def _corpus_counts(docs: DataFrame, block: list[tuple[int, str]]) -> tuple[dict[
         found: Counter = Counter()
         total = 0
         for batch in batches:
-            met: Counter = Counter()
             for text in batch.column(0):
                 own = words(text.as_py())
                 total += len(own)
-                met.update(own)
-            for word in met.keys() & wanted:
-                found[word] += met[word]
+                found.update(filter(wanted.__contains__, own))
         names, numbers = list(found) + [""], list(found.values()) + [total]
         yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(numbers, pa.int64())], ["word", "n"])
 
