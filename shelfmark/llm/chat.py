@@ -64,8 +64,9 @@ def _reach(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     """Jump tables of doubling reach, and ``(conv, node, turns, total)``: every node's way from its root.
 
     In round k a node knows the one 2^k steps above it, and the turns and scores of the steps between;
-    a self-join doubles that. So the tables have a row per message, and n turns take log2(n) rounds.
-    Chains of parents that never end (loops) are left out. Each round lies in the shared folder.
+    a self-join doubles that for those who have not come to their root. So no table has more than a
+    row per message, and n turns take log2(n) rounds. Chains of parents that never end (loops) are
+    left out. Each round lies in the shared folder.
     """
     spark = nodes.sparkSession
     known = nodes.select("conv", F.col("node").alias("parent"), F.lit(True).alias("there"))
@@ -73,25 +74,30 @@ def _reach(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     above = F.when(F.col("there"), F.col("parent")).alias("above")
     first = nodes.join(known, ["conv", "parent"], "left")
     own = first.select("conv", "node", above, F.lit(1).cast("long").alias("turns"), F.col("score").alias("total"))
-    rounds = [stage(own, fresh_path(spark, "reach"))]
+    paths = [fresh_path(spark, "reach")]
+    rounds = [stage(own, paths[0])]
     largest = nodes.groupBy("conv").count().agg(F.max("count")).first()[0] or 0
     step = 1
-    while step < largest and not rounds[-1].filter("above IS NOT NULL").isEmpty():
-        last = rounds[-1]
-        over = last.select(
+
+    def ended() -> DataFrame:
+        return spark.read.schema(rounds[0].schema).parquet(*paths).filter("above IS NULL")
+
+    while step < largest and not (last := rounds[-1].filter("above IS NOT NULL")).isEmpty():
+        over = last.unionByName(ended()).select(
             "conv", F.col("node").alias("above"), F.col("above").alias("top"), F.col("turns").alias("more"), F.col("total").alias("rest")
         )
-        longer = last.join(over, ["conv", "above"], "left").select(
+        longer = last.join(over, ["conv", "above"]).select(
             "conv",
             "node",
             F.col("top").alias("above"),
-            (F.col("turns") + F.coalesce("more", F.lit(0))).alias("turns"),
-            (F.col("total") + F.coalesce("rest", F.lit(0.0))).alias("total"),
+            (F.col("turns") + F.col("more")).alias("turns"),
+            (F.col("total") + F.col("rest")).alias("total"),
         )
-        rounds.append(stage(longer, fresh_path(spark, "reach")))
+        paths.append(fresh_path(spark, "reach"))
+        rounds.append(stage(longer, paths[-1]))
         step *= 2
-    ended = rounds[-1].filter("above IS NULL").select("conv", "node", "turns", "total")
-    return [r.filter("above IS NOT NULL").select("conv", "node", "above") for r in rounds], ended
+    jumps = [r.filter("above IS NOT NULL").select("conv", "node", "above") for r in rounds]
+    return jumps, ended().select("conv", "node", "turns", "total")
 
 
 def _listed(chosen: DataFrame, jumps: list[DataFrame]) -> DataFrame:
