@@ -26,9 +26,18 @@ BLOCK_WORDS = 250_000
 _WORD = re.compile(r"[^\W_]+")
 
 
+# of the first 256 characters, those of words stay and the others part them
+_PARTED = bytes(c if _WORD.fullmatch(chr(c)) else 0x20 for c in range(256))
+
+
 def words(text: str | None) -> list[str]:
     """Words without case and punctuation, as alignment compares them."""
-    return _WORD.findall((text or "").lower())
+    lowered = (text or "").lower()
+    try:
+        # the same by table, for texts that have one
+        return lowered.encode("latin-1").translate(_PARTED).decode("latin-1").split()
+    except UnicodeEncodeError:
+        return _WORD.findall(lowered)
 
 
 class Block:

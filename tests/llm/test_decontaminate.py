@@ -23,6 +23,15 @@ def plain_score(item, passage):
     return best
 
 
+def test_words_by_table_and_by_pattern():
+    draw = random.Random(6)
+    for last in (0x7F, 0xFF, 0x17F, 0x2FFF):
+        for _ in range(300):
+            text = "".join(chr(draw.randint(0, last)) for _ in range(draw.randint(0, 60)))
+            assert D.words(text) == D._WORD.findall(text.lower())
+    assert D.words(None) == D.words("") == []
+
+
 def test_alignment_against_the_whole_table():
     draw = random.Random(2)
     for _ in range(200):
