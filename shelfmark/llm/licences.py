@@ -82,6 +82,27 @@ TEMPLATES = {
         "To the extent possible under law, the author has waived all copyright and related rights to this work under CC0 1.0.",
     ],
 }
+# Notices of licences that share most of their words with a family above, and are none of it.
+NEIGHBOURS = [
+    "This work is licensed under the GNU Affero General Public License, version 3.",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation.",
+    "You should have received a copy of the GNU Affero General Public License along with this program.",
+    "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.",
+    "Licensed under CC BY-ND 4.0.",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.",
+    "Licensed under CC BY-NC-SA 4.0.",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    "Licensed under CC BY-NC-ND 4.0.",
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.",
+    "Licensed under the Eclipse Public License, version 2.0.",
+    "This Source Code Form is subject to the terms of the Eclipse Public License, v. 2.0.",
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+    "Released under the ISC License.",
+    "Licensed under the ISC License.",
+    "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely.",
+    "Released under the zlib License.",
+    "Licensed under the European Union Public License, version 1.2.",
+]
 # Notices of no known family, and sentences that only sound like notices.
 UNKNOWN_NOTICES = [
     "Licensed under the Foo Bar License, Version 7.",
@@ -168,12 +189,18 @@ def similarity(own: list[str], template: list[str]) -> float:
 
 
 _TEMPLATE_WORDS = {family: [words(t) for t in texts] for family, texts in TEMPLATES.items()}
+_NEIGHBOUR_WORDS = [words(t) for t in NEIGHBOURS]
 
 
 def closest(own: list[str], family: str) -> float:
     return max(similarity(own, template) for template in _TEMPLATE_WORDS[family])
 
 
+def beside(own: list[str]) -> float:
+    """Similarity to the closest neighbour of the families."""
+    return max(similarity(own, template) for template in _NEIGHBOUR_WORDS)
+
+
 _FAMILY_GRAMS = {f: {gram for t in texts for gram in zip(t, t[1:], t[2:], strict=False)} for f, texts in _TEMPLATE_WORDS.items()}
 _GRAMS = set().union(*_FAMILY_GRAMS.values())
 
@@ -216,11 +243,17 @@ def _variants(notice: str, prose: list[list[str]], draw: random.Random) -> Itera
 
 
 def _taken(own: list[str], family: str) -> bool:
-    """Whether another family's template is closer than any of this one."""
+    """Whether another family's template, or a neighbour of the families, is closer than any of this one."""
     if family not in TEMPLATES:
         return False
     like = closest(own, family)
-    return any(closest(own, other) > like for other in TEMPLATES if other != family)
+    return beside(own) > like or any(closest(own, other) > like for other in TEMPLATES if other != family)
+
+
+def _lost(own: list[str]) -> bool:
+    """Whether a neighbour's variant has lost what tells it from a family."""
+    like = beside(own)
+    return any(closest(own, family) >= like for family in TEMPLATES)
 
 
 def labelled_rows(paragraphs: list[str]) -> list[tuple[str, list[str]]]:
@@ -233,13 +266,17 @@ def labelled_rows(paragraphs: list[str]) -> list[tuple[str, list[str]]]:
     rows: list[tuple[str, list[str]]] = []
     for own in sample:
         family, score = max(((f, closest(own, f)) for f in TEMPLATES), key=lambda x: x[1])
-        if score >= MIN_SIMILARITY or not _fragment(own):
+        if max(MIN_SIMILARITY, score) < beside(own):
+            rows.append((UNKNOWN, own))
+        elif score >= MIN_SIMILARITY or not _fragment(own):
             rows.append((family if score >= MIN_SIMILARITY else NONE, own))
     prose = [own for label, own in rows if label == NONE]
     for label, notices in [*TEMPLATES.items(), (UNKNOWN, UNKNOWN_NOTICES), (NONE, ORDINARY)]:
         for notice in notices:
             # without the words that tell them apart, a variant of one family is a notice of another
             rows += [(label, own) for own in _variants(notice, prose, draw) if not _taken(own, label)]
+    for notice in NEIGHBOURS:
+        rows += [(UNKNOWN, own) for own in _variants(notice, prose, draw) if not _lost(own)]
     return [(label, own) for label, own in rows if own]
 
 
@@ -299,7 +336,8 @@ class Model:
     def classify(self, texts: list[list[str]]) -> list[tuple[str, float, float]]:
         """Family, its probability and the similarity to its closest template, for every text.
 
-        A notice that is not confident enough, or that no template of the family confirms, is unknown.
+        A notice that is not confident enough, or that no template of the family confirms, is unknown, and so is
+        one that is closer to a neighbour of the families than to any of the family's templates.
         """
         if not texts:
             return []
@@ -309,7 +347,7 @@ class Model:
             label, like = self.classes[top], 0.0
             if label not in (NONE, UNKNOWN):
                 like = closest(own, label)
-                if chance < self.threshold or like < MIN_SIMILARITY:
+                if chance < self.threshold or like < MIN_SIMILARITY or beside(own) > like:
                     label = UNKNOWN
             out.append((label, chance, like))
         return out

@@ -114,3 +114,28 @@ def test_labels_name_the_closest_family():
 def test_confident_predictions_are_right(trained):
     assert L.PRECISION >= 0.995
     assert all(trained[0].classify([L.words(t)])[0][0] == family for family, texts in L.TEMPLATES.items() for t in texts)
+
+
+# none of these is a template, a neighbour or a variant of one
+OTHERS = [
+    "This file is part of Foo, which is distributed under the GNU Affero General Public License, version 3 or later.",
+    "The text is available under a Creative Commons Attribution-NoDerivatives 3.0 International License.",
+    "The photographs are licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 2.0 License.",
+    "Except where noted, content is licensed under CC BY-NC-SA 3.0.",
+    "Made available by its authors under the terms of the Eclipse Public License v. 1.0, which accompanies this distribution.",
+    "Permission to use, copy, modify, and distribute this software and its documentation for any purpose is hereby granted.",
+    "This software is provided as-is; anyone may alter it and redistribute it freely, subject to the zlib License.",
+]
+
+
+def test_neighbours_are_no_family(trained):
+    for notice in [*L.NEIGHBOURS, *OTHERS]:
+        for text in (notice, textwrap.fill(notice, 50), f"{PROSE}\n\n{notice}\n\n{PROSE}"):
+            found = {label[0] for label in L.notices(trained[0], [L.lines_of(text)])[0].values()}
+            assert found <= {L.UNKNOWN}, (notice, found)
+
+
+def test_families_beside_their_neighbours(trained):
+    text = "\n\n".join([L.TEMPLATES["GPL"][1], L.NEIGHBOURS[1], L.TEMPLATES["CC-BY"][0], L.NEIGHBOURS[3], L.TEMPLATES["MPL"][0]])
+    found = [label[0] for _, label in sorted(L.notices(trained[0], [L.lines_of(text)])[0].items())]
+    assert found == ["GPL", L.UNKNOWN, "CC-BY", L.UNKNOWN, "MPL"]
