@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -78,3 +79,52 @@ def test_run_and_empty_input(spark, steps, tmp_path):
     found = corpus_pipeline.run(spark, SF_DIR)
     columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert sorted(map(tuple, found.select(columns).collect())) == sorted(map(tuple, steps[4].select(columns).collect()))
+
+
+EXTRA = "row string, h long, runs int, left string, fp string, root long, text_hash long, leak_id long, unnamed boolean, piece string, length long, pack_group int"
+
+
+def _prose(seed, lines=6):
+    draw = random.Random(seed)
+    word = lambda: "".join(draw.choice("abcdefghijklmnop") for _ in range(draw.randint(3, 8)))
+    return "\n".join(" ".join(word() for _ in range(9)) + "." for _ in range(lines))
+
+
+def _folder(spark, tmp_path, rows, items):
+    columns = ["doc_id long, text string, lang string, source string, n_chars long", EXTRA]
+    extra = (None, 1, 2, "l", "f", 3, 4, 5, True, "p", 6, 7)
+    made = [(i, t, None, None, None if t is None else len(t), *extra) for i, t in rows]
+    spark.createDataFrame(made, ", ".join(columns)).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    return str(tmp_path)
+
+
+def test_odd_rows_pass_every_stage(spark, tmp_path):
+    item = " ".join(f"secret{n}" for n in range(30))
+    long = _prose(5, lines=4000)
+    rows = [
+        (1, _prose(1)), (1, _prose(1)), (2, _prose(1)), (1, _prose(2)), (None, _prose(3)), (None, _prose(3)), (None, _prose(4)),
+        (3, None), (4, ""), (None, None), (5, "short"), (6, long), (7, f"{_prose(7)}\n{item}.\n{_prose(8)}"), (2**63 - 1, _prose(9)), (-4, _prose(10)),
+    ]
+    folder = _folder(spark, tmp_path, rows, [(1, item), (None, None), (2, "")])
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    columns = docs.columns
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        docs = stage(step(spark, docs, folder), fresh_path(spark, name))
+        assert docs.columns == columns
+    key = lambda x: (x[0] is None, x[0] or 0, x[1])
+    kept = sorted(((r.doc_id, r.text) for r in docs.collect()), key=key)
+    # a copy loses its lines to the first one, and stays as the one document without words
+    expected = [(1, _prose(1)), (1, _prose(2)), (2, ""), (6, long), (2**63 - 1, _prose(9)), (-4, _prose(10)), (None, _prose(3)), (None, _prose(4))]
+    assert kept == sorted(expected, key=key)
+    packed = corpus_pipeline.run(spark, folder).collect()
+    check_packed(packed, 2048)
+    lengths = {}
+    for r in packed:
+        lengths.setdefault(r.doc_id, []).append(r.length)
+    assert {i: sum(n > 0 for n in found) >= 1 for i, found in lengths.items()} == dict.fromkeys([1, 2, 6, 2**63 - 1, -4, None], True)
+    assert len(lengths[1]) == len(lengths[None]) == 2 and len(lengths[6]) > 10
+
+
+def test_empty_tables(spark, tmp_path):
+    assert corpus_pipeline.run(spark, _folder(spark, tmp_path, [], [])).count() == 0
