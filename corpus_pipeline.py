@@ -46,7 +46,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``. Each stage's rows are a table in the shared folder."""
+    """All stages over ``documents``. Each stage's rows are a table in the shared folder.
+
+    Null and empty texts go with the rejected documents. Null ids stay null and come last where an id
+    decides; of repeated rows, and of texts that tie, one stays. Texts of any length go through whole.
+    Further columns pass unread up to the last stage, whatever their names, and null languages and
+    sources with them. Empty tables give no rows.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, step in STAGES:
         docs = stage(step(spark, docs, sf_dir), fresh_path(spark, name))
