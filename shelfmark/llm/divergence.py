@@ -19,7 +19,7 @@ UNIT = 1_000_000_000
 DIGEST_BITS = 64
 
 # (source, term) pairs that a task counts before it hands them on
-HELD_PAIRS = 300_000
+HELD_PAIRS = 1_000_000
 # bytes of one text that are split at a time
 CHUNK = 1 << 22
 # numbers in one block of terms x sources
@@ -63,8 +63,8 @@ def term_partials(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "first", "n", "docs"])
             held.clear()
 
+        pairs = 0
         for batch in batches:
-            pairs = 0
             for lang, source, text in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 n, with_term = held.setdefault((lang, source), (Counter(), Counter()))
                 before, met = len(n), set()
@@ -73,8 +73,9 @@ def term_partials(docs: DataFrame) -> DataFrame:
                     met.update(words)
                 with_term.update(met)
                 pairs += len(n) - before
-            if pairs and sum(len(n) for n, _ in held.values()) > HELD_PAIRS:
-                yield from handed()
+                if pairs > HELD_PAIRS:
+                    yield from handed()
+                    pairs = 0
         yield from handed()
 
     empty = {c: F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("lang", "source", "text")}
