@@ -40,7 +40,7 @@ PARTITIONS = "spark.sql.shuffle.partitions"
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _FIRST = np.random.default_rng(50).integers(1, 1 << 63, 256, dtype=np.uint64)
-# stands in for a missing id: it comes after every other
+# ranks a missing id: none comes after it
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -483,25 +483,29 @@ def _compared_pairs(threshold: int):
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    """``(id, hash, text)``: UTF-8 bytes under a key that tells different texts of one id apart, by 64 bits."""
+    """``(id, hash, text, unnamed)``: UTF-8 bytes under a key that tells different texts of one id apart, by 64 bits."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    doc_id = F.col("doc_id").cast("long")
     return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(int(NO_ID))).alias("id"),
+        F.coalesce(doc_id, F.lit(int(NO_ID))).alias("id"),
         F.xxhash64(text).alias("hash"),
         text.cast("binary").alias("text"),
+        doc_id.isNull().alias("unnamed"),
     )
 
 
 def _zipped(texts: DataFrame, folded: bool = False) -> DataFrame:
     """The texts as they are shuffled: compressed one by one; ``folded``, repeated rows go once per task."""
+    names = ["id", "hash", "zipped", "unnamed"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zipper = zstandard.ZstdCompressor(level=3)
         for batch in _folded(batches) if folded else batches:
             packed = [zipper.compress(text.as_py()) for text in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], ["id", "hash", "zipped"])
+            columns = [batch.column(0), batch.column(1), pa.array(packed, pa.binary()), batch.column(3)]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    return texts.mapInArrow(run, "id long, hash long, zipped binary")
+    return texts.mapInArrow(run, "id long, hash long, zipped binary, unnamed boolean")
 
 
 def repeated_bytes(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -521,7 +525,7 @@ def repeated_bytes(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     drop_finished_shuffles(spark)
     spans = F.collect_list(F.struct("begin", "beyond"))
     unsettled = marks.filter("NOT settled").groupBy("id", "hash").agg(spans.alias("spans"))
-    held = _zipped(texts, folded=True).join(unsettled.hint("merge"), ["id", "hash"])
+    held = _zipped(texts, folded=True).drop("unnamed").join(unsettled.hint("merge"), ["id", "hash"])
     pairs = held.mapInArrow(_paired(parts, threshold), _DEALT).repartition(parts, "part")
     runs = stage(pairs.mapInArrow(_compared_pairs(threshold), _RUN), fresh_path(spark, "pair-runs"))
     del unsettled, held, pairs
@@ -535,20 +539,21 @@ def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD, texts: bool = Tr
     A byte goes if a string of ``threshold`` bytes that covers it also starts in a document with a
     smaller ``doc_id``; matches lie within one document and are judged on the input.
 
-    A null text is empty. A null id comes after all others; rows that share an id, null included,
-    take nothing from each other, and equal rows get equal results. Texts shorter than the threshold
-    stay whole. Other columns are not read. An empty table gives no rows.
+    A null text is empty. A null id stays null and ranks with the largest there is, 2^63 - 1, after
+    all others; rows of one rank take nothing from each other, and equal rows get equal results. Texts
+    shorter than the threshold stay whole. Other columns are not read. An empty table gives no rows.
     """
     marks = repeated_bytes(docs, threshold)
     spans = marks.groupBy("id", "hash").agg(F.collect_list(F.struct("begin", "beyond")).alias("spans"))
-    held = _zipped(_texts(docs)).join(spans.hint("merge"), ["id", "hash"], "left").select("id", "zipped", "spans")
+    held = _zipped(_texts(docs)).join(spans.hint("merge"), ["id", "hash"], "left").select("id", "zipped", "spans", "unnamed")
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * texts
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
         for batch in batches:
             rows = []
-            for doc, packed, spans in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
+            unnamed = batch.column(3).to_pylist()
+            for doc, packed, spans, missing in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), unnamed, strict=True):
                 text = unzip.decompress(packed.as_py())
                 kept, n_spans = text, 0
                 if spans.is_valid:
@@ -559,8 +564,7 @@ def remove_repeats(docs: DataFrame, threshold: int = THRESHOLD, texts: bool = Tr
                     edges = [0, *np.stack([begin, beyond], 1).ravel().tolist(), len(text)]
                     kept = b"".join([text[i:j] for i, j in zip(edges[::2], edges[1::2], strict=True)])
                 digest = hashlib.sha256(kept).hexdigest()
-                doc = None if doc == NO_ID else doc
-                rows.append((doc, len(text), len(text) - len(kept), n_spans, digest, kept)[: 5 + texts])
+                rows.append((None if missing else doc, len(text), len(text) - len(kept), n_spans, digest, kept)[: 5 + texts])
             columns = list(zip(*rows, strict=True)) or [()] * (5 + texts)
             yield _batch(list(columns), schema)
 

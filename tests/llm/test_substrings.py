@@ -73,7 +73,7 @@ def test_ranks_name_equal_prefixes():
 
 def test_edges(spark):
     copy = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(500))
-    rows = [(None, copy), (None, copy), (3, copy), (3, copy), (3, copy[100:300]), (9, None), (9, ""), (10, "x" * 49), (11, "x" * 49), (12, "x" * 300_000), (13, "x" * 300_000 + "y")]
+    rows = [(None, copy), (None, copy), (3, copy), (3, copy), (3, copy[100:300]), (9, None), (9, ""), (10, "x" * 49), (11, "x" * 49), (12, "x" * 300_000), (13, "x" * 300_000 + "y"), (int(S.NO_ID), copy + "z")]
     docs = spark.createDataFrame([(*r, 1) for r in rows], SCHEMA)
     same(S.remove_repeats(docs), [
         *[(None, 500, 500, 1, hashlib.sha256(b"").hexdigest())] * 2,
@@ -83,6 +83,7 @@ def test_edges(spark):
         *[(n, 49, 0, 0, hashlib.sha256(b"x" * 49).hexdigest()) for n in (10, 11)],
         (12, 300_000, 0, 0, hashlib.sha256(b"x" * 300_000).hexdigest()),
         (13, 300_001, 300_000, 1, hashlib.sha256(b"y").hexdigest()),
+        (int(S.NO_ID), 501, 500, 1, hashlib.sha256(b"z").hexdigest()),
     ])
     assert S.remove_repeats(docs.limit(0)).count() == 0
 
@@ -120,3 +121,9 @@ def test_positions_keep_whole_names():
     found = S._unpack_positions(S._pack_positions(names, place, at, ids, hashes))
     for got, wanted in zip(found, (names, ids[place], hashes[place], at), strict=True):
         assert got.tolist() == wanted.tolist()
+
+
+def test_largest_id_and_missing_ids_rank_alike(spark):
+    text = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(200))
+    rows = [(int(S.NO_ID), text), (None, text), (None, text[:90])]
+    same(S.remove_repeats(spark.createDataFrame([(*r, 0) for r in rows], SCHEMA)), plain(rows))
