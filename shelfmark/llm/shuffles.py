@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-import gc
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-def drop_finished_shuffles(spark: SparkSession) -> None:
-    """Let Spark remove shuffle files that nothing refers to any more.
 
-    Spark does so once the driver has collected the objects that stand for them, which may be long
-    after a staged step made them superfluous. Call it when no variable holds the step's DataFrames.
+@contextmanager
+def shuffles_end_with_writes(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside drop their shuffle files as soon as they stand.
+
+    Spark otherwise keeps them until the driver collects the objects that stand for them. Stages that
+    a lost executor repeats while the table is written still find their shuffles.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)

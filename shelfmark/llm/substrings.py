@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm.shuffles import drop_finished_shuffles
+from shelfmark.llm.shuffles import shuffles_end_with_writes
 from shelfmark.storage import fresh_path, stage
 
 THRESHOLD = 50
@@ -520,16 +520,14 @@ def repeated_bytes(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     parts = int(spark.conf.get(PARTITIONS))
     texts = _texts(docs)
     dealt = texts.mapInArrow(_dealt(parts, threshold), _DEALT).repartition(parts, "part")
-    marks = stage(dealt.mapInArrow(_compared(threshold), _MARK), fresh_path(spark, "block-marks"))
-    del dealt
-    drop_finished_shuffles(spark)
+    with shuffles_end_with_writes(spark):
+        marks = stage(dealt.mapInArrow(_compared(threshold), _MARK), fresh_path(spark, "block-marks"))
     spans = F.collect_list(F.struct("begin", "beyond"))
     unsettled = marks.filter("NOT settled").groupBy("id", "hash").agg(spans.alias("spans"))
     held = _zipped(texts, folded=True).drop("unnamed").join(unsettled.hint("merge"), ["id", "hash"])
     pairs = held.mapInArrow(_paired(parts, threshold), _DEALT).repartition(parts, "part")
-    runs = stage(pairs.mapInArrow(_compared_pairs(threshold), _RUN), fresh_path(spark, "pair-runs"))
-    del unsettled, held, pairs
-    drop_finished_shuffles(spark)
+    with shuffles_end_with_writes(spark):
+        runs = stage(pairs.mapInArrow(_compared_pairs(threshold), _RUN), fresh_path(spark, "pair-runs"))
     return marks.filter("settled").drop("settled").unionByName(runs)
 
 

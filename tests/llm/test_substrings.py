@@ -1,10 +1,12 @@
 import hashlib
 import random
+import time
 
 import numpy as np
 import pytest
 
 from shelfmark.llm import substrings as S
+from shelfmark.llm.shuffles import CLEANUP, shuffles_end_with_writes
 from tests.conftest import SF_DIR
 from tests.llm.oracle import duck
 
@@ -127,3 +129,23 @@ def test_largest_id_and_missing_ids_rank_alike(spark):
     text = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(200))
     rows = [(int(S.NO_ID), text), (None, text), (None, text[:90])]
     same(S.remove_repeats(spark.createDataFrame([(*r, 0) for r in rows], SCHEMA)), plain(rows))
+
+
+def test_shuffles_end_with_writes(spark, tmp_path):
+    before = spark.conf.get(CLEANUP, "false")
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        return sum(f.length() for f in spark.sparkContext._jvm.scala.jdk.javaapi.CollectionConverters.asJava(manager.getAllFiles()) if f.getName().startswith("shuffle"))
+
+    with pytest.raises(ZeroDivisionError), shuffles_end_with_writes(spark):
+        held = shuffled()
+        rows = spark.range(500_000).selectExpr("id", "xxhash64(id) AS h").repartition(4, "h")
+        rows.write.parquet(str(tmp_path / "rows"))
+        for _ in range(50):
+            if shuffled() <= held:
+                break
+            time.sleep(0.1)
+        assert shuffled() <= held
+        raise ZeroDivisionError
+    assert spark.conf.get(CLEANUP, "false") == before
