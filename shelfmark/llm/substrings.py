@@ -37,6 +37,10 @@ PAIR_BYTES = 8
 # texts that a task remembers, to pass over those that repeat them; bounds memory only
 REMEMBERED = 1 << 17
 PARTITIONS = "spark.sql.shuffle.partitions"
+# bytes of text whose ranks one task compares, about as many as it holds packed
+PART_BYTES = 128 << 20
+# blocks or positions that a comparing task has unpacked at a time
+SLICE_ROWS = 1 << 19
 
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _FIRST = np.random.default_rng(50).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -193,7 +197,28 @@ def _pack(blocks: Blocks, keep: np.ndarray, ids: np.ndarray, hashes: np.ndarray)
     return b"".join(parts)
 
 
-def _unpack(data: bytes) -> tuple[np.ndarray, ...]:
+def _whole(planes: np.ndarray, kind: str) -> np.ndarray:
+    """Numbers from the planes of their low bytes."""
+    wide = np.zeros((planes.shape[1], np.dtype(kind).itemsize), np.uint8)
+    wide[:, : len(planes)] = planes.T
+    return wide.view(kind).ravel()
+
+
+def _packed_rows(data: bytes) -> int:
+    return struct.unpack_from("<I", data)[0]
+
+
+def _slices(held: list[bytes]) -> int:
+    """In how many slices packed rows are taken, by the low byte of their names."""
+    return min(256, -(-sum(map(_packed_rows, held)) // SLICE_ROWS))
+
+
+def _own(low: np.ndarray, slices: int, slice_: int) -> np.ndarray | slice:
+    return np.flatnonzero(low % slices == slice_) if slices > 1 else slice(None)
+
+
+def _unpack(data: bytes, slices: int = 1, slice_: int = 0) -> tuple[np.ndarray, ...]:
+    """Columns of the packed blocks, or of one slice of them by the low byte of the rank."""
     n, n_docs = struct.unpack_from("<II", data)
     at = 8
 
@@ -203,18 +228,14 @@ def _unpack(data: bytes) -> tuple[np.ndarray, ...]:
         at += found.nbytes
         return found
 
-    def planes(count: int, width: int) -> np.ndarray:
-        wide = np.zeros((n, width), np.uint8)
-        for k in range(count):
-            wide[:, k] = take("u1", n)
-        return wide
-
     ids, hashes = take("<i8", n_docs), take("<i8", n_docs)
-    rank = planes(NAME_BYTES, 8).view("<u8").ravel()
-    name = planes(NAME_BYTES, 8).view("<u8").ravel()
-    place = take("<u2", n)
-    start = planes(4, 4).view("<u4").ravel().astype(np.int64)
-    return rank, name, ids[place], hashes[place], start, take("u1", n).astype(np.int64)
+    rank, name = (take("u1", NAME_BYTES * n).reshape(NAME_BYTES, n) for _ in range(2))
+    own = _own(rank[0], slices, slice_)
+    place = take("<u2", n)[own]
+    start = take("u1", 4 * n).reshape(4, n)
+    count = take("u1", n)[own].astype(np.int64)
+    start = _whole(start[:, own], "<u4").astype(np.int64)
+    return _whole(rank[:, own], "<u8"), _whole(name[:, own], "<u8"), ids[place], hashes[place], start, count
 
 
 _DEALT = "part int, blocks binary, id long, hash long, begin long, beyond long"
@@ -307,23 +328,24 @@ def _compared(threshold: int):
 
     ``settled`` marks are bytes to remove: a block whose equal stands in an earlier document. The
     others are blocks that share their rank with different blocks, to be compared by position; of
-    equal ones only those of their first document.
+    equal ones only those of their first document. Blocks stay packed but for one slice of ranks at a time.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, runs = [], []
         for batch in batches:
             data = batch.column(1)
-            held += [_unpack(x.as_py()) for x in data if x.is_valid]
+            held += [x.as_py() for x in data if x.is_valid]
             runs.append(batch.filter(data.is_null()))
         if any(r.num_rows for r in runs):
             columns = _united(runs)
             yield _batch([*columns, np.full(len(columns[0]), True)], _MARK)
         del runs
-        if not held:
-            return
-        rank, name, ids, hashes, start, count = (np.concatenate(c) for c in zip(*held, strict=True))
-        held.clear()
+        slices = _slices(held)
+        for n in range(slices):
+            yield from compared(*(np.concatenate(c) for c in zip(*(_unpack(x, slices, n) for x in held), strict=True)))
+
+    def compared(rank, name, ids, hashes, start, count) -> Iterator[pa.RecordBatch]:
         order = np.argsort(rank, kind="stable")
         opens = np.append(True, rank[order][1:] != rank[order][:-1])
         sizes = np.diff(np.append(np.flatnonzero(opens), len(order)))
@@ -369,19 +391,25 @@ def _pack_positions(name: np.ndarray, place: np.ndarray, at: np.ndarray, ids: np
     return b"".join(parts)
 
 
-def _unpack_positions(data: bytes) -> tuple[np.ndarray, ...]:
+def _position_names(data: bytes, slices: int = 1, slice_: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray | slice]:
+    """Names and ids of the packed positions, or of one slice of them by their name's low byte, and which these are."""
     n, n_docs = struct.unpack_from("<II", data)
-    begin = 8 + 16 * n_docs
     ids = np.frombuffer(data, "<i8", n_docs, 8)
-    hashes = np.frombuffer(data, "<i8", n_docs, 8 + 8 * n_docs)
+    begin = 8 + 16 * n_docs
     planes = np.frombuffer(data, "u1", PAIR_BYTES * n, begin).reshape(PAIR_BYTES, n)
-    name = np.zeros((n, 8), np.uint8)
-    name[:, :PAIR_BYTES] = planes.T
-    begin += PAIR_BYTES * n
-    place = np.frombuffer(data, "<u2", n, begin)
-    steps = np.frombuffer(data, "u1", 4 * n, begin + 2 * n).reshape(4, n).T
-    at = np.cumsum(np.ascontiguousarray(steps).view("<i4").ravel().astype(np.int64))
-    return name.view("<u8").ravel(), ids[place], hashes[place], at
+    own = _own(planes[0], slices, slice_)
+    place = np.frombuffer(data, "<u2", n, begin + PAIR_BYTES * n)[own]
+    return _whole(planes[:, own], "<u8"), ids[place], own
+
+
+def _positions(data: bytes) -> tuple[np.ndarray, ...]:
+    """Where the packed positions are: ids and hashes of the documents, whose each is, and its offset."""
+    n, n_docs = struct.unpack_from("<II", data)
+    ids, hashes = np.frombuffer(data, "<i8", 2 * n_docs, 8).reshape(2, n_docs)
+    begin = 8 + 16 * n_docs + PAIR_BYTES * n
+    place = np.frombuffer(data, "<u2", n, begin).astype(np.int64)
+    steps = _whole(np.frombuffer(data, "u1", 4 * n, begin + 2 * n).reshape(4, n), "<i4")
+    return ids, hashes, place, np.cumsum(steps.astype(np.int64))
 
 
 def _paired(parts: int, threshold: int):
@@ -443,6 +471,8 @@ def _paired(parts: int, threshold: int):
 
 def _after_first(name: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Which entries share their name with one of a smaller id."""
+    if not len(name):
+        return np.zeros(0, bool)
     order = np.lexsort((ids, name))
     opens = np.append(True, name[order][1:] != name[order][:-1])
     first = ids[order][np.flatnonzero(opens)][np.cumsum(opens) - 1]
@@ -460,28 +490,42 @@ _RUN = "id long, hash long, begin long, beyond long"
 
 
 def _compared_pairs(threshold: int):
-    """Task function: all positions of some ranks to runs that an earlier document has."""
+    """Task function: all positions of some ranks to runs that an earlier document has.
+
+    They stay packed, one slice of names at a time is compared; the runs are made where they came
+    packed together, so slices do not cut them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, settled = [], []
         for batch in batches:
             data = batch.column(1)
-            held += [_unpack_positions(x.as_py()) for x in data if x.is_valid]
+            held += [x.as_py() for x in data if x.is_valid]
             settled.append(batch.filter(data.is_null()))
         if any(r.num_rows for r in settled):
             yield _batch(_united(settled), _RUN)
         del settled
-        if held:
-            name, ids, hashes, at = (np.concatenate(c) for c in zip(*held, strict=True))
-            held.clear()
-            later = _after_first(name, ids)
-            keys, doc = np.unique(np.stack([ids[later], hashes[later]], 1), axis=0, return_inverse=True)
-            doc, begin, beyond = _runs(doc.ravel(), at[later], at[later] + threshold)
-            yield _batch([keys[doc, 0], keys[doc, 1], begin, beyond], _RUN)
+        later = [np.zeros(_packed_rows(x), bool) for x in held]
+        slices = _slices(held)
+        for n in range(slices):
+            name, ids, own = zip(*(_position_names(x, slices, n) for x in held), strict=True)
+            found = _after_first(np.concatenate(name), np.concatenate(ids))
+            for flags, places, part in zip(later, own, np.split(found, np.cumsum([len(x) for x in name])[:-1]), strict=True):
+                flags[places] = part
+        for data, flags in zip(held, later, strict=True):
+            ids, hashes, place, at = _positions(data)
+            doc, begin, beyond = _runs(place[flags], at[flags], at[flags] + threshold)
+            yield _batch([ids[doc], hashes[doc], begin, beyond], _RUN)
 
     return run
 
 
+def _parts(texts: DataFrame) -> int:
+    """Partitions for the ranks of the texts: the session's number, or as many as their bytes need."""
+    n_bytes = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(int(texts.sparkSession.conf.get(PARTITIONS)), -(-n_bytes // PART_BYTES))
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     """``(id, hash, text, unnamed)``: UTF-8 bytes under a key that tells different texts of one id apart, by 64 bits."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -514,18 +558,19 @@ def repeated_bytes(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     A block's equal in an earlier document settles all its positions, in the task or where the block's
     rank is compared. Positions of blocks that only share their rank are doubled to the threshold and
     compared pair by pair, again first in the task. Rows that repeat an id and text are dealt once
-    per task and compared once, so the marks of a text do not grow with its rows.
+    per task and compared once, so the marks of a text do not grow with its rows. Each part of the
+    ranks is one partition, and there are as many as the bytes of the texts need.
     """
     spark = docs.sparkSession
-    parts = int(spark.conf.get(PARTITIONS))
     texts = _texts(docs)
-    dealt = texts.mapInArrow(_dealt(parts, threshold), _DEALT).repartition(parts, "part")
+    parts = _parts(texts)
+    dealt = texts.mapInArrow(_dealt(parts, threshold), _DEALT).repartitionById(parts, "part")
     with shuffles_end_with_writes(spark):
         marks = stage(dealt.mapInArrow(_compared(threshold), _MARK), fresh_path(spark, "block-marks"))
     spans = F.collect_list(F.struct("begin", "beyond"))
     unsettled = marks.filter("NOT settled").groupBy("id", "hash").agg(spans.alias("spans"))
     held = _zipped(texts, folded=True).drop("unnamed").join(unsettled.hint("merge"), ["id", "hash"])
-    pairs = held.mapInArrow(_paired(parts, threshold), _DEALT).repartition(parts, "part")
+    pairs = held.mapInArrow(_paired(parts, threshold), _DEALT).repartitionById(parts, "part")
     with shuffles_end_with_writes(spark):
         runs = stage(pairs.mapInArrow(_compared_pairs(threshold), _RUN), fresh_path(spark, "pair-runs"))
     return marks.filter("settled").drop("settled").unionByName(runs)

@@ -52,6 +52,8 @@ def test_short_strings_against_a_dictionary(spark, monkeypatch, threshold):
     monkeypatch.setattr(S, "CHUNK_BYTES", 64)
     monkeypatch.setattr(S, "BATCH_BYTES", 400)
     monkeypatch.setattr(S, "MAX_BLOCK", 5)
+    monkeypatch.setattr(S, "PART_BYTES", 700)
+    monkeypatch.setattr(S, "SLICE_ROWS", 20)
     draw, rows = random.Random(threshold), []
     pool = ["".join(draw.choice("ab") for _ in range(draw.randint(5, 40))) for _ in range(12)]
     for n in range(150):
@@ -120,9 +122,32 @@ def test_positions_keep_whole_names():
     names = np.array([5, 5 + (1 << 48), 5 + (1 << 63), (1 << 64) - 1], np.uint64)
     ids, hashes = np.array([3, S.NO_ID]), np.array([-1, 1 << 40])
     place, at = np.array([0, 0, 1, 1]), np.array([0, 1, 7, 300_000])
-    found = S._unpack_positions(S._pack_positions(names, place, at, ids, hashes))
-    for got, wanted in zip(found, (names, ids[place], hashes[place], at), strict=True):
-        assert got.tolist() == wanted.tolist()
+    data = S._pack_positions(names, place, at, ids, hashes)
+    got = [S._position_names(data, 2, n) for n in (0, 1)]
+    assert sorted(np.concatenate([x[0] for x in got]).tolist()) == names.tolist()
+    name, owner, _ = S._position_names(data)
+    assert (name.tolist(), owner.tolist()) == (names.tolist(), ids[place].tolist())
+    assert S._after_first(*S._position_names(data, 256, 77)[:2]).tolist() == []
+    assert [x.tolist() for x in S._positions(data)] == [x.tolist() for x in (ids, hashes, place, at)]
+
+
+def test_slices_of_packed_blocks_hold_each_once():
+    blocks = S.text_blocks([bytes(random.Random(n).choices(b"abcd", k=3000)) for n in range(5)])
+    ids, hashes = np.arange(5) - 2, np.arange(5) << 40
+    data = S._pack(blocks, np.arange(len(blocks.rank)), ids, hashes)
+    whole = sorted(zip(*(c.tolist() for c in S._unpack(data)), strict=True))
+    parts = [S._unpack(data, 7, n) for n in range(7)]
+    assert sorted(row for part in parts for row in zip(*(c.tolist() for c in part), strict=True)) == whole
+    owners = [set((part[0] & np.uint64(255)).tolist()) for part in parts]
+    assert sum(map(len, owners)) == len(set().union(*owners)) and len(whole) == len(blocks.rank)
+
+
+def test_partitions_follow_the_bytes(spark, monkeypatch):
+    texts = S._texts(spark.createDataFrame([(n, "x" * 1000, 0) for n in range(100)], SCHEMA))
+    monkeypatch.setattr(S, "PART_BYTES", 1000)
+    assert S._parts(texts) == 100
+    monkeypatch.undo()
+    assert S._parts(texts) == S._parts(texts.limit(0)) == int(spark.conf.get(S.PARTITIONS))
 
 
 def test_largest_id_and_missing_ids_rank_alike(spark):
