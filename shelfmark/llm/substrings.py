@@ -210,7 +210,7 @@ def _packed_rows(data: bytes) -> int:
 
 def _slices(held: list[bytes]) -> int:
     """In how many slices packed rows are taken, by the low byte of their names."""
-    return min(256, -(-sum(map(_packed_rows, held)) // SLICE_ROWS))
+    return min(255, -(-sum(map(_packed_rows, held)) // SLICE_ROWS))
 
 
 def _own(low: np.ndarray, slices: int, slice_: int) -> np.ndarray | slice:

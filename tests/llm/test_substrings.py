@@ -127,7 +127,7 @@ def test_positions_keep_whole_names():
     assert sorted(np.concatenate([x[0] for x in got]).tolist()) == names.tolist()
     name, owner, _ = S._position_names(data)
     assert (name.tolist(), owner.tolist()) == (names.tolist(), ids[place].tolist())
-    assert S._after_first(*S._position_names(data, 256, 77)[:2]).tolist() == []
+    assert S._after_first(*S._position_names(data, 255, 77)[:2]).tolist() == []
     assert [x.tolist() for x in S._positions(data)] == [x.tolist() for x in (ids, hashes, place, at)]
 
 
