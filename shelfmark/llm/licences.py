@@ -356,12 +356,19 @@ class Model:
 def sampled_paragraphs(docs: DataFrame, n: int = SAMPLED_PARAGRAPHS) -> list[str]:
     """``n`` distinct lines of all documents, those with the smallest hashes: a bounded sample for training.
 
-    Hashes alone are compared first; only the lines chosen are moved.
+    Hashes alone are compared first, each task gives its ``n`` smallest; only the lines chosen are moved.
     """
+
+    def smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(0, np.int64)
+        for batch in batches:
+            held = np.unique(np.concatenate([held, batch.column(0).to_numpy()]))[:n]
+        yield pa.RecordBatch.from_arrays([pa.array(held)], ["h"])
+
     lines = docs.select(F.explode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line"))
     lines = lines.filter((F.trim("line", F.lit(_SPACES)) != "") & (F.length("line") <= SAMPLED_CHARS))
     hashed = lines.withColumn("h", F.xxhash64(F.lit(SEED), "line"))
-    least = [row.h for row in hashed.select("h").distinct().orderBy("h").limit(n).collect()]
+    least = [row.h for row in hashed.select("h").mapInArrow(smallest, "h long").distinct().orderBy("h").limit(n).collect()]
     if not least:
         return []
     chosen = hashed.filter(F.col("h") <= least[-1]).distinct().orderBy("h", "line").limit(n)

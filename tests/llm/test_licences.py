@@ -139,3 +139,12 @@ def test_families_beside_their_neighbours(trained):
     text = "\n\n".join([L.TEMPLATES["GPL"][1], L.NEIGHBOURS[1], L.TEMPLATES["CC-BY"][0], L.NEIGHBOURS[3], L.TEMPLATES["MPL"][0]])
     found = [label[0] for _, label in sorted(L.notices(trained[0], [L.lines_of(text)])[0].items())]
     assert found == ["GPL", L.UNKNOWN, "CC-BY", L.UNKNOWN, "MPL"]
+
+
+def test_sample_is_the_smallest_hashes(spark):
+    lines = [f"line {n % 700}" for n in range(3000)] + ["", " ", "x" * (L.SAMPLED_CHARS + 1)]
+    docs = spark.createDataFrame([(n, "\n".join(lines[n::50])) for n in range(50)] + [(99, None)], "doc_id long, text string").repartition(7)
+    ranked = spark.createDataFrame([(f"line {n}",) for n in range(700)], "line string").selectExpr("line", f"xxhash64({L.SEED}, line) AS h")
+    expected = [row.line for row in ranked.orderBy("h").collect()]
+    assert L.sampled_paragraphs(docs, 120) == expected[:120]
+    assert L.sampled_paragraphs(docs, 5000) == expected
