@@ -10,10 +10,9 @@ from shelfmark.operators.dedupe import duplicate_keys
 from shelfmark.operators.marts import order_amounts
 from shelfmark.operators.profile import (
     null_profile,
-    partition_profile,
-    partition_values,
     preview,
     row_counts,
+    table_profile,
     value_distribution,
 )
 from shelfmark.plans.medallion import (
@@ -25,23 +24,38 @@ from shelfmark.plans.medallion import (
     read_silver,
     read_top_products,
 )
-from shelfmark.schemas import BRONZE_FILES, SILVER
-from shelfmark.sources import unreadable_values
+from shelfmark.schemas import BRONZE, BRONZE_FILES, RAW, SILVER
 from shelfmark.sources.generations import versions
+from shelfmark.sources.raw import FIELDS
+from shelfmark.storage import fresh_path, stage
+
+_BRONZE_VALUES = ["order_status", "product_category", "gender"]
 
 
 def bronze_report(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
+    """The bronze table. All counts come from one scan; repeated keys take one more, of the key alone."""
     files, bronze = read_bronze(spark, layout, BRONZE_FILES), read_bronze(spark, layout)
+    counts = {f"null {c}": F.col(c).isNull() for c in BRONZE.names}
+    counts |= {f"unreadable {c}": F.array_contains("unreadable", F.lit(c)) for c in [*RAW.names, FIELDS]}
+    profile = table_profile(files, ["ingestion_date", *_BRONZE_VALUES], counts)
+    profile = stage(profile.coalesce(1), fresh_path(spark, "bronze-profile"))
+
+    def counted(prefix: str, n: str) -> DataFrame:
+        found = profile.filter((F.col("fact") == "count") & F.col("subject").startswith(prefix))
+        return found.select(F.substring("subject", len(prefix) + 1, 1000).alias("column"), F.col("n").alias(n))
+
+    values = profile.filter("fact = 'value'")
+    dates = values.filter("subject = 'ingestion_date'").select(F.col("value").cast("date").alias("ingestion_date"))
     return {
-        "rows": row_counts({"bronze": bronze}),
+        "rows": profile.filter("fact = 'rows'").select(F.lit("bronze").alias("layer"), F.col("n").alias("n_rows")),
         "schema": schema_report(files, BRONZE_FILES),
-        "unreadable values": unreadable_values(files),
+        "unreadable values": counted("unreadable ", "n_values"),
         "unreadable lines": preview(files.filter("raw_record IS NOT NULL").select("source_file", "unreadable", "raw_record"), 5),
-        "partitions": partition_profile(bronze),
-        "ingestion dates": partition_values(bronze, "ingestion_date"),
-        "nulls": null_profile(bronze),
+        "partitions": profile.filter("fact = 'partition'").select(F.col("value").cast("int").alias("partition"), "n"),
+        "ingestion dates": dates.orderBy("ingestion_date"),
+        "nulls": counted("null ", "nulls"),
         "sample": preview(bronze, 10),
-        "values": value_distribution(bronze, ["order_status", "product_category", "gender"]),
+        "values": values.filter(F.col("subject").isin(_BRONZE_VALUES)).select(F.col("subject").alias("column"), "value", "n"),
         "duplicate transactions": preview(duplicate_keys(bronze), 5),
     }
 

@@ -11,6 +11,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from shelfmark.operators import profile
 from shelfmark.operators.dedupe import dedupe, dedupe_counted
 from shelfmark.plans import medallion, reports
 from shelfmark.plans.medallion import (
@@ -29,7 +30,7 @@ from shelfmark.plans.medallion import (
     run,
 )
 from shelfmark.schemas import BRONZE_FILES, BRONZE_WITH_ORIGIN, MARTS, RAW, SILVER_WITH_ORIGIN
-from shelfmark.sources import generations
+from shelfmark.sources import generations, unreadable_values
 from shelfmark.sources.generations import PublishConflict, current, drafting, publish_draft, vacuum, versions
 from shelfmark.storage import remove
 from tests.rows import raw_frame
@@ -271,6 +272,32 @@ def test_unreadable_values_are_kept_with_their_line(spark, tmp_path):
     assert report["schema"].filter("NOT ok").count() == 0
 
 
+def test_bronze_report_counts_in_one_pass(spark, two_inputs):
+    layout, second = two_inputs
+    run(spark, second, layout.root)
+    files, bronze = read_bronze(spark, layout, BRONZE_FILES), read_bronze(spark, layout)
+    report = reports.bronze_report(spark, layout)
+    columns = ["order_status", "product_category", "gender"]
+    expected = {
+        "rows": profile.row_counts({"bronze": bronze}),
+        "unreadable values": unreadable_values(files),
+        "partitions": profile.partition_profile(files),
+        "ingestion dates": profile.partition_values(bronze, "ingestion_date"),
+        "nulls": profile.null_profile(bronze),
+        "values": profile.value_distribution(bronze, columns),
+    }
+    rows = lambda df: sorted(map(repr, df.collect()))
+    for name, df in expected.items():
+        assert report[name].schema.simpleString() == df.schema.simpleString(), name
+        assert rows(report[name]) == rows(df) != [], name
+        plan = report[name]._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan" in plan and "transaction_id" not in plan, name
+    one = profile.table_profile(bronze, columns, {})
+    assert one._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    empty = profile.table_profile(bronze.limit(0), columns, {"x": F.col("city").isNull()})
+    assert {(r.fact, r.subject, r.n) for r in empty.collect()} == {("rows", None, 0), ("count", "x", 0)}
+
+
 def test_bronze_takes_one_scan_of_the_csv(spark, tmp_path, monkeypatch):
     layout, raw, scans = Layout(str(tmp_path / "out")), _csv(raw_frame(spark, {}, {}), tmp_path / "raw"), []
     monkeypatch.setattr(medallion, "read_raw", lambda *a, f=medallion.read_raw, **k: (scans.append(1), f(*a, **k))[1])
