@@ -5,10 +5,10 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,8 +20,12 @@ RARE = 1e-7
 # share of the best possible alignment score from which a passage is a copy
 MIN_SCORE = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
-# test items are held by tasks in blocks of about so many words, one block after the other
-BLOCK_WORDS = 250_000
+# tasks count only the items' words if there are at most so many, else all words
+HELD_WORDS = 500_000
+# size of the bitmap of seeds, 32 MiB
+SLOT_BITS = 28
+# items whose word places a task keeps ready
+MASKS_HELD = 2_000
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -40,81 +44,53 @@ def words(text: str | None) -> list[str]:
         return _WORD.findall(lowered)
 
 
-class Block:
-    """Test items as word numbers, and the seeds that lead to them."""
-
-    def __init__(self, items: list[tuple[int, str]], counts: dict[str, int], total: int, rare: float, size: int):
-        self.names = [item_id for item_id, _ in items]
-        texts = [words(text) for _, text in items]
-        vocabulary = sorted({word for text in texts for word in text})
-        self.numbers = {word: n for n, word in enumerate(vocabulary)}
-        self.texts = [np.array([self.numbers[w] for w in text], np.int64) for text in texts]
-        self.size = size
-        self._masks: dict[int, dict[int, int]] = {}
-        # a word that the corpus lacks counts as one that occurs once
-        share = np.log([max(counts.get(w, 0), 1) / max(total, 1) for w in vocabulary])
-        self.base = len(vocabulary) + 1
-        keys, owners, places = [], [], []
-        for item, text in enumerate(self.texts):
-            n = min(size, len(text))
-            if not n:
-                continue
-            grams = np.lib.stride_tricks.sliding_window_view(text, n)
-            chances = share[grams].sum(axis=1)
-            seeds = np.flatnonzero(chances <= np.log(rare))
-            if 2 * len(seeds) < len(chances):
-                # too few to outlast edits: all, alignment refuses what they bring too much
-                seeds = np.arange(len(chances))
-            for at in seeds.tolist():
-                keys.append(self._key(grams[at][None, :])[0])
-                owners.append(item)
-                places.append(at)
-        order = np.argsort(np.array(keys, np.int64), kind="stable")
-        self.keys = np.array(keys, np.int64)[order]
-        self.owners = np.array(owners, np.int64)[order]
-        self.places = np.array(places, np.int64)[order]
-
-    def masks(self, item: int) -> dict[int, int]:
-        """The places of each word of an item, as bits."""
-        if item not in self._masks:
-            places: dict[int, int] = {}
-            for at, word in enumerate(self.texts[item].tolist()):
-                places[word] = places.get(word, 0) | 1 << at
-            self._masks[item] = places
-        return self._masks[item]
-
-    def _key(self, grams: np.ndarray) -> np.ndarray:
-        """One number for a gram; collisions only bring candidates that alignment refuses."""
-        key = np.zeros(len(grams), np.uint64)
-        for column in grams.T:
-            key = (key * np.uint64(0x9E3779B97F4A7C15)) ^ (column.astype(np.uint64) + np.uint64(1))
-            key ^= key >> np.uint64(29)
-        return key.view(np.int64)
-
-    def hits(self, numbers: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """Items whose seeds stand in a document, with the places where each would begin."""
-        lengths = sorted({min(self.size, len(t)) for t in self.texts if len(t)})
-        owners, starts = [], []
-        for n in lengths:
-            if len(numbers) < n:
-                continue
-            known = numbers >= 0
-            inside = np.convolve(known, np.ones(n, np.int64), "valid") == n
-            at = np.flatnonzero(inside)
-            if not len(at):
-                continue
-            keys = self._key(numbers[at[:, None] + np.arange(n)])
-            low, high = np.searchsorted(self.keys, keys, "left"), np.searchsorted(self.keys, keys, "right")
-            found = np.flatnonzero(high > low)
-            for i in found.tolist():
-                own = slice(low[i], high[i])
-                owners.append(self.owners[own])
-                starts.append(at[i] - self.places[own])
-        if not owners:
-            return
-        owners, starts = np.concatenate(owners), np.concatenate(starts)
-        for item in np.unique(owners).tolist():
-            yield item, np.unique(starts[owners == item])
+class _Codes(dict):
+    """64-bit numbers of words, kept for words met before."""
+
+    HELD = 500_000
+
+    def __missing__(self, word: str) -> int:
+        code = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) - (1 << 63)
+        return code
+
+    def of(self, own: list[str]) -> np.ndarray:
+        if len(self) > self.HELD:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, own), np.int64, len(own))
+
+
+def gram_keys(codes: np.ndarray, n: int) -> np.ndarray:
+    """One number for each run of ``n`` words; collisions only bring candidates that alignment refuses."""
+    count = max(0, len(codes) - n + 1)
+    key = np.zeros(count, np.uint64)
+    for j in range(n):
+        key = (key * np.uint64(0x9E3779B97F4A7C15)) ^ codes[j : j + count].view(np.uint64)
+        key ^= key >> np.uint64(29)
+    return key.view(np.int64)
+
+
+def seed_places(counts: np.ndarray, total: int, rare: float, size: int) -> np.ndarray:
+    """Where the rare n-grams of an item begin, or all of its n-grams if fewer than half are rare.
+
+    ``counts`` says how often each of the item's words stands in the corpus; one that it lacks counts
+    as one that occurs once.
+    """
+    n = min(size, len(counts))
+    if not n:
+        return np.zeros(0, np.int64)
+    share = np.log(np.maximum(counts, 1) / max(total, 1))
+    chances = np.lib.stride_tricks.sliding_window_view(share, n).sum(axis=1)
+    seeds = np.flatnonzero(chances <= np.log(rare))
+    # too few do not outlast edits; alignment refuses what all of them bring too much
+    return seeds if 2 * len(seeds) >= len(chances) else np.arange(len(chances))
+
+
+def word_masks(codes: np.ndarray) -> dict[int, int]:
+    """The places of each word of an item, as bits."""
+    places: dict[int, int] = {}
+    for at, word in enumerate(codes.tolist()):
+        places[word] = places.get(word, 0) | 1 << at
+    return places
 
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
@@ -156,63 +132,149 @@ def _in_order(masks: dict[int, int], length: int, passage: list[int]) -> int:
     return length - open_bits.bit_count()
 
 
-def matches(block: Block, numbers: np.ndarray, min_score: float) -> list[tuple[int, float, int, int]]:
-    """``(item, score, first, last)`` of the best alignment of each item that a document holds.
+def best_match(
+    item: np.ndarray, masks: dict[int, int], codes: np.ndarray, starts: np.ndarray, min_score: float
+) -> tuple[float, int, int] | None:
+    """``(score, first, last)`` of the best alignment of an item around the places its seeds give.
 
     Every foreign word inside a copy costs a point, and all of an item's words give two each, so a
     copy that reaches the score lies within ``slack`` words around where its seed would put it.
     Passages that share too few words in order are not aligned: they cannot reach the score.
     """
-    out = []
-    for item, starts in block.hits(numbers):
-        text = block.texts[item]
-        slack = int(MATCH * len(text) * (1 - min_score) / -GAP) + 1
-        best = (0.0, 0, 0)
-        # passages that overlap are aligned as one
-        for group in np.split(starts, np.flatnonzero(np.diff(starts) > len(text) + 2 * slack) + 1):
-            low = max(0, int(group[0]) - slack)
-            passage = numbers[low : int(group[-1]) + len(text) + slack]
-            if _in_order(block.masks(item), len(text), passage.tolist()) < min_score * len(text):
-                continue
-            score, first, last = align(text, passage)
-            share = score / (MATCH * len(text))
-            if share > best[0]:
-                best = (share, low + first, low + last)
-        if best[0] >= min_score:
-            out.append((item, *best))
-    return out
-
-
-def _corpus_counts(docs: DataFrame, block: list[tuple[int, str]]) -> tuple[dict[str, int], int]:
-    """How often each word of the block's items stands in all documents, and how many words those have."""
-    wanted = {word for _, text in block for word in words(text)}
+    slack = int(MATCH * len(item) * (1 - min_score) / -GAP) + 1
+    best = (0.0, 0, 0)
+    # passages that overlap are aligned as one
+    for group in np.split(starts, np.flatnonzero(np.diff(starts) > len(item) + 2 * slack) + 1):
+        low = max(0, int(group[0]) - slack)
+        passage = codes[low : int(group[-1]) + len(item) + slack]
+        if _in_order(masks, len(item), passage.tolist()) < min_score * len(item):
+            continue
+        score, first, last = align(item, passage)
+        share = score / (MATCH * len(item))
+        if share > best[0]:
+            best = (share, low + first, low + last)
+    return best if best[0] >= min_score else None
+
+
+def _batch(schema: str, kinds: list[pa.DataType], rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(kinds)
+    names = [part.split()[0] for part in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+
+def _items(benchmark: DataFrame) -> DataFrame:
+    """``(item, words, codes)`` per different text of the benchmark that has words."""
+    schema = "item long, words array<string>, codes array<long>"
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = _Codes()
+        for batch in batches:
+            rows = []
+            for item, text in zip(*batch.columns, strict=True):
+                if own := words(text.as_py()):
+                    rows.append((item.as_py(), own, codes.of(own)))
+            yield _batch(schema, [pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64())], rows)
+
+    texts = benchmark.select(F.xxhash64("text").alias("item"), "text").dropDuplicates(["item"])
+    return stage(texts.mapInArrow(split, schema), fresh_path(benchmark.sparkSession, "items"))
+
+
+def _corpus_counts(docs: DataFrame, items: DataFrame, held_words: int) -> tuple[DataFrame, int]:
+    """``(code, n)``: how often words stand in all documents, those of the items at least; and all words' number.
+
+    A task looks for the items' words if they are at most ``held_words``, else it counts all it meets.
+    """
+    vocabulary = items.select(F.explode("words").alias("word")).distinct()
+    some = [row.word for row in vocabulary.limit(held_words + 1).collect()]
+    wanted = frozenset(some) if len(some) <= held_words else None
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
-        total = 0
+        codes, found, total = _Codes(), Counter(), 0
+
+        def out() -> pa.RecordBatch:
+            numbers = pa.array([*map(codes.__getitem__, found), None], pa.int64())
+            return pa.RecordBatch.from_arrays([numbers, pa.array([*found.values(), total], pa.int64())], ["code", "n"])
+
         for batch in batches:
             for text in batch.column(0):
                 own = words(text.as_py())
                 total += len(own)
-                found.update(filter(wanted.__contains__, own))
-        names, numbers = list(found) + [""], list(found.values()) + [total]
-        yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(numbers, pa.int64())], ["word", "n"])
+                found.update(own if wanted is None else filter(wanted.__contains__, own))
+                if len(found) > max(held_words, _Codes.HELD):
+                    yield out()
+                    codes, found, total = _Codes(), Counter(), 0
+        yield out()
+
+    rows = docs.select("text").mapInArrow(counted, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    counts = stage(rows, fresh_path(docs.sparkSession, "word-counts"))
+    total = counts.filter("code IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return counts.filter("code IS NOT NULL"), total
 
-    rows = docs.select("text").mapInArrow(counted, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    counts = {row.word: row.n for row in rows.collect()}
-    return counts, counts.pop("", 0)
 
+def _seeds(items: DataFrame, counts: DataFrame, total: int, rare: float, size: int) -> DataFrame:
+    """``(key, item, place, n)``: the seeds of every item as keys of their n-grams."""
+    schema = "key long, item long, place int, n int"
 
-def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[int, str]]]:
-    """The test items in blocks that a task can hold, by a hash of the item."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("text")).distinct()
-    size = F.coalesce(F.size(F.split("text", r"\s+")), F.lit(0))
-    total = items.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-    n = max(1, -(-total // block_words))
-    for k in range(n):
-        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()
-        if rows:
-            yield sorted(((r.item_id, r.text or "") for r in rows), key=lambda x: (x[0] is None, x[0] or 0, x[1]))
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for item, met in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                codes, numbers = (met.values.field(k).to_numpy(zero_copy_only=False) for k in (1, 2))
+                n = min(size, len(codes))
+                places = seed_places(numbers, total, rare, size)
+                keys = gram_keys(codes, n)[places].tolist()
+                rows += [(key, item, place, n) for key, place in zip(keys, places.tolist(), strict=True)]
+            yield _batch(schema, [pa.int64(), pa.int64(), pa.int32(), pa.int32()], rows)
+
+    placed = items.select("item", F.posexplode("codes").alias("place", "code")).join(counts, "code", "left")
+    met = F.struct("place", "code", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
+    rows = placed.groupBy("item").agg(F.array_sort(F.collect_list(met)).alias("met")).mapInArrow(chosen, schema)
+    return stage(rows, fresh_path(items.sparkSession, "seeds"))
+
+
+def _slots(keys: np.ndarray) -> np.ndarray:
+    return keys.view(np.uint64) >> np.uint64(64 - SLOT_BITS)
+
+
+def _filled(seeds: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The bits that keys of seeds set among ``2 ** SLOT_BITS``, 64 a number: at most 32 MiB of them."""
+    slot = F.shiftrightunsigned("key", 64 - SLOT_BITS)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int"))
+    rows = seeds.select(F.shiftrightunsigned(slot, 6).alias("at"), bit.alias("bit"))
+    table = rows.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()
+    return table.column("at").to_numpy(), table.column("bits").to_numpy().view(np.uint64)
+
+
+def _with_seeds(docs: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Documents that may hold seeds, whole, with the keys and places of those n-grams."""
+    schema = "uid long, doc_id long, text_hash long, text string, keys array<long>, places array<int>"
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+    lengths = sorted(row.n for row in seeds.select("n").distinct().collect())
+    at, bits = _filled(seeds)
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = _Codes()
+        held = np.zeros(1 << SLOT_BITS - 6, np.uint64)
+        held[at] = bits
+        for batch in batches:
+            rows = []
+            uids, ids, hashes, texts = batch.columns
+            for i, text in enumerate(texts):
+                numbers = codes.of(words(text.as_py()))
+                keys, places = [], []
+                for n in lengths:
+                    own = gram_keys(numbers, n)
+                    slots = _slots(own)
+                    found = np.flatnonzero(held[slots >> np.uint64(6)] >> (slots & np.uint64(63)) & np.uint64(1))
+                    keys.append(own[found])
+                    places.append(found)
+                if any(map(len, keys)):
+                    row = uids[i].as_py(), ids[i].as_py(), hashes[i].as_py(), text.as_py()
+                    rows.append((*row, np.concatenate(keys), np.concatenate(places)))
+            yield _batch(schema, kinds, rows)
+
+    named = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text_hash", "text")
+    return stage(named.mapInArrow(gathered, schema), fresh_path(docs.sparkSession, "with-seeds"))
 
 
 def contaminated(
@@ -221,54 +283,69 @@ def contaminated(
     min_score: float = MIN_SCORE,
     rare: float = RARE,
     seed_words: int = SEED_WORDS,
-    block_words: int = BLOCK_WORDS,
+    held_words: int = HELD_WORDS,
 ) -> DataFrame:
     """``(doc_id, text_hash, item_id, score, first_word, last_word)``: passages that copy a test item.
 
     Seeds are the items' n-grams that are rare by the corpus's own word frequencies, which leaked
-    passages hardly move, or all of an item's if fewer than half of them are rare. Wherever one stands
-    in a document, the passage around it is aligned with the item; ``score`` is the share of the best
-    possible score. The best passage of each document and item counts.
+    passages hardly move, or all of an item's if fewer than half of them are rare. They are a table
+    that is joined with the documents' n-grams. Wherever one stands in a document, the passage around
+    it is aligned with the item; ``score`` is the share of the best possible score. The best passage
+    of each document and item counts.
 
     A copy is found if one seed in it is whole; its score and place are then those of the alignment
     with the whole document. Copies without a whole seed are missed: the README has the recall.
 
-    Items are taken in blocks of about ``block_words`` words, each a pass over the documents, so what
-    a task holds is bounded whatever the benchmark's size. No documents are shuffled, and whole texts
-    are read.
+    Documents are read twice, however many items there are: for word counts, and for n-grams. A task
+    keeps the n-grams that a bitmap of the seeds' keys lets through, at most 32 MiB; a fuller bitmap
+    only sends more of them to the join. Only texts with such n-grams are shuffled, once. Whole texts
+    are read. A document's seeds are one row.
 
     Null and empty texts hold and match nothing; items without words are passed over; items or
     documents that repeat are reported by id (repeated items once). Rows without an id are reported
     with a null one. An empty table on either side gives no rows. Other columns are not read.
     """
     spark = docs.sparkSession
-    schema = "doc_id long, text_hash long, item_id long, score double, first_word long, last_word long"
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.col("text").alias("text")
     )
-    path = fresh_path(spark, "matches")
-    spark.createDataFrame([], schema).write.parquet(path)
-    for items in _blocks(benchmark, block_words):
-        counts, total = _corpus_counts(rows, items)
-
-        def found(batches: Iterator[pa.RecordBatch], items=items, counts=counts, total=total) -> Iterator[pa.RecordBatch]:
-            block = Block(items, counts, total, rare, seed_words)
-            get = block.numbers.get
-            for batch in batches:
-                out = []
-                ids, hashes, texts = batch.columns
-                for i, text in enumerate(texts):
-                    own = words(text.as_py())
-                    numbers = np.fromiter(map(get, own, repeat(-1)), np.int64, len(own))
-                    for item, *rest in matches(block, numbers, min_score):
-                        out.append((ids[i].as_py(), hashes[i].as_py(), block.names[item], *rest))
-                columns = list(zip(*out, strict=True)) or [()] * 6
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
-                names = [part.split()[0] for part in schema.split(", ")]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
-
-        rows.mapInArrow(found, schema).write.mode("append").parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    items = _items(benchmark)
+    seeds = _seeds(items, *_corpus_counts(rows, items, held_words), rare, seed_words)
+    texts = _with_seeds(rows, seeds)
+    grams = texts.select("uid", F.explode(F.arrays_zip("keys", "places")).alias("gram"))
+    grams = grams.select("uid", F.col("gram.keys").alias("key"), F.col("gram.places").alias("at"))
+    hits = grams.join(seeds, "key").groupBy("uid", "item").agg(
+        F.array_sort(F.collect_set(F.col("at") - F.col("place"))).alias("starts")
+    )
+    named = hits.join(items.select("item", "codes"), "item")
+    lists = named.groupBy("uid").agg(F.collect_list(F.struct("item", "codes", "starts")).alias("hits"))
+    lists = stage(lists, fresh_path(spark, "hits"))
+    schema = "doc_id long, text_hash long, item long, score double, first_word long, last_word long"
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
+
+    def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes, masks = _Codes(), {}
+        for batch in batches:
+            out = []
+            ids, hashes, own, found = batch.columns
+            for i, text in enumerate(own):
+                numbers = codes.of(words(text.as_py()))
+                for hit in found[i]:
+                    item = hit["item"].as_py()
+                    body, starts = (hit[k].values.to_numpy() for k in ("codes", "starts"))
+                    if item not in masks:
+                        if len(masks) >= MASKS_HELD:
+                            masks.clear()
+                        masks[item] = word_masks(body)
+                    if best := best_match(body, masks[item], numbers, starts, min_score):
+                        out.append((ids[i].as_py(), hashes[i].as_py(), item, *best))
+            yield _batch(schema, kinds, out)
+
+    held = texts.select("uid", "doc_id", "text_hash", "text").join(lists.hint("merge"), "uid")
+    matched = held.select("doc_id", "text_hash", "text", "hits").mapInArrow(aligned, schema)
+    names = benchmark.select(F.xxhash64("text").alias("item"), F.col("item_id").cast("long").alias("item_id")).distinct()
+    result = matched.join(names, "item").select("doc_id", "text_hash", "item_id", "score", "first_word", "last_word")
+    return stage(result, fresh_path(spark, "matches"))
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

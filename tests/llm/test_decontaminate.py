@@ -86,8 +86,8 @@ def test_edited_copies_are_caught_and_others_left(spark):
     assert len(planted & got) >= 0.95 * len(planted)
     bare = {r for r in got if r[0] >= 1000}
     assert {(d - 1000, i) for d, i in bare} <= got
-    blocks = D.contaminated(docs, benchmark, block_words=300).collect()
-    assert {(r.doc_id, r.item_id) for r in blocks} == got
+    all_counted = D.contaminated(docs, benchmark, held_words=10).collect()
+    assert {(r.doc_id, r.item_id) for r in all_counted} == got
 
 
 def _changed(item, draw, vocabulary):
@@ -145,9 +145,11 @@ def test_changed_copies_against_the_whole_document(spark):
 def test_copy_with_a_long_insertion(spark):
     item = [f"a{n}" for n in range(40)]
     text = [*item[:10], "x", *item[11:20], *[f"z{n}" for n in range(30)], *item[20:31], "y", *item[32:]]
-    block = D.Block([(1, " ".join(item))], {}, 100, 1.0, 3)
-    numbers = np.array([block.numbers.get(w, -1) for w in ["b"] * 50 + text + ["b"] * 50])
-    ((_, score, first, last),) = D.matches(block, numbers, 0.5)
+    codes = D._Codes()
+    own, numbers = codes.of(item), codes.of(["b"] * 50 + text + ["b"] * 50)
+    keys = D.gram_keys(own, 3).tolist()
+    starts = np.unique([at - keys.index(k) for at, k in enumerate(D.gram_keys(numbers, 3).tolist()) if k in keys])
+    score, first, last = D.best_match(own, D.word_masks(own), numbers, starts, 0.5)
     assert (score, first, last) == (plain_score(item, text) / 80, 50, 50 + len(text) - 1) and score > 0.5
 
 
@@ -160,9 +162,7 @@ def test_words_in_order():
         for i, a in enumerate(item):
             for j, b in enumerate(passage):
                 table[i + 1][j + 1] = table[i][j] + 1 if a == b else max(table[i][j + 1], table[i + 1][j])
-        block = D.Block([(1, " ".join(f"v{x}" for x in item))], {}, 1, 1.0, 3)
-        numbers = [block.numbers.get(f"v{x}", -1) for x in passage]
-        assert D._in_order(block.masks(0), len(item), numbers) == table[-1][-1]
+        assert D._in_order(D.word_masks(np.array(item)), len(item), passage) == table[-1][-1]
 
 
 def test_edges(spark):
@@ -196,5 +196,5 @@ def test_edited_copy_of_an_item_that_its_leak_makes_common(spark):
     rows += [(n, "nothing of the kind stands here", "x") for n in range(25, 50)]
     found = D.contaminated(spark.createDataFrame(rows, DOCS), spark.createDataFrame([(1, " ".join(item))], ITEMS)).collect()
     assert sorted(r.doc_id for r in found) == list(range(25))
-    block = D.Block([(1, " ".join(item))], {w: 20 + 5 * (w != item[place]) for w in item}, 600, D.RARE, D.SEED_WORDS)
-    assert sorted(block.places.tolist()) == list(range(10))
+    counts = np.array([20 + 5 * (w != item[place]) for w in item])
+    assert D.seed_places(counts, 600, D.RARE, D.SEED_WORDS).tolist() == list(range(10))
