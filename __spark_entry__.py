@@ -63,6 +63,7 @@ from shelfmark.plans.medallion import (
     write_marts,
 )
 from shelfmark.schemas import BRONZE, BRONZE_FILES, SILVER, SILVER_WITH_ORIGIN
+from shelfmark.session import unsorted_writes
 from shelfmark.sources import (
     inferred_layer,
     read_layer,
@@ -77,6 +78,8 @@ from shelfmark.storage import fresh_path, stage
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
+# about 30 MB of raw text
+RECORDS_PER_FILE = 250_000
 
 
 def _edge(df: DataFrame) -> DataFrame:
@@ -98,10 +101,12 @@ def _amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _csv(df: DataFrame, *folders: str) -> str:
-    """Rows as CSV files, padded text kept as it is."""
+    """Rows as CSV files, padded text kept as it is; compressed files do not split, so they are bounded."""
     path = fresh_path(df.sparkSession, "raw-csv")
     options = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    df.write.options(header=True, **options).partitionBy(*folders).csv(path)
+    files = {"compression": "lz4", "maxRecordsPerFile": RECORDS_PER_FILE}
+    with unsorted_writes(df.sparkSession):
+        df.write.options(header=True, **options, **files).partitionBy(*folders).csv(path)
     return path
 
 

@@ -33,7 +33,7 @@ from shelfmark.schemas import (
     SILVER,
     SILVER_WITH_ORIGIN,
 )
-from shelfmark.session import sized_shuffles
+from shelfmark.session import sized_shuffles, unsorted_writes
 from shelfmark.sources import (
     file_ranges,
     file_schema,
@@ -158,7 +158,7 @@ def ingest(
     rows = read_raw(spark, raw, check_header=check_header, ledger=True)
     scanned = Observation()
     counted = with_ingest_metadata(rows).select(*BRONZE_FILES.names).observe(scanned, F.count(F.lit(1)).alias("n"))
-    with drafting(spark, home) as draft:
+    with unsorted_writes(spark), drafting(spark, home) as draft:
         write_bronze(counted, draft.path, rebalance=rebalance)
         by_date = F.count(F.lit(1)).alias("bronze_rows")
         held = read_layer(spark, draft.path, BRONZE_FILES).groupBy("ingestion_date").agg(by_date)
@@ -210,7 +210,8 @@ def refine(
     home, before = layout.silver, current(spark, layout.silver)
     bronze = read_bronze(spark, layout, BRONZE_WITH_ORIGIN if origin else BRONZE)
     expected = SILVER_WITH_ORIGIN if origin else SILVER
-    with sized_shuffles(spark, bronze), scratch(spark, "judged") as path, drafting(spark, home) as draft:
+    sized, unsorted = sized_shuffles(spark, bronze), unsorted_writes(spark)
+    with sized, unsorted, scratch(spark, "judged") as path, drafting(spark, home) as draft:
         judged = stage(judge(dedupe_counted(bronze), rules), path)
         write_silver(stamp(accepted(settle(judged.drop("copies"), rules))), draft.path, rebalance=rebalance)
         if check:
