@@ -169,7 +169,9 @@ def judge(df: DataFrame, rules: Sequence[Rule] = SILVER_RULES) -> DataFrame:
     ``rejected_by`` is the drop rule that ends it, NULL for a row that stays.
     """
     numbers = [f"CASE WHEN {on} THEN {n} END" for n, on in enumerate(_acting(rules))]
-    fired = f"array_compact(array({', '.join(numbers)}))" if numbers else "CAST(array() AS ARRAY<INT>)"
+    # array_compact would take every row out of generated code
+    without_null = "array(CAST(NULL AS INT))"
+    fired = f"array_except(array({', '.join(numbers)}), {without_null})" if numbers else "CAST(array() AS ARRAY<INT>)"
     drops = [f"WHEN {r.violated} THEN {_text(r.name)}" for r in rules if r.kind == DROP]
     rejected_by = f"CASE {' '.join(drops)} END" if drops else "CAST(NULL AS STRING)"
     return df.withColumns(
@@ -247,8 +249,8 @@ def violation_previews(
         for rule, on in zip(rules, _acting(rules), strict=True)
         if shown is None or rule.name in shown
     ]
-    row = df.select(F.struct("*").alias("row"), F.expr(f"array_compact(array({', '.join(named)}))").alias("rules"))
-    broken = row.filter(F.size("rules") > 0).select(F.explode("rules").alias("rule"), "row.*")
+    # generated code walks the array and copies a row only for the rules that it breaks
+    broken = df.select(F.expr(f"explode(array({', '.join(named)}))").alias("rule"), "*").filter("rule IS NOT NULL")
     first = Window.partitionBy("rule").orderBy(*order)
     ranked = broken.withColumn("_nth", F.row_number().over(first))
     some = ranked.filter(F.col("_nth") <= n)
