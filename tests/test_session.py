@@ -83,3 +83,21 @@ def test_raw_files_are_bounded_and_read_back(spark, monkeypatch):
     assert len(files) >= raw.count() / 500
     found = read_raw(spark, str(folder), check_header=True).select(*RAW.names)
     assert sorted(map(str, found.collect())) == sorted(map(str, raw.collect()))
+
+
+def test_all_jobs_of_a_run_are_sized(spark, tmp_path, monkeypatch):
+    raw = tmp_path / "raw"
+    raw_frame(spark, {}, {"order_status": "Returned"}).write.options(header=True).csv(str(raw))
+    seen = {}
+    for name in ("write_silver", "write_marts"):
+        written = getattr(medallion, name)
+
+        def spy(*a, name=name, written=written, **k):
+            seen[name] = spark.conf.get(SCAN_PARTITIONS)
+            return written(*a, **k)
+
+        monkeypatch.setattr(medallion, name, spy)
+    audit = medallion.run(spark, str(raw), str(tmp_path / "out")).first()
+    assert (audit.pipeline_status, audit.source_rows) == ("SUCCESS", 1)
+    assert seen == dict.fromkeys(["write_silver", "write_marts"], str(SCANNED_BYTES))
+    assert SCAN_PARTITIONS not in spark.conf.getAll and OPEN_WRITERS not in spark.conf.getAll
