@@ -63,7 +63,7 @@ from shelfmark.plans.medallion import (
     write_marts,
 )
 from shelfmark.schemas import BRONZE, BRONZE_FILES, SILVER, SILVER_WITH_ORIGIN
-from shelfmark.session import unsorted_writes
+from shelfmark.session import even_joins, unsorted_writes
 from shelfmark.sources import (
     inferred_layer,
     read_layer,
@@ -105,7 +105,7 @@ def _csv(df: DataFrame, *folders: str) -> str:
     path = fresh_path(df.sparkSession, "raw-csv")
     options = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     files = {"compression": "lz4", "maxRecordsPerFile": RECORDS_PER_FILE}
-    with unsorted_writes(df.sparkSession):
+    with even_joins(df.sparkSession), unsorted_writes(df.sparkSession):
         df.write.options(header=True, **options, **files).partitionBy(*folders).csv(path)
     return path
 

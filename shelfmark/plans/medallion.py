@@ -33,7 +33,7 @@ from shelfmark.schemas import (
     SILVER,
     SILVER_WITH_ORIGIN,
 )
-from shelfmark.session import sized_shuffles, unsorted_writes
+from shelfmark.session import even_scans, sized_shuffles, unsorted_writes
 from shelfmark.sources import (
     file_ranges,
     file_schema,
@@ -158,7 +158,7 @@ def ingest(
     rows = read_raw(spark, raw, check_header=check_header, ledger=True)
     scanned = Observation()
     counted = with_ingest_metadata(rows).select(*BRONZE_FILES.names).observe(scanned, F.count(F.lit(1)).alias("n"))
-    with unsorted_writes(spark), drafting(spark, home) as draft:
+    with even_scans(spark), unsorted_writes(spark), drafting(spark, home) as draft:
         write_bronze(counted, draft.path, rebalance=rebalance)
         by_date = F.count(F.lit(1)).alias("bronze_rows")
         held = read_layer(spark, draft.path, BRONZE_FILES).groupBy("ingestion_date").agg(by_date)

@@ -1,5 +1,6 @@
 """How jobs are sized, so that no task sorts more than it holds in memory."""
 
+from contextlib import contextmanager
 from pathlib import Path
 
 import pytest
@@ -10,11 +11,17 @@ from shelfmark.plans import medallion
 from shelfmark.plans.medallion import Layout, ingest, refine
 from shelfmark.schemas import RAW
 from shelfmark.session import (
+    ADVISORY_BYTES,
+    JOINED_BYTES,
+    LEAST_SCANS,
     OPEN_WRITERS,
+    ROUNDS,
     SCAN_PARTITIONS,
     SCANNED_BYTES,
     SHUFFLED_PER_BYTE,
     SORTED_BYTES,
+    even_joins,
+    even_scans,
     job_partitions,
     sized_shuffles,
     unsorted_writes,
@@ -101,3 +108,57 @@ def test_all_jobs_of_a_run_are_sized(spark, tmp_path, monkeypatch):
     assert (audit.pipeline_status, audit.source_rows) == ("SUCCESS", 1)
     assert seen == dict.fromkeys(["write_silver", "write_marts"], str(SCANNED_BYTES))
     assert SCAN_PARTITIONS not in spark.conf.getAll and OPEN_WRITERS not in spark.conf.getAll
+
+
+def _small_files(spark, path):
+    """Five raw files per core, which Spark reads in one task a core."""
+    n = 5 * spark.sparkContext.defaultParallelism
+    raw = raw_frame(spark, *[{"transaction_id": k} for k in range(n)])
+    raw.repartitionByRange(n, "transaction_id").write.options(header=True).csv(path)
+    return n
+
+
+def test_scans_take_several_rounds(spark, tmp_path, monkeypatch):
+    raw, tasks = str(tmp_path / "raw"), []
+    n, cores = _small_files(spark, raw), spark.sparkContext.defaultParallelism
+    assert read_raw(spark, raw).rdd.getNumPartitions() <= cores
+    for name in ("write_bronze", "write_silver"):
+        written = getattr(medallion, name)
+
+        def spy(df, *a, written=written, **k):
+            tasks.append(spark.conf.get(LEAST_SCANS, None))
+            if written.__name__ == "write_bronze":
+                # an empty file weighs as much as opening it, so two share a task
+                assert df.rdd.getNumPartitions() == n / 2 > 2 * cores
+            return written(df, *a, **k)
+
+        monkeypatch.setattr(medallion, name, spy)
+    audit = medallion.run(spark, raw, str(tmp_path / "out")).first()
+    assert (audit.pipeline_status, audit.source_rows) == ("SUCCESS", n)
+    assert tasks == [str(ROUNDS * cores)] * 2
+    assert LEAST_SCANS not in spark.conf.getAll
+
+
+def test_a_chosen_number_of_scans_stays(spark):
+    spark.conf.set(LEAST_SCANS, "3")
+    try:
+        with even_scans(spark):
+            assert spark.conf.get(LEAST_SCANS) == "3"
+    finally:
+        spark.conf.unset(LEAST_SCANS)
+
+
+def test_raw_text_is_written_in_even_tasks(spark, monkeypatch):
+    seen = []
+
+    @contextmanager
+    def spy(session):
+        seen.append((session.conf.get(ADVISORY_BYTES), session.conf.get(SCAN_PARTITIONS)))
+        yield
+
+    with even_joins(spark):
+        expected = (spark.conf.get(ADVISORY_BYTES), spark.conf.get(SCAN_PARTITIONS))
+    assert expected == (str(JOINED_BYTES), str(SCANNED_BYTES))
+    monkeypatch.setattr(entry, "unsorted_writes", spy)
+    entry._csv(retail_raw(spark, SMOKE))
+    assert seen == [expected] and ADVISORY_BYTES not in spark.conf.getAll
