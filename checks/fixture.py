@@ -20,6 +20,8 @@ def retail_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     nation, region, customer = table("nation"), table("region"), table("customer")
     order, part, lines = table("orders"), table("part"), table("lineitem")
+    # a date per order, not per line
+    order = order.withColumn("o_orderdate", order.o_orderdate.cast("date"))
     places = nation.join(region, nation.n_regionkey == region.r_regionkey)
     customers = customer.join(places, customer.c_nationkey == places.n_nationkey)
     orders = order.join(customers, order.o_custkey == customers.c_custkey)

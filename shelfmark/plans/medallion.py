@@ -33,7 +33,7 @@ from shelfmark.schemas import (
     SILVER,
     SILVER_WITH_ORIGIN,
 )
-from shelfmark.session import even_scans, sized_shuffles, unsorted_writes
+from shelfmark.session import even_scans, sized_shuffles, small_dictionaries, unsorted_writes
 from shelfmark.sources import (
     file_ranges,
     file_schema,
@@ -158,7 +158,7 @@ def ingest(
     rows = read_raw(spark, raw, check_header=check_header, ledger=True)
     scanned = Observation()
     counted = with_ingest_metadata(rows).select(*BRONZE_FILES.names).observe(scanned, F.count(F.lit(1)).alias("n"))
-    with even_scans(spark), unsorted_writes(spark), drafting(spark, home) as draft:
+    with even_scans(spark), unsorted_writes(spark), small_dictionaries(spark), drafting(spark, home) as draft:
         write_bronze(counted, draft.path, rebalance=rebalance)
         by_date = F.count(F.lit(1)).alias("bronze_rows")
         held = read_layer(spark, draft.path, BRONZE_FILES).groupBy("ingestion_date").agg(by_date)
@@ -210,8 +210,8 @@ def refine(
     home, before = layout.silver, current(spark, layout.silver)
     bronze = read_bronze(spark, layout, BRONZE_WITH_ORIGIN if origin else BRONZE)
     expected = SILVER_WITH_ORIGIN if origin else SILVER
-    sized, unsorted = sized_shuffles(spark, bronze), unsorted_writes(spark)
-    with sized, unsorted, scratch(spark, "judged") as path, drafting(spark, home) as draft:
+    sized, unsorted, small = sized_shuffles(spark, bronze), unsorted_writes(spark), small_dictionaries(spark)
+    with sized, unsorted, small, scratch(spark, "judged") as path, drafting(spark, home) as draft:
         judged = stage(judge(dedupe_counted(bronze), rules), path)
         write_silver(stamp(accepted(settle(judged.drop("copies"), rules))), draft.path, rebalance=rebalance)
         if check:
@@ -297,7 +297,7 @@ def publish(spark: SparkSession, layout: Layout, check: bool = True) -> DataFram
     """
     home, before = layout.gold, current(spark, layout.gold)
     amounts = order_amounts(read_silver(spark, layout))
-    with sized_shuffles(spark, amounts), drafting(spark, home) as draft:
+    with sized_shuffles(spark, amounts), small_dictionaries(spark), drafting(spark, home) as draft:
         marts = write_marts(amounts, draft.path)
         audit = mart_path(draft.path, "audit_metadata")
         write_mart(audit_metadata(amounts, marts), audit, single_file=True)

@@ -3,6 +3,7 @@
 from contextlib import contextmanager
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 
 import __spark_entry__ as entry
@@ -12,9 +13,11 @@ from shelfmark.plans.medallion import Layout, ingest, refine
 from shelfmark.schemas import RAW
 from shelfmark.session import (
     ADVISORY_BYTES,
+    DICTIONARY_BYTES,
     JOINED_BYTES,
     LEAST_SCANS,
     OPEN_WRITERS,
+    PARQUET_DICTIONARY,
     ROUNDS,
     SCAN_PARTITIONS,
     SCANNED_BYTES,
@@ -24,6 +27,7 @@ from shelfmark.session import (
     even_scans,
     job_partitions,
     sized_shuffles,
+    small_dictionaries,
     unsorted_writes,
 )
 from shelfmark.sources import read_raw
@@ -162,3 +166,46 @@ def test_raw_text_is_written_in_even_tasks(spark, monkeypatch):
     monkeypatch.setattr(entry, "unsorted_writes", spy)
     entry._csv(retail_raw(spark, SMOKE))
     assert seen == [expected] and ADVISORY_BYTES not in spark.conf.getAll
+
+
+def _dictionary_sizes(root, column):
+    """Bytes of the dictionary of a column's chunk in each Parquet file below a folder, 0 where it has none."""
+    sizes = []
+    for path in root.rglob("*.parquet"):
+        if path.is_file():
+            group = pq.ParquetFile(path).metadata.row_group(0)
+            (chunk,) = (group.column(n) for n in range(group.num_columns) if group.column(n).path_in_schema == column)
+            start = chunk.dictionary_page_offset
+            sizes.append(chunk.data_page_offset - start if start else 0)
+    return sizes
+
+
+def test_columns_of_many_values_give_up_their_dictionary(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    n = 60_000
+    # every key twice: a dictionary of them all is smaller than the values, and Parquet would keep it
+    rows = raw_frame(spark, {}).drop("transaction_id", "customer_id").crossJoin(spark.range(0, n, 1, 1))
+    rows = rows.selectExpr("CAST(id DIV 2 AS INT) AS transaction_id", "concat('CUST', id DIV 2) AS customer_id", "*")
+    rows.select(*RAW.names).write.options(header=True).csv(raw)
+    audit = medallion.run(spark, raw, str(tmp_path / "out")).first()
+    assert (audit.pipeline_status, audit.source_rows) == ("SUCCESS", n / 2)
+    sizes = _dictionary_sizes(tmp_path / "out" / "bronze", "customer_id")
+    # a page header comes on top
+    assert sizes and max(sizes) <= DICTIONARY_BYTES + 1024
+    assert PARQUET_DICTIONARY not in spark.conf.getAll
+
+
+def test_a_chosen_dictionary_size_stays(spark):
+    spark.conf.set(PARQUET_DICTIONARY, "4096")
+    try:
+        with small_dictionaries(spark):
+            assert spark.conf.get(PARQUET_DICTIONARY) == "4096"
+    finally:
+        spark.conf.unset(PARQUET_DICTIONARY)
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set(PARQUET_DICTIONARY, "4096")
+    try:
+        with small_dictionaries(spark):
+            assert PARQUET_DICTIONARY not in spark.conf.getAll
+    finally:
+        hadoop.unset(PARQUET_DICTIONARY)
